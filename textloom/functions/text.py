@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from html.entities import html5
 
@@ -81,7 +82,8 @@ def decode_entities(text: Column) -> Column:
 
 
 def _literal_map(values: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(part) for item in values.items() for part in item])
+    # one literal, parsed once when the plan is optimised
+    return F.from_json(F.lit(json.dumps(values)), "map<string,string>")
 
 
 def _decode_after_ampersand(piece: Column) -> Column:
@@ -146,7 +148,7 @@ def linked_html_path(path: Column, post_id: Column) -> Column:
 
 
 def path_in_store(path: Column, marker: str = ".net/") -> Column:
-    """The path after the first `marker`, that is relative to the store's root."""
+    """The path after the first `marker`, that is relative to the store's root (up to a second marker, if any)."""
     return F.split_part(path, F.lit(marker), F.lit(2))
 
 

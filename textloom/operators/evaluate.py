@@ -82,17 +82,35 @@ def check_vectors(table: DataFrame, key: str, vector: str, dim: int) -> DataFram
     )
 
 
-def profile(table: DataFrame) -> DataFrame:
+def profile(table: DataFrame, exact: bool = False) -> DataFrame:
     """(column_name, row_count, null_count, distinct_count) for every column.
 
-    Values are reduced to 16-byte digests and counted per (column, digest), so
-    distinct counting is one shuffle for all columns and a frequent value is
+    Distinct counts are estimates from one pass without a shuffle of values.
+    With `exact`, values are reduced to 16-byte digests and counted per
+    (column, digest): one shuffle for all columns, and a frequent value is
     added up before it.
     """
+    if not exact:
+        counted = [
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.count("*").alias("row_count"),
+                F.count_if(F.col(c).isNull()).alias("null_count"),
+                F.approx_count_distinct(F.when(F.col(c).isNotNull(), F.md5(F.to_json(F.struct(c))))).alias(
+                    "distinct_count"
+                ),
+            )
+            for c in table.columns
+        ]
+        return table.agg(F.array(*counted).alias("columns")).select(F.inline("columns"))
+
     cells = F.array(
         *[
-            F.struct(F.lit(c).alias("column_name"), F.md5(F.to_json(F.struct(c))).alias("digest"),
-                     F.col(c).isNull().alias("absent"))
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.md5(F.to_json(F.struct(c))).alias("digest"),
+                F.col(c).isNull().alias("absent"),
+            )
             for c in table.columns
         ]
     )

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as X
@@ -56,11 +57,8 @@ def read_checkouts(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _any(tests: list[Column]) -> Column:
-    result = tests[0]
-    for test in tests[1:]:
-        result = result | test
-    return result
+def _one_of(texts: tuple[str, ...]) -> str:
+    return "(?:" + "|".join(re.escape(text) for text in texts) + ")"
 
 
 def route_files(
@@ -76,22 +74,18 @@ def route_files(
     out of everything but notebooks, whose cells are joined.
     """
     path = F.col("rel_path")
-    name = F.element_at(F.split(path, "/"), -1)
-    folder = F.when(F.instr(path, "/") > 0, X.parent_folder(path)).otherwise("")
-    starts = [folder.startswith(text) for text in ignored]
-    if any_depth:
-        starts += [F.contains(folder, F.lit("/" + text)) for text in ignored]
-    is_notebook = name.endswith(".ipynb")
-    by_name = _any([name.endswith(ending) for ending in KEYED_BY_NAME])
-    by_path = _any([name.endswith(ending) for ending in KEYED_BY_PATH]) | (name == DOCKERFILE)
+    start = "(?:^|/)" if any_depth else "^"
+    by_name = path.rlike(_one_of(KEYED_BY_NAME) + r"\z")
+    by_path = path.rlike(_one_of(KEYED_BY_PATH) + r"\z|(?:^|/)" + re.escape(DOCKERFILE) + r"\z")
     return (
-        files.where(~_any(starts) & ~_any([name.endswith(text) for text in ignored]))
+        files.where(~path.rlike(f"(?s){start}{_one_of(ignored)}.*/"))
+        .where(~path.rlike(_one_of(ignored) + r"\z"))
         .where(by_name | by_path)
         .select(
             "repo",
             "rel_path",
-            F.when(by_name, name).otherwise(path).alias("file_name"),
-            F.when(is_notebook, X.notebook_text(F.col("content")))
+            F.when(by_name, F.element_at(F.split(path, "/"), -1)).otherwise(path).alias("file_name"),
+            F.when(path.endswith(".ipynb"), X.notebook_text(F.col("content")))
             .otherwise(X.remove_blanks(F.col("content")))
             .alias("content"),
         )
