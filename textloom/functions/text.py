@@ -68,7 +68,7 @@ def html_to_text(html: Column) -> Column:
     Comments, declarations and the content of script, style and template
     elements are dropped; character references are decoded.
     """
-    return decode_entities(F.regexp_replace(html, _MARKUP, ""))
+    return let(F.regexp_replace(html, _MARKUP, ""), decode_entities)
 
 
 def decode_entities(text: Column) -> Column:
@@ -177,16 +177,14 @@ def token_count(text: Column) -> Column:
     """Number of tokens when text is cut at every single white-space character.
 
     Empty tokens inside and at the start count, those at the end do not; an
-    empty text is one empty token, a blank one has none, null counts 0. The
-    tokens themselves are never built.
+    empty text is one empty token, a blank one has none, null counts 0.
     """
-    body = F.rtrim(text, F.lit(ASCII_SPACE))
-    spaces = F.length(body) - F.length(F.translate(body, ASCII_SPACE, ""))
+    pieces = F.split(F.rtrim(text, F.lit(ASCII_SPACE)), r"\s")
     return (
         F.when(text.isNull(), 0)
         .when(text == "", 1)
-        .when(body == "", 0)
-        .otherwise(spaces + 1)
+        .when(text.rlike(r"\S"), F.size(pieces))
+        .otherwise(0)
     )
 
 

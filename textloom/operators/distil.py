@@ -39,29 +39,21 @@ def sentence_words(df: DataFrame, key: str, text_col: str) -> DataFrame:
     )
 
 
-def word_weights(words: DataFrame, rows: DataFrame, key: str, parts: int = 32) -> DataFrame:
+def word_weights(words: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """(key, word, weight): TF-IDF of each word of each row, from `sentence_words`.
 
-    A common word has a row for nearly every document. Its document count is
-    joined by (word, part): the large side is spread over `parts` parts by
-    key, the small one is copied to the parts where the word occurs.
+    Occurrences are added up per row before the shuffle by word, so a word has
+    one row per document. The side with the document counts has one row per
+    word: when common words make a partition large, AQE splits the other side
+    and copies that one row.
     """
-    counts = (
-        words.groupBy(key, "word")
-        .agg(F.sum("n").alias("tf"))
-        .withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
-    )
+    counts = words.groupBy(key, "word").agg(F.sum("n").alias("tf"))
     # `sign(tf)` is always 1; reading tf keeps both uses of `counts` alike, so
-    # that Spark runs the shuffle below it once. A word has at most `parts`
-    # rows when its parts are added up.
-    documents = (
-        counts.groupBy("word", "part")
-        .agg(F.sum(F.sign("tf")).alias("in_part"))
-        .select("word", "part", F.sum("in_part").over(Window.partitionBy("word")).alias("df"))
-    )
+    # that Spark runs the shuffle below it once
+    documents = counts.groupBy("word").agg(F.sum(F.sign("tf")).alias("df"))
     total = rows.agg(F.count("*").alias("n")).scalar()
     idf = F.log((total + 1) / (F.col("df") + 1)) + 1
-    return counts.join(documents, ["word", "part"]).select(
+    return counts.join(documents, "word").select(
         key, "word", F.round(F.col("tf") * idf, 6).alias("weight")
     )
 

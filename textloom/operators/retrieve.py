@@ -112,6 +112,15 @@ def _scores(q: np.ndarray, d: np.ndarray, metric: str) -> np.ndarray:
     return np.round(product, 6) + 0.0
 
 
+def _pair_scores(q: np.ndarray, d: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
+    scores = np.empty(len(row))
+    step = max(1, (8 << 20) // q.shape[1])
+    for start in range(0, len(row), step):
+        part = slice(start, start + step)
+        scores[part] = np.einsum("ij,ij->i", q[row[part]], d[col[part]])
+    return np.round(scores, 6) + 0.0
+
+
 class _Best:
     """The k best (score, key) pairs of each query seen so far in a task."""
 
@@ -123,30 +132,49 @@ class _Best:
         self.key: np.ndarray | None = None
 
     def add(self, q: np.ndarray, keys: np.ndarray, d: np.ndarray, metric: str) -> None:
+        # cosine: single precision finds the candidates, with a margin above
+        # its error (n * 2^-24 for unit vectors of length n); double precision
+        # scores them
+        fast = metric == "cosine"
+        left = q.astype(np.float32) if fast else q
+        margin = q.shape[1] * 2.0**-23 + 1e-6 if fast else 0.0
         step = max(64, _SCORES // max(len(q), 1))
         for start in range(0, len(d), step):
-            self._add_block(_scores(q, d[start : start + step], metric), keys[start : start + step])
-
-    def _add_block(self, scores: np.ndarray, keys: np.ndarray) -> None:
-        rows = np.flatnonzero(scores.max(axis=1) >= self.floor)
-        if not len(rows):
-            return
-        scores = scores[rows]
-        limit = self.floor[rows]
-        if scores.shape[1] > self.k:
-            place = scores.shape[1] - self.k
-            limit = np.maximum(limit, np.partition(scores, place, axis=1)[:, place])
-        row, col = np.nonzero(scores >= limit[:, None])
-        query = np.concatenate([self.query, rows[row]])
-        score = np.concatenate([self.score, scores[row, col]])
-        key = keys[col] if self.key is None else np.concatenate([self.key, keys[col]])
+            block, names = d[start : start + step], keys[start : start + step]
+            if fast:
+                rough = left @ block.astype(np.float32).T
+            else:
+                rough = _scores(q, block, metric)
+            row, col = self._candidates(rough, margin)
+            if not len(row):
+                continue
+            score = _pair_scores(q, block, row, col) if fast else rough[row, col]
+            self._merge(row, score, names[col])
+
+    def _candidates(self, rough: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs that may be among the k best: at least the floor and the block's own k-th."""
+        active = np.flatnonzero(rough.max(axis=1) >= self.floor - margin)
+        rough = rough[active]
+        limit = self.floor[active] - margin
+        if rough.shape[1] > self.k and len(active):
+            crowded = np.flatnonzero((rough >= limit[:, None]).sum(axis=1) > 2 * self.k)
+            place = rough.shape[1] - self.k
+            own = np.partition(rough[crowded], place, axis=1)[:, place] - 2 * margin
+            limit[crowded] = np.maximum(limit[crowded], own)
+        row, col = np.nonzero(rough >= limit[:, None])
+        return active[row], col
+
+    def _merge(self, row: np.ndarray, score: np.ndarray, name: np.ndarray) -> None:
+        query = np.concatenate([self.query, row])
+        score = np.concatenate([self.score, score])
+        key = name if self.key is None else np.concatenate([self.key, name])
         order = np.lexsort((np.unique(key, return_inverse=True)[1], -score, query))
         query, score, key = query[order], score[order], key[order]
-        first = np.searchsorted(query, query)
-        kept = np.arange(len(query)) - first < self.k
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        kept = place < self.k
         self.query, self.score, self.key = query[kept], score[kept], key[kept]
-        last = np.flatnonzero((np.arange(len(query)) - first == self.k - 1))
-        self.floor[query[last]] = score[last]
+        last = np.flatnonzero(place == self.k - 1)
+        self.floor[query[last]] = np.maximum(self.floor[query[last]], score[last])
 
     def to_arrow(self, ids: pa.Array, key_type: pa.DataType) -> pa.RecordBatch:
         keys = pa.array([] if self.key is None else self.key.tolist(), key_type)

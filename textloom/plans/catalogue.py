@@ -180,7 +180,7 @@ def pdf_elements(spark: SparkSession, folder: str) -> DataFrame:
 
 def merged_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """(path, text_chunk, row_number) of documents, small lines merged."""
-    lists = table(spark, folder, "documents").select(
+    lists = spread(table(spark, folder, "documents"), "doc_id").select(
         pdf_path().alias("path"),
         chunking.merge_small_chunks(F.split("text", "\n")).alias("text_chunks"),
     )

@@ -113,7 +113,7 @@ def training_rows(
 ) -> DataFrame:
     """Posts with question, retrieved context, query and token counts, within the budget.
 
-    The search result is written once: three later steps read it.
+    Query vectors and contexts are written once: several later steps read them.
     """
     asked = training.with_question(posts)
     vectors = embed_text(
@@ -123,6 +123,7 @@ def training_rows(
         embedder,
         dim,
     )
+    vectors = materialise(vectors, "query-vectors")
     found = search_sources(vectors, {REPO: repo, PDF: pdf}, k, dim)
     contexts = context.two_source_context(vectors, found, REPO, PDF, threshold)
     return training.within_budget(
@@ -161,7 +162,7 @@ def chain_prompts(
     Search both sources, fuse by reciprocal rank, format, fill the template.
     `map_model` on `messages` would be the answer step.
     """
-    vectors = embed_text(requests, "request", "vector", embedder, dim)
+    vectors = materialise(embed_text(requests, "request", "vector", embedder, dim), "query-vectors")
     found = search_sources(vectors, {REPO: repo, PDF: pdf}, k, dim)
     fused = context.fuse(found, {REPO: context.FUSION_WEIGHT, PDF: context.FUSION_WEIGHT})
     blocks = context.passages(requests, fused)

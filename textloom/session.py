@@ -21,6 +21,8 @@ def spark_session(app: str = "textloom", master: str | None = None, **conf: str)
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # joins whose partitions turn out small skip the sort
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
