@@ -99,18 +99,21 @@ def _decode_after_ampersand(piece: Column) -> Column:
     bare_name = F.regexp_extract(piece, f"^(?:{longest_first})", 0)
     by_bare_name = F.try_element_at(_literal_map(bare), bare_name)
 
-    number = F.regexp_extract(piece, r"^#([0-9]+|[xX][0-9a-fA-F]+);?", 0)
-    digits = F.regexp_extract(number, r"([0-9a-fA-F]+);?$", 1)
-    code = F.when(
-        number.rlike("^#[xX]"), F.conv(digits, 16, 10).cast("decimal(20,0)")
-    ).otherwise(F.expr("null").cast("decimal(20,0)"))
-    code = F.coalesce(code, digits.try_cast("decimal(38,0)").cast("decimal(20,0)"))
+    number = F.regexp_extract(piece, r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", 0)
+    digits = F.ltrim(F.regexp_extract(number, r"([0-9a-fA-F]+);?$", 1), F.lit("0"))
+    code = (
+        F.when(F.length(digits) > 9, 0)  # beyond Unicode, as is 0
+        .when(number.rlike("^#[xX]"), F.conv(digits, 16, 10).cast("long"))
+        .otherwise(digits.try_cast("long"))
+    )
+
+    def replaced(character: Column, reference: Column) -> Column:
+        return F.concat(character, F.substr(piece, F.length(reference) + 1))
 
     return (
-        F.when(piece.rlike("^#(?:[0-9]{1,18}|[xX][0-9a-fA-F]{1,14})(?![0-9a-fA-F])"),
-               F.concat(_character(code), F.substr(piece, F.length(number) + 1)))
-        .when(by_name.isNotNull(), F.concat(by_name, F.substr(piece, F.length(name) + 1)))
-        .when(by_bare_name.isNotNull(), F.concat(by_bare_name, F.substr(piece, F.length(bare_name) + 1)))
+        F.when(number != "", replaced(_character(F.coalesce(code, F.lit(0))), number))
+        .when(by_name.isNotNull(), replaced(by_name, name))
+        .when(by_bare_name.isNotNull(), replaced(by_bare_name, bare_name))
         .otherwise(F.concat(F.lit("&"), piece))
     )
 

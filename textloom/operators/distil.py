@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as X
 from textloom.functions.embed import Model, map_model
+from textloom.session import materialise
 
 
 def distil_with_model(
@@ -29,32 +30,33 @@ def header(text: F.Column) -> F.Column:
     return X.strip_space(F.regexp_extract(text, r"(?m)^(.*\S.*)$", 1))
 
 
-def sentence_words(df: DataFrame, key: str, text_col: str) -> DataFrame:
-    """(key, i, word, n): how often each word occurs in sentence i of each row."""
+def word_places(df: DataFrame, key: str, text_col: str) -> DataFrame:
+    """(key, word, places): the numbers of the sentences of a row that hold a word, once per occurrence.
+
+    `key` must not be called i, word or places.
+    """
     cut = df.select(key, F.posexplode(X.sentences(F.col(text_col))).alias("i", "sentence"))
     return (
         cut.select(key, "i", F.explode(X.words(F.col("sentence"))).alias("word"))
-        .groupBy(key, "i", "word")
-        .agg(F.count("*").alias("n"))
+        .groupBy(key, "word")
+        .agg(F.collect_list("i").alias("places"))
     )
 
 
-def word_weights(words: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """(key, word, weight): TF-IDF of each word of each row, from `sentence_words`.
+def word_weights(places: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """(key, word, places, weight): TF-IDF of each word of each row, from `word_places`.
 
-    Occurrences are added up per row before the shuffle by word, so a word has
-    one row per document. The side with the document counts has one row per
-    word: when common words make a partition large, AQE splits the other side
-    and copies that one row.
+    A word has one row per document, its occurrences are already gathered. The
+    side with the document counts has one row per word: when common words make
+    a partition large, AQE splits the other side and copies that one row.
     """
-    counts = words.groupBy(key, "word").agg(F.sum("n").alias("tf"))
-    # `sign(tf)` is always 1; reading tf keeps both uses of `counts` alike, so
-    # that Spark runs the shuffle below it once
-    documents = counts.groupBy("word").agg(F.sum(F.sign("tf")).alias("df"))
+    # `sign(size)` is always 1; reading the places keeps both uses of `places`
+    # alike, so that Spark runs the shuffle below them once
+    documents = places.groupBy("word").agg(F.sum(F.sign(F.size("places"))).alias("df"))
     total = rows.agg(F.count("*").alias("n")).scalar()
     idf = F.log((total + 1) / (F.col("df") + 1)) + 1
-    return counts.join(documents, "word").select(
-        key, "word", F.round(F.col("tf") * idf, 6).alias("weight")
+    return places.join(documents, "word").select(
+        key, "word", "places", F.round(F.size("places") * idf, 6).alias("weight")
     )
 
 
@@ -75,14 +77,12 @@ def keywords(weights: DataFrame, key: str, count: int = 10) -> DataFrame:
     )
 
 
-def best_sentences(
-    words: DataFrame, weights: DataFrame, key: str, count: int = 3
-) -> DataFrame:
+def best_sentences(weights: DataFrame, key: str, count: int = 3) -> DataFrame:
     """(key, picked): numbers of the sentences with the largest sums of word weights, ascending."""
     scored = (
-        words.join(weights, [key, "word"])
+        weights.select(key, "weight", F.explode("places").alias("i"))
         .groupBy(key, "i")
-        .agg(F.round(F.sum(F.col("n") * F.col("weight")), 4).alias("score"))
+        .agg(F.round(F.sum("weight"), 4).alias("score"))
     )
     best = _best(scored, key, [F.desc("score"), F.col("i")], count, "i")
     return best.select(key, F.array_sort(F.transform("best", lambda e: e["i"])).alias("picked"))
@@ -96,9 +96,15 @@ def distil(
     `key` must be unique. Texts are shuffled once, to meet their keywords and
     sentence numbers; the sentences are cut again from the text itself.
     """
-    words = sentence_words(df, key, text_col)
-    weights = word_weights(words, df, key)
-    picked = keywords(weights, key).join(best_sentences(words, weights, key), key)
+    rows = df.select(F.col(key).alias("_key"), F.col(text_col).alias("_text"))
+    places = word_places(rows, "_key", "_text")
+    # read by two branches below, so written once
+    weights = materialise(word_weights(places, rows, "_key"), "word-weights")
+    picked = (
+        keywords(weights, "_key")
+        .join(best_sentences(weights, "_key"), "_key")
+        .withColumnRenamed("_key", key)
+    )
     text = F.col(text_col)
     summary = X.let(
         X.sentences(text),

@@ -402,8 +402,8 @@ def distil_files(spark, folder):
 @query
 def distil_keywords(spark, folder):
     docs = spread(table(spark, folder, "documents"), "doc_id").select("doc_id", "text")
-    words = distil.sentence_words(docs, "doc_id", "text")
-    return distil.keywords(distil.word_weights(words, docs, "doc_id"), "doc_id")
+    places = distil.word_places(docs, "doc_id", "text")
+    return distil.keywords(distil.word_weights(places, docs, "doc_id"), "doc_id")
 
 
 @query
