@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Iterator
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,24 +39,50 @@ def recent_repos(repos: DataFrame, run_time: dt.datetime, max_age_days: int = MA
     )
 
 
+def _open(root: str) -> tuple[fs.FileSystem, str]:
+    where, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+    return where, base.rstrip("/")
+
+
 def read_checkouts(spark: SparkSession, root: str) -> DataFrame:
     """Files of all checkouts below `root` as (repo, rel_path, content bytes).
 
-    The first folder below `root` names the repository. File names that no
-    rule keeps are left out while listing, so their bytes are never read.
+    The first folder below `root` names the repository. Spark's own file
+    sources skip names that start with `_` or `.`, such as `__init__.py`, so
+    tasks list the repositories and, spread anew over all cores, read the
+    files; one large repository does not keep one task busy. Files that no
+    rule keeps are not read. `root` is a path or a URI that all executors can
+    reach.
     """
-    wanted = [f"*{ending}" for ending in KEYED_BY_NAME + KEYED_BY_PATH] + [DOCKERFILE]
-    below = F.element_at(F.split("path", root.rstrip("/") + "/", 2), 2)
+    endings = (*KEYED_BY_NAME, *KEYED_BY_PATH, DOCKERFILE)
+    where, base = _open(root)
+    names = [i.base_name for i in where.get_file_info(fs.FileSelector(base)) if not i.is_file]
+    tasks = 4 * spark.sparkContext.defaultParallelism
+
+    def list_repos(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        where, base = _open(root)
+        for batch in batches:
+            for repo in batch["repo"]:
+                top = f"{base}/{repo}/"
+                found = where.get_file_info(fs.FileSelector(top, recursive=True))
+                paths = [i.path.removeprefix(top) for i in found if i.is_file]
+                wanted = [path for path in paths if path.endswith(endings)]
+                yield pd.DataFrame({"repo": [repo] * len(wanted), "rel_path": wanted})
+
+    def read_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        where, base = _open(root)
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                with where.open_input_stream(f"{base}/{row.repo}/{row.rel_path}") as stream:
+                    content = stream.read()
+                yield pd.DataFrame([(row.repo, row.rel_path, content)], columns=["repo", "rel_path", "content"])
+
+    repos = spark.createDataFrame([(name,) for name in names], "repo string")
     return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "{" + ",".join(wanted) + "}")
-        .load(root)
-        .select(
-            F.split_part(below, F.lit("/"), F.lit(1)).alias("repo"),
-            F.regexp_replace(below, "^[^/]*/", "").alias("rel_path"),
-            "content",
-        )
+        repos.repartition(min(max(len(names), 1), tasks))
+        .mapInPandas(list_repos, "repo string, rel_path string")
+        .repartition(tasks, "repo", "rel_path")
+        .mapInPandas(read_files, "repo string, rel_path string, content binary")
     )
 
 
