@@ -99,12 +99,12 @@ def test_repos_from_json_to_gold_in_two_runs(spark, tmp_path):
 def test_posts_from_csv_and_html_to_gold(spark, tmp_path):
     landing, root = tmp_path / "landing", str(tmp_path / "lake")
     header = "post_id,post_date,is_published,email_sent_at,inbox_sent_at,type,audience,title,subtitle\n"
-    write(landing / "export1" / "posts.csv", header
+    write(landing / "export 1" / "posts.csv", header
           + '1,2024-01-01,true,,,newsletter,everyone,"One, ""quoted""",Sub\n'
           + "2,2024-01-01,false,,,newsletter,everyone,Two,\n3,2024-01-01,,,,newsletter,everyone,Three,\n"
           + "4,2024-01-01,true,,,newsletter,everyone,,\n5,2024-01-01,true,,,newsletter,everyone,Lost,\n")
     for n in (1, 2, 3, 4):
-        write(landing / "export1" / "posts" / f"{n}.html", f"<p>Text &amp; {n}</p>")
+        write(landing / "export 1" / "posts" / f"{n}.html", f"<p>Text &amp; {n}</p>")
     gold = {r.post_id: r.text for r in jobs.ingest_posts(spark, str(landing), root).collect()}
     assert gold == {"1": "Text & 1", "2": "Text & 2", "5": None}
     silver = spark.read.parquet(f"{root}/silver/posts")

@@ -68,7 +68,8 @@ def read_html_files(spark: SparkSession, folder: str) -> DataFrame:
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.html")
         .load(folder)
-        .select(F.col("path").alias("html_path"), F.col("content").alias("html_bytes"))
+        # the same form of path as stream_csv reports, also with blanks in it
+        .select(F.col("_metadata.file_path").alias("html_path"), F.col("content").alias("html_bytes"))
     )
 
 
