@@ -132,7 +132,12 @@ def training_rows(
 
 
 def build_training_set(rows: DataFrame, feature_path: str, jsonl_path: str) -> DataFrame:
-    """Write the feature table and the chat file; returns the chat records."""
+    """Write the feature table and the chat file; returns the chat records.
+
+    The rows are written once first: the key check, the features and the chat
+    file all read them.
+    """
+    rows = materialise(rows.select("post_id", "query", "text"), "training-rows")
     tables.write_keyed(rows.select("post_id", "query"), feature_path, "post_id")
     features = rows.sparkSession.read.parquet(feature_path)
     records = training.chat_records(
