@@ -14,8 +14,8 @@ pieces of their own; an empty table gives an empty result. Other columns are not
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -31,14 +31,24 @@ from textloom.session import materialise
 
 #: Pieces that one group of a numbering holds on average.
 GROUP = 50_000
-_CACHE = 400_000
+#: Parts whose ids a worker remembers.
+_CACHE = 600_000
+
+
+#: Letters and digits below U+0180 as the pre-tokeniser sees them after lower-casing.
+_LETTER, _DIGIT = "a-zªµºß-öø-ÿĀ-ſ", "0-9²³¹¼½¾"
+#: Texts of these characters are cut here; in others, words with further characters go through the library whole.
+_PLAIN = re.compile("[\\t\\n !-~¡-¬®-įı-ſ]*")
+_PARTS = re.compile(rf"[{_LETTER}]+|[{_DIGIT}]|'(?:s|t|re|ve|m|ll|d)|[^\s{_LETTER}{_DIGIT}]+")
 
 
 class WordTokens:
-    """Ids of a text by a vocabulary that drops white space, word by word with a bounded cache.
+    """Ids of a text by a vocabulary that drops white space, part by part with a bounded cache.
 
-    Normaliser and pre-tokeniser of such a vocabulary never look across white space, so the ids
-    of a text are those of its words in order. The cache changes no result.
+    Normaliser and pre-tokeniser never look across white space, and byte pairs never across the
+    parts the pre-tokeniser makes, so the ids of a text are those of its parts in order. New parts
+    are encoded many at a time by the library; an id that ends a part tells where the next begins.
+    The cache changes no result.
     """
 
     def __init__(self, path: str):
@@ -46,20 +56,54 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, tuple[int, ...]] = {}
-
-    def __call__(self, texts: list[str | None], end: int = 0) -> list[array]:
-        split = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        new = list({w for words in split for w in words}.difference(self.cache))
-        if len(self.cache) + len(new) > _CACHE:
-            self.cache = {}
-            new = list({w for words in split for w in words})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.cache.update((w, tuple(e.ids)) for w, e in zip(part, found))
-        get = self.cache.__getitem__
-        return [array("I", chain(chain.from_iterable(map(get, words)), (end,))) for words in split]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.parts: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def _learn(self, new: list[str]) -> None:
+        plain = [p for p in new if _PLAIN.fullmatch(p) and _PARTS.fullmatch(p)]
+        for at in range(0, len(plain), 1000):
+            some = plain[at : at + 1000]
+            ids = self._encode([" ".join(some)])[0]
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(cuts) == len(some):
+                raw = ids.tobytes()
+                self.parts.update((p, raw[a:b]) for p, a, b in zip(some, [0, *cuts], cuts))
+            else:
+                self.parts.update((p, i.tobytes()) for p, i in zip(some, self._encode(some)))
+        whole = list(set(new).difference(plain))
+        for at in range(0, len(whole), 1000):
+            some = whole[at : at + 1000]
+            self.parts.update((w, i.tobytes()) for w, i in zip(some, self._encode(some)))
+
+    def _cut(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            return _PARTS.findall(text.lower())
+        out: list[str] = []
+        for word in text.replace("\n", " ").replace("\t", " ").split(" "):
+            if _PLAIN.fullmatch(word) and "<|" not in word:
+                out += _PARTS.findall(word.lower())
+            else:
+                out.append(word)
+        return out
+
+    def __call__(self, texts: list[str | None], end: int = 0) -> list[bytes]:
+        """Ids of each text, then `end`, as little-endian 32-bit numbers."""
+        cut = [self._cut(t) for t in texts]
+        used = set(chain.from_iterable(cut))
+        new = used.difference(self.parts)
+        if len(self.parts) + len(new) > _CACHE:
+            self.parts, new = {}, used
+        self._learn(list(new))
+        get, last = self.parts.__getitem__, np.array([end], "<u4").tobytes()
+        return [b"".join(map(get, parts)) + last for parts in cut]
 
 
 _WORKER: dict[str, WordTokens] = {}
@@ -73,10 +117,10 @@ def _pieces(path: str, capacity: int, end: int, with_ids: bool):
         out = []
         for ids in tokens(texts, end):
             rows = []
-            for piece, start in enumerate(range(0, len(ids), capacity)):
-                part = ids[start : start + capacity]
-                row = (piece, start, len(part), zlib.crc32(np.asarray(part, "<u4").tobytes()))
-                rows.append((*row, part.tolist() if with_ids else None))
+            for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
+                part = ids[4 * start : 4 * (start + capacity)]
+                row = (piece, start, len(part) // 4, zlib.crc32(part))
+                rows.append((*row, np.frombuffer(part, "<u4").tolist() if with_ids else None))
             out.append((rows,))
         return out
 

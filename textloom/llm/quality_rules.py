@@ -28,18 +28,27 @@ MEASURES = (
 )
 
 
-def repeated_words(words: list) -> int:
-    """Words that lie in a window of three words found at least twice in the list."""
-    n = len(words)
-    if n < 4:
-        return 0
+def numbered(words: list) -> tuple[np.ndarray, int]:
+    """Each word's number by first occurrence, and how many differ."""
     number: dict = {}
-    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, n)
-    pairs = np.unique(ids[:-1] * len(number) + ids[1:], return_inverse=True)[1]
-    windows = pairs[:-1] * len(number) + ids[2:]
-    _, where, count = np.unique(windows, return_inverse=True, return_counts=True)
-    again = count[where] > 1
-    inside = np.zeros(n, bool)
+    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+    return ids, len(number)
+
+
+def repeated_words(ids: np.ndarray, different: int) -> int:
+    """Words that lie in a window of three words found at least twice; `ids` as from numbered()."""
+    if len(ids) < 4 or different == len(ids):
+        return 0
+    pairs, base = ids[:-1] * different + ids[1:], different
+    if different >= 2_000_000:  # three numbers do not fit into 63 bits
+        pairs = np.unique(pairs, return_inverse=True)[1]
+    windows = pairs[:-1] * base + ids[2:]
+    order = np.argsort(windows, kind="stable")
+    equal = windows[order[1:]] == windows[order[:-1]]
+    again = np.zeros(len(windows), bool)
+    again[order[1:][equal]] = True
+    again[order[:-1][equal]] = True
+    inside = np.zeros(len(ids), bool)
     inside[:-2] |= again
     inside[1:-1] |= again
     inside[2:] |= again
@@ -59,7 +68,7 @@ def measure(text: str | None) -> tuple:
         len(text) - sum(text.count(c) for c in SPACES),
         sum(int(letters[ord(c)]) for c in SYMBOLS),
         len(lines) - len(set(lines)),
-        repeated_words(words),
+        repeated_words(*numbered(words)),
         len(lines),
         int(letters[65:91].sum()),
         int(letters[97:123].sum()),

@@ -59,31 +59,63 @@ SEEDS = (
 )
 SEED_WEIGHT = 2.0
 
-_LETTERS = {ord(c): latin for latin, alike in LOOKALIKES.items() for c in alike + alike.upper() if c != "|"}
-_ZERO_WIDTH = dict.fromkeys((0x00AD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF))
+_ALIKE = {c: latin for latin, alike in LOOKALIKES.items() for c in alike + alike.upper() if c != "|"}
 _LEET = str.maketrans(LEET)
-_MIXED = re.compile(r"[^\W\d_]*[0-9@$!]+[^\W_]?[0-9@$!\w]*")
+_RUN = re.compile(r"[\w@$!]+")
+_SPECIAL = re.compile(r"[0-9@$!]")
 _GAP = re.compile(r"[\W_]+")
 
 
-def _mixed(found: re.Match) -> str:
-    word = found.group()
+class _Letters(dict):
+    """Code point -> Latin letters without marks; format characters vanish. Filled as letters occur."""
+
+    def __missing__(self, point: int) -> str:
+        char = chr(point)
+        bare = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+        bare = "".join(_ALIKE.get(c, c) for c in bare)
+        self[point] = out = "" if unicodedata.category(char) in ("Cf", "Mn", "Me") else bare
+        return out
+
+
+_LETTERS = _Letters()
+
+
+def _spelt(run: re.Match) -> str:
+    """Digits and signs of a run as letters, if it holds a letter; signs at its end stay."""
+    word = run.group()
     body = word.rstrip("!$@")
-    if not any(c.isalpha() for c in body):
+    if not any(map(str.isalpha, body)):
         return word
     return body.translate(_LEET) + word[len(body) :]
 
 
+def fold_word(word: str) -> str:
+    """A word between white space, folded: its parts, each followed by a space."""
+    if not word.isascii():
+        word = word.translate(_LETTERS)
+    word = word.lower()
+    if _SPECIAL.search(word):
+        word = _RUN.sub(_spelt, word)
+    word = word if word.isalpha() else _GAP.sub(" ", word).strip()
+    return f"{word} " if word else ""
+
+
+class _Folds(dict):
+    """Folded words, so far as they fit; what is missing is folded anew."""
+
+    def __missing__(self, word: str) -> str:
+        if len(self) > 200_000:
+            self.clear()
+        self[word] = out = fold_word(word)
+        return out
+
+
+_FOLDS = _Folds()
+
+
 def fold(text: str | None) -> str:
-    """Lower-case folded words, one space between, before and after."""
-    text = text or ""
-    if not text.isascii():
-        text = text.translate(_ZERO_WIDTH)
-        parts = unicodedata.normalize("NFKD", text)
-        text = "".join(c for c in parts if not unicodedata.combining(c)) if parts != text else text
-        text = text.translate(_LETTERS)
-    text = _MIXED.sub(_mixed, text.lower())
-    return f" {_GAP.sub(' ', text).strip()} "
+    """Folded words, one space before, between and after."""
+    return " " + "".join(map(_FOLDS.__getitem__, (text or "").split()))
 
 
 def patterns_of(folded: str) -> set[str]:
