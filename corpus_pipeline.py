@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import packing, rule_ensemble, simhash, toxicity
+from textloom.llm import packing, pii, rule_ensemble, simhash, toxicity
 from textloom.session import materialise
 
 
@@ -34,6 +34,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_one(docs, width=3, reach=3)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced by its kind."""
+    return pii.redact(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in as few sequences as possible."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2048)
@@ -43,6 +48,7 @@ STAGES = [
     ("quality classifier", quality),
     ("toxicity", toxic),
     ("SimHash near-dedup", near_duplicates),
+    ("PII", personal_data),
     ("best-fit packing", pack),
 ]
 
