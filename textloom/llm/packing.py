@@ -222,7 +222,7 @@ def _pair(counts: Counter, j: int, beside: int, room: int) -> tuple[int, ...] |
         # for a falling a, the largest b <= a that still fits rises
         while low > high and j + a + lengths[low - 1] <= room:
             low -= 1
-        for b in lengths[max(low, high) : max(low, high) + 1]:
+        for b in lengths[max(low, high) : max(low, high) + 2]:
             fits = j + a + b <= room and (a != b or counts[a] > 1)
             if fits and (best is None or a + b > sum(best)):
                 best = (a, b)

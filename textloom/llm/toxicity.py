@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +35,11 @@ from textloom.session import materialise
 PER_CLASS = 6000
 #: Lengths of the beginnings of words that may become patterns.
 STEMS = range(4, 9)
-#: A pattern must occur in so many toxic training texts, and so much oftener there than elsewhere.
+#: A pattern must occur in so many toxic training texts, so much oftener there than elsewhere (log odds), and
+#: so surely (log likelihood ratio against chance; many patterns are tried).
 LEAST_TEXTS = 5
-LEAST_WEIGHT = math.log(3)
+LEAST_ODDS = math.log(3)
+LEAST_EVIDENCE = 14.0
 #: Size of the lexicon, a parameter of the model.
 MOST_PATTERNS = 5000
 
@@ -183,6 +186,13 @@ class Matcher:
         return math.log1p(total), math.log1p(100 * total / words), max(best.values(), default=0.0), len(best)
 
 
+def likeness(text: str | None) -> int:
+    """The smallest hash among the three-word runs of a text; near copies mostly share it."""
+    words = (text or "").encode().split()
+    runs = map(b" ".join, zip(words, words[1:], words[2:])) if len(words) > 2 else [b" ".join(words)]
+    return min(map(xxhash.xxh64_intdigest, runs)) >> 1
+
+
 def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Texts with each pattern, by class, summed within the task as far as memory allows."""
     toxic, other = Counter(), Counter()
@@ -214,22 +224,40 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_other: int, exceptions: tup
     t, o = F.col("t") + 0.5, F.col("o") + 0.5
     spread = F.sqrt(1 / t + 1 / o)
     odds = F.log(t / (n_toxic + 1.0)) - F.log(o / (n_other + 1.0))
-    weighed = counts.where(F.col("t") >= LEAST_TEXTS).select("pattern", (odds - 1.64 * spread).alias("w")).where(F.col("w") >= LEAST_WEIGHT)
+    chance = n_toxic / (n_toxic + n_other)
+    share = F.col("t") / (F.col("t") + F.col("o"))
+    evidence = F.col("t") * F.log(share / chance) + F.when(
+        F.col("o") > 0, F.col("o") * F.log((1 - share) / (1 - chance))
+    ).otherwise(0.0)
+    telling = counts.where((F.col("t") >= LEAST_TEXTS) & (odds >= LEAST_ODDS) & (evidence >= LEAST_EVIDENCE))
+    weighed = telling.select("pattern", "t", F.greatest(odds - 2 * spread, F.lit(1.0)).alias("w"))
     rows = weighed.orderBy(F.desc("w"), "pattern").limit(MOST_PATTERNS).collect()
-    weight = {r.pattern: r.w for r in rows}
+    weight = _clearest({r.pattern: (r.t, float(r.w)) for r in rows})
     seeds = [f" {word} " for word in SEEDS]
     against = counts.where(F.col("pattern").isin(seeds) & (odds <= 0) & (F.col("o") >= LEAST_TEXTS))
     refuted = {r.pattern for r in against.select("pattern").collect()}
     for seed in seeds:
         if seed not in refuted:
             weight.setdefault(seed, SEED_WEIGHT)
-    kept = []
-    for pattern, w in weight.items():
-        # a beginning that says as much makes its longer forms redundant
-        shorter = (pattern[:n] for n in range(2, len(pattern)))
-        if not any(weight.get(s, -1.0) >= w for s in shorter):
-            kept.append((pattern, round(float(w), 6)))
-    return Lexicon(tuple(sorted(kept)), exceptions)
+    return Lexicon(tuple(sorted((p, round(w, 6)) for p, w in weight.items())), exceptions)
+
+
+def _clearest(found: dict[str, tuple[int, float]]) -> dict[str, float]:
+    """Of nested patterns the ones that say most: pattern -> weight.
+
+    A beginning whose texts nearly all hold one longer beginning gives way to that one; a longer
+    pattern gives way to a beginning that weighs as much.
+    """
+    grown = set()
+    for pattern, (t, _) in found.items():
+        if not pattern.endswith(" "):
+            for n in range(len(pattern) - 1, 4, -1):
+                if pattern[:n] in found and t >= 0.9 * found[pattern[:n]][0]:
+                    grown.add(pattern[:n])
+    left = {p: w for p, (_, w) in found.items() if p not in grown}
+    return {
+        p: w for p, w in left.items() if not any(left.get(p[:n], -1.0) >= w - 0.1 for n in range(5, len(p)))
+    }
 
 
 def train(docs: DataFrame, labels: DataFrame, training: Column, per_class: int = PER_CLASS) -> Lexicon:
@@ -241,8 +269,13 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, per_class: int =
     share = min(max(0.5 if share is None else float(share), 0.001), 0.999)
     if len(sizes) < 2:
         return Lexicon((), EXCEPTIONS, intercept=math.log(share / (1 - share)))
-    drawn = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    drawn = materialise(drawn.dropDuplicates(["doc_id"]), "toxicity-texts")
+    drawn = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    keyed = add_columns(drawn, [F.col("text")], [F.col("text"), F.col("y")], "k long", lambda: lambda texts: [(likeness(t),) for t in texts])
+    # of near copies one text counts, or what they share would look telling
+    drawn = materialise(keyed.dropDuplicates(["k", "y"]).select("text", "y"), "toxicity-texts")
+    sizes = {r.y: r["count"] for r in drawn.groupBy("y").count().collect()}
+    if len(sizes) < 2:
+        return Lexicon((), EXCEPTIONS, intercept=math.log(share / (1 - share)))
     lexicon = learn_lexicon(drawn, sizes[1], sizes[0])
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(lexicon)
