@@ -67,7 +67,7 @@ def test_small_and_broken_inputs(spark, strategy):
 
 
 def test_cells_split_a_crowded_cell(spark, monkeypatch):
-    monkeypatch.setattr(retrieve, "BLOCK_BYTES", 400)
+    monkeypatch.setattr(retrieve, "BLOCK_ROWS", 16)
     docs = [(i, [1.0, 0.0, i / 1000]) for i in range(200)] + [(1000 + i, [0.0, 1.0, i / 1000]) for i in range(20)]
     queries = [(i, [1.0, 0.1, i / 10]) for i in range(30)]
     q, d = frames(spark, queries, docs, "bigint")
@@ -75,12 +75,36 @@ def test_cells_split_a_crowded_cell(spark, monkeypatch):
     assert fast == gathered(retrieve.knn_join(q, d, 4, 3, strategy="broadcast"))
 
 
-def test_broadcast_refuses_a_large_query_side(spark, monkeypatch):
-    monkeypatch.setattr(retrieve, "BROADCAST_BYTES", 32)
-    q, d = frames(spark, [(str(i), [1.0, float(i)]) for i in range(5)], [("a", [1.0, 1.0])])
-    with pytest.raises(ValueError):
-        retrieve.knn_join(q, d, 1, 2, strategy="broadcast")
-    assert retrieve.knn_join(q, d, 1, 2).count() == 5  # auto takes cells
+@pytest.mark.parametrize("strategy", ["auto", "broadcast", "cells"])
+def test_many_chunks_of_queries_and_repeated_ids(spark, monkeypatch, strategy):
+    monkeypatch.setattr(retrieve, "BROADCAST_BYTES", 8 * 6 * 40)
+    monkeypatch.setattr(retrieve, "BLOCK_ROWS", 7)
+    rng = np.random.default_rng(3)
+    hashed = np.round(rng.normal(size=(260, 6)) * (rng.random((260, 6)) < 0.3), 1)  # many equal scores
+    docs = [(f"d{i:03}", v.tolist()) for i, v in enumerate(hashed)]
+    queries = [(f"q{i:03}", v.tolist()) for i, v in enumerate(hashed[:150])]
+    q, d = frames(spark, queries + queries[:20], docs)
+    found = gathered(retrieve.knn_join(q, d, 5, 6, strategy=strategy))
+    want = {name: rows for name, rows in brute(queries, docs, 5, "cosine").items() if dict(queries)[name] != [0.0] * 6}
+    assert {n: [pk for pk, _ in r] for n, r in found.items()} == {n: [pk for pk, _ in r] for n, r in want.items()}
+
+
+@pytest.mark.parametrize("records", [1, 3, 1000])
+@pytest.mark.parametrize("metric", retrieve.METRICS)
+def test_batch_sizes_change_nothing(spark, records, metric):
+    rng = np.random.default_rng(5)
+    hashed = rng.integers(-1, 2, (120, 16)) * (rng.random((120, 16)) < 0.4)
+    rows = [(f"k{i:03}", v.astype(float).tolist()) for i, v in enumerate(hashed)]
+    q, d = frames(spark, rows[:40], rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
+    try:
+        found = [gathered(retrieve.knn_join(q, d, 4, 16, metric, s)) for s in ("broadcast", "cells")]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = brute(rows[:40], rows, 4, metric)
+    assert found[0] == found[1]
+    for name, results in found[0].items():
+        assert [pk for pk, _ in results] == [pk for pk, _ in want[name]]
 
 
 def results(spark, rows):

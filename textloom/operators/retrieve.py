@@ -1,21 +1,20 @@
 """Similarity join: for every query vector the k best document vectors.
 
-Exact in both strategies; pairs are scored in matrix blocks inside tasks and
-only the best k per query leave a task.
-
-`broadcast`  a query side of checked size goes to every task, documents are
-             read where they lie. One pass over the documents.
-`cells`      both sides large. Documents are grouped around pivots and cut
-             into blocks of bounded size. A query first meets the cells next
-             to it; its k-th best score there rules out, by the triangle
-             inequality, cells that cannot hold anything better (Lu, Shen,
-             Chen, Ooi: Efficient Processing of k Nearest Neighbor Joins using
-             MapReduce, VLDB 2012).
-
-Scores are rounded to 6 digits and ties broken by document key in every step,
-so results do not depend on how the rows are spread. Null vectors, vectors of
-another length or with nulls inside, and for cosine those of length 0 take no
-part.
+Exact in both strategies; pairs are scored in matrix blocks inside tasks, only the best k per
+query leave a task, and neither side is ever whole in one place. Queries come in chunks of a
+fixed size; each chunk is broadcast and meets the documents where they lie.
+
+`broadcast`  one pass over the documents per chunk, no shuffle of vectors.
+`cells`      documents are first put next to each other by nearest pivot, in one shuffle, and
+             written. A pass then leaves out, for each block of documents, the queries that by
+             the triangle inequality can find nothing better in it than what they know. Where
+             the vectors have clusters most blocks meet few queries.
+
+A query and a document meet once, in whichever strategy. Scores of results come from the two
+vectors alone in double precision, are rounded to 6 digits and ties broken by document key, so
+results do not depend on how rows are spread or batched. Null vectors, vectors of another
+length or with nulls inside, and for cosine those of length 0 take no part. Keys of documents
+must be unique; of queries that share an id the smallest vector is searched.
 """
 
 from __future__ import annotations
@@ -29,13 +28,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.session import fits, materialise
+from textloom.session import materialise
 
 METRICS = ("cosine", "dot", "l2")
 BROADCAST_BYTES = 32 << 20
-BLOCK_BYTES = 4 << 20
-CELLS = 256
-CHUNK = 512
+BLOCK_ROWS = 2048
+#: Pivots per square root of the number of documents, and the most there can be (all are broadcast).
+CELLS_PER_ROOT, MOST_CELLS = 0.25, 4096
+#: Documents that give every query of `cells` its first bound.
+FIRST_ROWS = 2048
+#: Parts in which the results of a query are merged first.
+MERGE_PARTS = 16
 _SCORES = 4 << 20  # scores held at once in a task
 
 
@@ -47,37 +50,63 @@ def knn_join(
     metric: str = "cosine",
     strategy: str = "auto",
     skip_same_key: bool = False,
-    cells: int = CELLS,
+    cells: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, pk, score): the k best documents of each query.
 
     `queries` has query_id and vector, `docs` has pk and vector, with vectors
     of length `dim`. With `skip_same_key` a document is not a result of the
-    query that has its key.
+    query that has its key. `auto` sorts the documents into cells when there
+    is more than one chunk of queries; both strategies give the same rows.
     """
     if metric not in METRICS:
         raise ValueError(f"metric is one of {METRICS}")
+    if strategy not in ("auto", "broadcast", "cells"):
+        raise ValueError("strategy is 'auto', 'broadcast' or 'cells'")
     queries = queries.select("query_id", "vector").where(F.size("vector") == dim)
+    queries = queries.groupBy("query_id").agg(F.min("vector").alias("vector"))
     docs = docs.select("pk", "vector").where(F.size("vector") == dim)
     depth = k + 1 if skip_same_key else k
-    if strategy == "auto":
-        small = fits(queries, BROADCAST_BYTES // (8 * dim))
-        strategy = "broadcast" if small else "cells"
-    if strategy == "broadcast":
-        found = _search_broadcast(queries, docs, depth, dim, metric)
-    elif strategy == "cells":
-        found = _search_cells(queries, docs, depth, dim, metric, cells)
+    chunks = query_chunks(queries, dim)
+    if strategy == "cells" or (strategy == "auto" and len(chunks) > 1):
+        docs, floors = _in_cells(docs, dim, metric, cells), _first_rows(docs, dim, metric)
     else:
-        raise ValueError("strategy is 'auto', 'broadcast' or 'cells'")
+        floors = None
+    found = None
+    for chunk in chunks:
+        part = _search(chunk, docs, depth, dim, metric, floors)
+        found = part if found is None else found.unionByName(part)
     if skip_same_key:
         found = found.where(F.col("query_id") != F.col("pk"))
     return best_of(found, k)
 
 
+def query_chunks(queries: DataFrame, dim: int) -> list[DataFrame]:
+    """The queries in parts of at most BROADCAST_BYTES of vectors, by the hash of their id."""
+    most = max(BROADCAST_BYTES // (8 * dim), 1)
+    if queries.select(F.lit(1)).limit(most + 1).count() <= most:
+        return [queries]
+    written = materialise(queries, "queries")
+    # aimed at half the bound: hashing leaves parts unequal, and the bound is checked where they are read
+    number = -(-2 * written.count() // most)
+    return [written.where(F.pmod(F.xxhash64("query_id"), F.lit(number)) == i) for i in range(number)]
+
+
 def best_of(found: DataFrame, k: int) -> DataFrame:
-    """The k best rows of each query, ranked. Each task drops its surplus before the shuffle."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "pk")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    """The k best rows of each query, ranked.
+
+    Each task drops its surplus before the shuffle, and what the tasks found for a
+    query is merged in parts first, so that no task gets the rows of all tasks.
+    """
+    order = [F.desc("score"), F.col("pk")]
+    parts = Window.partitionBy("query_id", "_part").orderBy(*order)
+    merged = (
+        found.withColumn("_part", F.pmod(F.xxhash64("pk"), F.lit(MERGE_PARTS)))
+        .withColumn("_place", F.row_number().over(parts))
+        .where(F.col("_place") <= k)
+    )
+    every = Window.partitionBy("query_id").orderBy(*order)
+    ranked = merged.withColumn("rank", F.row_number().over(every)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "pk", "score")
 
 
@@ -104,20 +133,35 @@ def _usable(matrix: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _scores(q: np.ndarray, d: np.ndarray, metric: str) -> np.ndarray:
+    """Scores of all pairs, up to rounding errors."""
     product = q @ d.T
     if metric == "l2":
         square = (q * q).sum(1)[:, None] + (d * d).sum(1)[None, :] - 2 * product
         product = 1 / (1 + np.maximum(square, 0))
-    # + 0.0 turns a rounded -0.0 into 0.0
-    return np.round(product, 6) + 0.0
+    return product
+
+
+def _margin(q: np.ndarray, d: np.ndarray, metric: str) -> float:
+    """More than `_scores` can be off, in single precision for cosine, and half of the last digit kept."""
+    if metric == "cosine":
+        return q.shape[1] * 2.0**-23 + 1e-6
+    size = np.linalg.norm(q, axis=1).max(initial=0) + np.linalg.norm(d, axis=1).max(initial=0)
+    return float(q.shape[1] * 2.0**-50 * (1 + size * size)) + 1e-6
 
 
-def _pair_scores(q: np.ndarray, d: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
+def _pair_scores(q: np.ndarray, d: np.ndarray, row: np.ndarray, col: np.ndarray, metric: str) -> np.ndarray:
+    """Scores of single pairs, the same whatever other pairs are asked for."""
     scores = np.empty(len(row))
     step = max(1, (8 << 20) // q.shape[1])
     for start in range(0, len(row), step):
         part = slice(start, start + step)
-        scores[part] = np.einsum("ij,ij->i", q[row[part]], d[col[part]])
+        left, right = q[row[part]], d[col[part]]
+        if metric == "l2":
+            left = right = left - right
+        scores[part] = np.einsum("ij,ij->i", left, right)
+    if metric == "l2":
+        scores = 1 / (1 + scores)
+    # + 0.0 turns a rounded -0.0 into 0.0
     return np.round(scores, 6) + 0.0
 
 
@@ -131,38 +175,34 @@ class _Best:
         self.score = np.empty(0)
         self.key: np.ndarray | None = None
 
-    def add(self, q: np.ndarray, keys: np.ndarray, d: np.ndarray, metric: str) -> None:
-        # cosine: single precision finds the candidates, with a margin above
-        # its error (n * 2^-24 for unit vectors of length n); double precision
-        # scores them
+    def add(self, q: np.ndarray, keys: np.ndarray, d: np.ndarray, metric: str, which: np.ndarray | None = None) -> None:
+        """Score documents against the queries `which` (all, if None) of `q`."""
+        which = np.arange(len(q)) if which is None else which
+        if not len(which) or not len(d):
+            return
         fast = metric == "cosine"
-        left = q.astype(np.float32) if fast else q
-        margin = q.shape[1] * 2.0**-23 + 1e-6 if fast else 0.0
-        step = max(64, _SCORES // max(len(q), 1))
+        left = q[which].astype(np.float32) if fast else q[which]
+        margin = _margin(left, d, metric)
+        step = max(64, _SCORES // len(which))
         for start in range(0, len(d), step):
             block, names = d[start : start + step], keys[start : start + step]
-            if fast:
-                rough = left @ block.astype(np.float32).T
-            else:
-                rough = _scores(q, block, metric)
-            row, col = self._candidates(rough, margin)
-            if not len(row):
-                continue
-            score = _pair_scores(q, block, row, col) if fast else rough[row, col]
-            self._merge(row, score, names[col])
-
-    def _candidates(self, rough: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:
+            rough = left @ block.astype(np.float32).T if fast else _scores(left, block, metric)
+            row, col = self._candidates(rough, margin, which)
+            if len(row):
+                self._merge(row, _pair_scores(q, block, row, col, metric), names[col])
+
+    def _candidates(self, rough: np.ndarray, margin: float, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs that may be among the k best: at least the floor and the block's own k-th."""
-        active = np.flatnonzero(rough.max(axis=1) >= self.floor - margin)
+        active = np.flatnonzero(rough.max(axis=1) >= self.floor[which] - margin)
         rough = rough[active]
-        limit = self.floor[active] - margin
+        limit = self.floor[which[active]] - margin
         if rough.shape[1] > self.k and len(active):
             crowded = np.flatnonzero((rough >= limit[:, None]).sum(axis=1) > 2 * self.k)
             place = rough.shape[1] - self.k
             own = np.partition(rough[crowded], place, axis=1)[:, place] - 2 * margin
             limit[crowded] = np.maximum(limit[crowded], own)
         row, col = np.nonzero(rough >= limit[:, None])
-        return active[row], col
+        return which[active[row]], col
 
     def _merge(self, row: np.ndarray, score: np.ndarray, name: np.ndarray) -> None:
         query = np.concatenate([self.query, row])
@@ -194,195 +234,93 @@ def _result_type(queries: DataFrame, docs: DataFrame) -> T.StructType:
     )
 
 
-# -- broadcast -----------------------------------------------------------------
+# -- passes --------------------------------------------------------------------
+
 
+def _first_rows(docs: DataFrame, dim: int, metric: str) -> np.ndarray:
+    """Vectors of a bounded sample of different documents, in hash order."""
+    drawn = docs.orderBy(F.xxhash64("pk"), "pk").limit(FIRST_ROWS).toArrow()
+    return _usable(_matrix(drawn["vector"], dim), metric)[1]
 
-def _search_broadcast(
-    queries: DataFrame, docs: DataFrame, k: int, dim: int, metric: str
+
+def _search(
+    chunk: DataFrame, docs: DataFrame, k: int, dim: int, metric: str, first: np.ndarray | None
 ) -> DataFrame:
-    if not fits(queries, max(BROADCAST_BYTES // (8 * dim), 1)):
-        raise ValueError("the query side is too large to broadcast; use strategy 'cells'")
-    table = queries.toArrow()
+    """The k best of each task for one chunk of queries. With `first`, blocks are pruned."""
+    most = max(BROADCAST_BYTES // (8 * dim), 1)
+    table = chunk.limit(most + 1).toArrow()
+    if table.num_rows > most:
+        raise ValueError("a chunk of queries is larger than the broadcast bound")
     keep, q = _usable(_matrix(table["vector"], dim), metric)
     ids = table["query_id"].combine_chunks().take(pa.array(keep))
-    shared = docs.sparkSession.sparkContext.broadcast((ids, q))
+    floor = None
+    if first is not None and len(first) > k and len(q):
+        # k other documents are known to score as much
+        floor = np.empty(len(q))
+        for at in range(0, len(q), 1024):
+            scores = np.sort(_scores(q[at : at + 1024], first, metric), axis=1)
+            floor[at : at + 1024] = scores[:, -k] - _margin(q[at : at + 1024], first, metric)
+    shared = docs.sparkSession.sparkContext.broadcast((ids, q, floor))
+    pruned = first is not None
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, q = shared.value
-        best, key_type = _Best(len(q), k), None
+        ids, q, floor = shared.value
+        best, key_type = _Best(len(q), k, floor), None
         for batch in batches:
             key_type = batch.column("pk").type
-            keep, d = _usable(_matrix(batch.column("vector"), dim), metric)
-            keys = batch.column("pk").to_numpy(zero_copy_only=False)[keep]
-            if len(q) and len(d):
-                best.add(q, keys, d, metric)
+            for start in range(0, batch.num_rows, BLOCK_ROWS if pruned else batch.num_rows):
+                part = batch.slice(start, BLOCK_ROWS if pruned else batch.num_rows)
+                keep, d = _usable(_matrix(part.column("vector"), dim), metric)
+                keys = part.column("pk").to_numpy(zero_copy_only=False)[keep]
+                if len(q) and len(d):
+                    best.add(q, keys, d, metric, _worth(q, d, best.floor, metric) if pruned else None)
         if best.key is not None:
             yield best.to_arrow(ids, key_type)
 
-    return docs.mapInArrow(search, _result_type(queries, docs))
+    return docs.select("pk", "vector").mapInArrow(search, _result_type(chunk, docs))
+
 
+def _worth(q: np.ndarray, d: np.ndarray, floor: np.ndarray, metric: str) -> np.ndarray:
+    """Queries that may find something in the block, by its centre and radius."""
+    centre = d.mean(axis=0, keepdims=True)
+    radius = float(_distance(d, centre).max())
+    gap = np.maximum(_distance(q, centre)[:, 0] - radius - 1e-6 * (1 + radius), 0)
+    if metric == "cosine":
+        ceiling = 1 - gap**2 / 2
+    elif metric == "l2":
+        ceiling = 1 / (1 + gap**2)
+    else:
+        longest = float((d * d).sum(axis=1).max())
+        ceiling = ((q * q).sum(axis=1) + longest - gap**2) / 2
+    return np.flatnonzero(ceiling + 1e-5 + 1e-9 * np.abs(ceiling) >= floor)
 
-# -- cells ---------------------------------------------------------------------
 
+def _in_cells(docs: DataFrame, dim: int, metric: str, cells: int | None) -> DataFrame:
+    """Documents written next to those with the same nearest pivot; a crowded cell lies in several tasks.
 
-def _search_cells(
-    queries: DataFrame, docs: DataFrame, k: int, dim: int, metric: str, cells: int
-) -> DataFrame:
+    The cells only say what lies together; they decide nothing about results. Their number grows
+    with the square root of the table.
+    """
     spark = docs.sparkSession
-    result = _result_type(queries, docs)
-
-    # pivots: a fixed number of documents in hash order
-    drawn = docs.orderBy(F.xxhash64("pk"), "pk").limit(cells).toArrow()
-    _, pivots = _usable(_matrix(drawn["vector"], dim), metric)
-    if not len(pivots):
-        return spark.createDataFrame([], result)
-    shared = spark.sparkContext.broadcast(pivots)
+    number = cells or min(MOST_CELLS, max(16, int(CELLS_PER_ROOT * math.sqrt(docs.count()))))
+    drawn = docs.orderBy(F.xxhash64("pk"), "pk").limit(number).toArrow()
+    pivots = spark.sparkContext.broadcast(_usable(_matrix(drawn["vector"], dim), metric)[1])
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, rows = _usable(_matrix(batch.column("vector"), dim), metric)
-            distance = _distance(rows, shared.value)
-            cell = distance.argmin(axis=1) if len(rows) else np.empty(0, np.int64)
+            cell = _distance(rows, pivots.value).argmin(axis=1) if len(rows) else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(cell, pa.int32()),
-                    pa.array(distance[np.arange(len(rows)), cell]),
-                    pa.array(np.linalg.norm(rows, axis=1)),
-                    *[column.take(pa.array(keep)) for column in batch.columns],
-                ],
-                ["cell", "distance", "length", *batch.schema.names],
+                [pa.array(cell, pa.int32()), *[column.take(pa.array(keep)) for column in batch.columns]],
+                ["cell", *batch.schema.names],
             )
 
-    assigned = docs.mapInArrow(
-        assign,
-        T.StructType(
-            [
-                T.StructField("cell", T.IntegerType()),
-                T.StructField("distance", T.DoubleType()),
-                T.StructField("length", T.DoubleType()),
-                *docs.schema.fields,
-            ]
-        ),
-    )
-    # one row per cell, at most `cells` of them
-    shape = (
-        assigned.groupBy("cell")
-        .agg(
-            F.count("*").alias("n"),
-            F.min("distance").alias("near"),
-            F.max("distance").alias("far"),
-            F.max("length").alias("length"),
-        )
-        .toPandas()
-    )
-    rows_per_block = max(BLOCK_BYTES // (4 * dim), 1)
-    shape["parts"] = np.ceil(shape["n"] / rows_per_block).astype(int)
-    parts = F.create_map(
-        *[F.lit(int(v)) for row in zip(shape["cell"], shape["parts"]) for v in row]
-    ) if len(shape) else None
-    if parts is None:
-        return spark.createDataFrame([], result)
-
-    # a crowded cell, copies included, is spread over blocks by key hash
-    blocks = materialise(
-        assigned.withColumn("part", F.pmod(F.xxhash64("pk"), parts[F.col("cell")]).cast("int"))
-        .groupBy("cell", "part")
-        .agg(F.collect_list(F.struct("pk", "vector")).alias("docs")),
-        "vector-blocks",
-    )
-    guide = spark.sparkContext.broadcast((pivots, shape))
-    chunks = max(math.ceil(queries.count() / CHUNK), 1)
-
-    def tiles(routed: DataFrame) -> DataFrame:
-        """Score routed queries (query_id, vector, floor, cell) against the blocks of their cells."""
-        packed = (
-            routed.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)))
-            .groupBy("cell", "chunk")
-            .agg(F.collect_list(F.struct("query_id", "vector", "floor")).alias("queries"))
-            .withColumn("part", F.explode(F.sequence(F.lit(0), parts[F.col("cell")] - 1)))
-        )
-        pairs = blocks.join(packed, ["cell", "part"]).select("docs", "queries")
-        return pairs.mapInArrow(_score_tiles(k, dim, metric), result)
-
-    start = queries.withColumn("floor", F.lit(float("-inf")))
-    near = materialise(tiles(_route(start, guide, k, metric, dim, seeds=True)), "near-results")
-    floors = (
-        best_of(near, k)
-        .groupBy("query_id")
-        .agg(F.count("*").alias("n"), F.min("score").alias("score"))
-        .where(F.col("n") >= k)
-        .select("query_id", F.col("score").alias("floor"))
-    )
-    rest = queries.join(floors, "query_id", "left").select(
-        "query_id", "vector", F.coalesce("floor", F.lit(float("-inf"))).alias("floor")
-    )
-    far = tiles(_route(rest, guide, k, metric, dim, seeds=False))
-    return near.unionByName(far)
+    schema = T.StructType([T.StructField("cell", T.IntegerType()), *docs.schema.fields])
+    # ranges over (cell, hash) have equal sizes, so a cell with most of the documents is split
+    placed = docs.mapInArrow(assign, schema).withColumn("_order", F.xxhash64("pk"))
+    return materialise(placed.repartitionByRange("cell", "_order").sortWithinPartitions("cell", "_order"), "cells")
 
 
 def _distance(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     square = (rows * rows).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :]
     return np.sqrt(np.maximum(square - 2 * rows @ pivots.T, 0))
-
-
-def _route(
-    queries: DataFrame, guide, k: int, metric: str, dim: int, seeds: bool
-) -> DataFrame:
-    """Rows of `queries` once for each cell they have to meet.
-
-    Seeds are the nearest cells that together hold k documents. Without
-    `seeds`: all other cells whose best possible score reaches the query's
-    floor.
-    """
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots, shape = guide.value
-        cell = shape["cell"].to_numpy()
-        for batch in batches:
-            keep, q = _usable(_matrix(batch.column("vector"), dim), metric)
-            floor = batch.column("floor").to_numpy(zero_copy_only=False)[keep]
-            distance = _distance(q, pivots[cell])
-            order = np.argsort(distance, axis=1, kind="stable")
-            filled = np.cumsum(shape["n"].to_numpy()[order], axis=1)
-            seed = np.zeros_like(distance, dtype=bool)
-            np.put_along_axis(seed, order, (filled - shape["n"].to_numpy()[order]) < k, axis=1)
-            if seeds:
-                chosen = seed
-            else:
-                gap = np.maximum(distance - shape["far"].to_numpy(), shape["near"].to_numpy() - distance)
-                gap = np.maximum(gap - 1e-6, 0)
-                chosen = ~seed & (_ceiling(q, gap, shape, metric) + 1e-5 >= floor[:, None])
-            row, col = np.nonzero(chosen)
-            taken = batch.take(pa.array(keep[row]))
-            yield pa.RecordBatch.from_arrays(
-                [*taken.columns, pa.array(cell[col], pa.int32())], [*taken.schema.names, "cell"]
-            )
-
-    return queries.mapInArrow(
-        route, T.StructType([*queries.schema.fields, T.StructField("cell", T.IntegerType())])
-    )
-
-
-def _ceiling(q: np.ndarray, gap: np.ndarray, shape, metric: str) -> np.ndarray:
-    """The best score a document at least `gap` away can have."""
-    if metric == "cosine":
-        return 1 - gap**2 / 2
-    if metric == "l2":
-        return 1 / (1 + gap**2)
-    return ((q * q).sum(1)[:, None] + shape["length"].to_numpy() ** 2 - gap**2) / 2
-
-
-def _score_tiles(k: int, dim: int, metric: str):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                docs = batch.column("docs").slice(i, 1).flatten()
-                queries = batch.column("queries").slice(i, 1).flatten()
-                d = _usable(_matrix(docs.field("vector"), dim), metric)[1]
-                q = _usable(_matrix(queries.field("vector"), dim), metric)[1]
-                best = _Best(len(q), k, queries.field("floor").to_numpy(zero_copy_only=False))
-                best.add(q, docs.field("pk").to_numpy(zero_copy_only=False), d, metric)
-                if best.key is not None:
-                    yield best.to_arrow(queries.field("query_id"), docs.field("pk").type)
-
-    return score
