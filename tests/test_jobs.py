@@ -58,7 +58,7 @@ def test_checkouts_are_routed_keyed_and_cleaned(spark, tmp_path):
     deep = repos.route_files(read.withColumn("content", utf8_text(F.col("content"))), any_depth=True)
     assert deep.where("file_name = 'b.py'").count() == 0
     listed = {r.name: r.size for r in files.list_files(spark, str(root)).collect()}
-    assert listed["c.csv"] == 1 and len(listed) == 7  # two names occur twice
+    assert listed["c.csv"] == 1 and listed["__init__.py"] > 0 and ".gitignore" in listed
 
 
 def test_recent_repositories(spark):
@@ -147,6 +147,7 @@ def test_replayed_batch_leaves_one_copy(spark, tmp_path):
     out = str(tmp_path / "silver")
     for batch, n in ((0, 3), (0, 3), (1, 2)):
         tables.append_batch(spark.range(n).toDF("n"), batch, out)
+    tables.append_batch(spark.range(0).toDF("n"), 7, out)
     assert spark.read.parquet(out).count() == 5
     source = str(tmp_path / "in")
     spark.range(4).toDF("n").write.parquet(source)
@@ -207,6 +208,64 @@ def test_shared_folder_comes_from_the_session(spark, monkeypatch):
     assert session.fits(spark.range(5), 5) and not session.fits(spark.range(6), 5)
 
 
+def test_lost_checkpoint_starts_a_new_run(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def run(check, **options):
+        stream = files.stream_parquet(spark, source, "n bigint", most_files=1)
+        transform_stream(stream, lambda b: b.select("n"), out, str(tmp_path / check), **options)
+
+    for n in range(3):
+        spark.range(n, n + 1).toDF("n").coalesce(1).write.mode("append").parquet(source)
+        run("one")
+    assert sorted(r.n for r in spark.read.parquet(out).collect()) == [0, 1, 2]
+    with pytest.raises(Exception, match="holds batches"):
+        run("two", replace=False)
+    run("three")
+    assert sorted(r.n for r in spark.read.parquet(out).collect()) == [0, 1, 2]
+
+
+def test_versions_stay_whole(spark, tmp_path):
+    root = str(tmp_path / "gold")
+    for n in (1, 2, 3):
+        assert tables.write_version(spark.range(n).toDF("n"), root).count() == n
+    assert sorted(p.name for p in (tmp_path / "gold").iterdir()) == ["version=1", "version=2"]
+
+
+def test_tied_posts_and_lost_files_train_once(spark, tmp_path, vectors):
+    posts = spark.createDataFrame(
+        [("1", "old", "graph", None, 1), ("1", "answer", "graph", None, 2), ("1", "answer", "graph", None, 2), ("2", None, "t", "s", 1)],
+        "post_id string, text string, title string, subtitle string, ingestion_time int")
+    rows = jobs.training_rows(posts, vectors([("r1", "graph one"), ("r2", "graph two")]), vectors([("p", "z")]), k=3, threshold=-2.0, dim=64)
+    records = jobs.build_training_set(rows, str(tmp_path / "features"), str(tmp_path / "chat"))
+    assert [(r.post_id, r.messages[2].content) for r in records.collect()] == [("1", "answer")]
+    query = rows.first()["query"]
+    assert query.count("graph one") == query.count("graph two") == 1
+
+
+def test_collection_adds_runs_that_ingest_reads(spark, tmp_path):
+    write(tmp_path / "checkouts" / "r1" / "a.py", "x = 1")
+    write(tmp_path / "checkouts" / "r2" / "sub" / "deep" / "er" / "__init__.py", "y = 2")
+    write(tmp_path / "checkouts" / "old" / "b.py", "z")
+    run = dt.datetime(2024, 9, 17)
+    listing = spark.createDataFrame(
+        [("r1", "u", False, run), ("r2", "u", False, run), ("old", "u", False, run - dt.timedelta(days=99))], schemas.REPOS)
+    landing = str(tmp_path / "landing")
+    for day in range(2):
+        jobs.collect_repos(spark, listing, str(tmp_path / "checkouts"), landing, run + dt.timedelta(days=day))
+    gold = jobs.ingest_repos(spark, landing, str(tmp_path / "lake"), multi_line=False)
+    assert sorted((r.repo, r.file_name, r.content) for r in gold.collect()) == [
+        ("r1", "a.py", "x=1"), ("r1", "a.py", "x=1"), ("r2", "__init__.py", "y=2"), ("r2", "__init__.py", "y=2")]
+
+
+def test_split_is_stable(spark):
+    keys = spark.range(2000).select(F.col("id").cast("string").alias("post_id"))
+    parts = {r.post_id: r.part for r in jobs.train_eval_split(keys, share=0.25).collect()}
+    again = {r.post_id: r.part for r in jobs.train_eval_split(keys.repartition(3).limit(500), share=0.25).collect()}
+    assert all(parts[k] == p for k, p in again.items())
+    assert 400 < sum(p == "eval" for p in parts.values()) < 600
+
+
 def test_spread_only_when_files_are_few(spark, tmp_path):
     spark.range(100).repartition(2).write.parquet(str(tmp_path / "few"))
     spark.range(100).repartition(16).write.parquet(str(tmp_path / "many"))

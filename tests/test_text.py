@@ -83,3 +83,21 @@ def test_chat_record_and_last_message(spark):
     assert [(m["role"], m["content"]) for m in line["m"]] == [
         ("System", X.SYSTEM_MESSAGE), ("User", odd), ("Chatbot", "answer")]
     assert record.select(X.last_message(F.col("m"))).collect()[0][0] == "answer"
+
+
+def test_unclosed_markup_is_read_once(one):
+    import time
+
+    from textloom.functions import text as X
+
+    pages = ["<!-- x <p>text</p>" * 60_000, "a<script>var x = 1; </p>" * 40_000, "<p>a</p><!-- b", "a<style>b"]
+    start = time.time()
+    assert one(X.html_to_text, pages) == ["", "a", "a", "a"]
+    assert time.time() - start < 10
+
+
+def test_real_replacement_characters_stay(one):
+    from textloom.functions import text as X
+
+    values = ["a\ufffdb".encode(), b"a\xffb\xc3", b"\x00\x01\x00\x00", "\x00\ufffd\x01".encode() + b"\xe2\x82", b"", None]
+    assert one(X.utf8_text, values, "binary") == ["a\ufffdb", "ab", "\x00\x01\x00\x00", "\x00\ufffd\x01", "", None]

@@ -44,8 +44,9 @@ DISTIL_INSTRUCTION = (
 ASCII_SPACE = " \t\n\x0b\f\r"
 
 _MARKUP = (
-    r"(?is)<!--.*?-->"
-    r"|<(script|style|template)\b[^>]*>.*?</\1\s*>"
+    # what is never closed ends with the text, so that the search for its end is made once
+    r"(?is)<!--(?:.*?-->|.*)"
+    r"|<(script|style|template)\b[^>]*>(?:.*?</\1\s*>|.*)"
     r"|</?[a-z](?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>"
     r"|</?[a-z][^>]*>"
     r"|<[!?][^>]*>"
@@ -136,8 +137,14 @@ def _character(code: Column) -> Column:
 
 
 def utf8_text(content: Column) -> Column:
-    """Bytes as text; bytes that are not UTF-8 are left out."""
-    return F.replace(F.make_valid_utf8(content.cast("string")), F.lit("�"), F.lit(""))
+    """Bytes as text; bytes that are not UTF-8 are left out, a U+FFFD that is really there stays.
+
+    While bad bytes are taken out, such a character is written as NUL and 1, and NUL as two NULs.
+    """
+    bad, nul, kept = F.lit("\ufffd"), "\x00", F.lit("\x00\x01")
+    hidden = F.replace(F.replace(content.cast("string"), F.lit(nul), F.lit(nul * 2)), bad, kept)
+    pieces = F.split(F.replace(F.make_valid_utf8(hidden), bad, F.lit("")), nul * 2)
+    return F.array_join(F.transform(pieces, lambda piece: F.replace(piece, kept, bad)), nul)
 
 
 def parent_folder(path: Column) -> Column:

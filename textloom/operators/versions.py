@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.sinks.tables import check_key
@@ -18,7 +18,12 @@ def rank_versions(df: DataFrame, keys: list[str], order: str, out: str = "rank")
 
 
 def pick_version(
-    df: DataFrame, keys: list[str], order: str, keep: str = "first", ties: bool = True
+    df: DataFrame,
+    keys: list[str],
+    order: str,
+    keep: str = "first",
+    ties: bool = True,
+    tie_break: Column | None = None,
 ) -> DataFrame:
     """Rows of the first or last version of each key. Nulls order first.
 
@@ -26,18 +31,26 @@ def pick_version(
     `rank() = 1`. One key may hold a large part of the table, all of it tied;
     so the chosen value comes from an aggregate that shrinks before the
     shuffle, and a join, whose large partitions AQE can split, finds the rows.
-    Without `ties` one row per key stays (`row_number() = 1`); the limit is
-    applied in each task before the shuffle.
+    Without `ties` one row per key stays; among rows of the same order value
+    `tie_break` decides as the order does, then a digest of the row, so that
+    a rerun keeps the same one. Each task
+    reduces its rows to one per key before the shuffle; nothing is sorted by
+    its texts.
     """
     if keep not in ("first", "last"):
         raise ValueError("keep is 'first' or 'last'")
     first = keep == "first"
     if not ties:
-        # all columns break ties, so that a rerun keeps the same row
-        rest = [c for c in df.columns if c not in keys and c != order]
-        sort = [F.col(order).asc() if first else F.col(order).desc(), *[F.col(c) for c in rest]]
-        numbered = df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*sort)))
-        return numbered.where(F.col("_n") == 1).drop("_n")
+        row = F.struct(*df.columns)
+        digest = F.md5(F.to_json(row, {"ignoreNullFields": "false"}))
+        first_break = F.lit(None).cast("string") if tie_break is None else tie_break
+        place = F.struct(F.col(order).alias("_order"), first_break.alias("_tie"), digest.alias("_digest"))
+        names = [f"_key_{k}" for k in keys]
+        marked = df.select(
+            *[F.col(k).alias(n) for k, n in zip(keys, names)], place.alias("_place"), row.alias("_row")
+        )
+        best = F.min_by if first else F.max_by
+        return marked.groupBy(*names).agg(best("_row", "_place").alias("_row")).select("_row.*")
 
     extreme = F.min(order) if first else F.max(order)
     if first:

@@ -17,7 +17,7 @@ from textloom.functions import text as X
 from textloom.functions.embed import embed_text
 from textloom.operators import chunking, context, distil, evaluate, retrieve, training, versions
 from textloom.plans import jobs, layers
-from textloom.session import shared_dir, spread
+from textloom.session import materialise, shared_dir, spread
 from textloom.sinks import tables
 from textloom.sources import files, repos
 from textloom.streaming.jobs import append_stream, transform_stream
@@ -191,14 +191,14 @@ def repo_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """(pk, text, vector) of whole documents."""
     docs = spread(table(spark, folder, "documents"), "doc_id")
     keyed = docs.select(F.concat("source", F.lit("/"), "doc_id").alias("pk"), "text")
-    return embed_text(keyed, "text", "vector", dim=TEXT_DIM)
+    return materialise(embed_text(keyed, "text", "vector", dim=TEXT_DIM), "repo-vectors")
 
 
 def chunk_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """(pk, text, vector) of merged chunks."""
     gold = versions.with_chunk_id(merged_chunks(spark, folder))
     keyed = gold.select(F.col("pdf_chunk_id").alias("pk"), F.col("text_chunk").alias("text"))
-    return embed_text(keyed, "text", "vector", dim=TEXT_DIM)
+    return materialise(embed_text(keyed, "text", "vector", dim=TEXT_DIM), "chunk-vectors")
 
 
 def vector_queries(spark: SparkSession, folder: str) -> DataFrame:
@@ -214,10 +214,10 @@ def vector_docs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def two_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Vectors with the text of the document of the same number, split by label."""
-    docs = vector_docs(spark, folder).join(
-        table(spark, folder, "documents").select(F.col("doc_id").alias("pk"), "text"), "pk"
-    )
+    """All vectors, with the text of the document of the same number if there is one, split by label."""
+    texts = table(spark, folder, "documents").select(F.col("doc_id").alias("pk"), "text")
+    docs = vector_docs(spark, folder).join(texts, "pk", "left")
+    docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
     return {jobs.REPO: docs.where(F.col("label") < 5), jobs.PDF: docs.where(F.col("label") >= 5)}
 
 
@@ -553,8 +553,8 @@ def rag_prompts(spark, folder):
     )
 
 
-def _training_rows(spark, folder):
-    posts = layers.gold_post(posts_ingested(spark, folder), keep="last", ties=False)
+def _training_rows(spark, folder, ties=False):
+    posts = layers.gold_post(posts_ingested(spark, folder), keep="last", ties=ties)
     return jobs.training_rows(
         posts, repo_vectors(spark, folder), chunk_vectors(spark, folder), threshold=CONTEXT_FLOOR
     )
@@ -566,6 +566,19 @@ def training_records(spark, folder):
     return rows.select("post_id", "query", *big("total_token_count"))
 
 
+@query
+def training_records_ties(spark, folder):
+    """From posts of which some stand twice: each has one record all the same."""
+    rows = _training_rows(spark, folder, ties=True)
+    return rows.select("post_id", "query", *big("total_token_count"))
+
+
+@query
+def train_eval_split(spark, folder):
+    split = jobs.train_eval_split(posts_csv(spark, folder), share=0.2)
+    return split.select("post_id", "part")
+
+
 @query
 def chat_jsonl(spark, folder):
     """Feature table, lookup, chat records and JSON Lines of the whole training set."""
@@ -610,8 +623,8 @@ def nested_filter(spark, folder):
 
 @query
 def sample_limit(spark, folder):
-    turns = table(spark, folder, "conversations")
-    return turns.orderBy("conv_id", "turn").limit(10).select("conv_id", "turn", "role", "text")
+    turns = table(spark, folder, "conversations").withColumn("key", F.struct("conv_id", "turn"))
+    return jobs.sample(turns, "key").select("conv_id", "turn", "role", "text")
 
 
 @query
@@ -681,3 +694,96 @@ def stream_silver_replay(spark, folder):
             shared_dir(spark, "checkpoint"),
         )
     return spark.read.parquet(out).select("page_id", "text")
+
+
+@query
+def stream_silver_restart(spark, folder):
+    """Two source files, a lost checkpoint, and a batch that is empty when it is replayed: one copy stays."""
+    pages = table(spark, folder, "pages").select("page_id", "html")
+    source, out = shared_dir(spark, "bronze-pages"), shared_dir(spark, "silver-pages")
+    even = F.crc32(F.col("page_id").cast("string")) % 2 == 0
+    pages.where(even).coalesce(1).write.mode("append").parquet(source)
+    text = X.html_to_text(F.col("html")).alias("text")
+    first, second = shared_dir(spark, "checkpoint"), shared_dir(spark, "checkpoint")
+
+    def run(checkpoint):
+        stream = files.stream_parquet(spark, source, pages.schema, most_files=1)
+        transform_stream(stream, lambda batch: batch.select("page_id", text), out, checkpoint)
+
+    run(first)
+    pages.where(~even).coalesce(1).write.mode("append").parquet(source)
+    run(first)
+    run(second)
+    # a batch beyond the last that left rows and is replayed without any
+    mark = tables.run_id(spark, second)
+    for batch in (pages.select("page_id", text), pages.where("page_id is null").select("page_id", text)):
+        tables.append_batch(batch, 99, out, mark)
+    return spark.read.parquet(out).select("page_id", "text")
+
+
+def _raw_files(spark, folder):
+    return table(spark, folder, "documents").select(
+        F.concat_ws("/", "source", "doc_id").alias("file_name"),
+        F.col("text").alias("content"),
+        F.lit("20240917172131").alias("timestamp"),
+        F.col("source").alias("repo"),
+    )
+
+
+@query
+def stream_json(spark, folder):
+    """Raw records of two collection runs, each in its folder, streamed into a table."""
+    landing, out = shared_dir(spark, "landing"), shared_dir(spark, "bronze-files")
+    raw = _raw_files(spark, folder)
+    early = F.crc32("file_name") % 2 == 0
+    for name, part in (("a", raw.where(early)), ("b", raw.where(~early))):
+        tables.write_raw_run(part, landing, name)
+        stream = files.stream_json(spark, landing, raw.schema, multi_line=False, most_files=1)
+        append_stream(stream, out, f"{out}-checkpoint")
+    return spark.read.schema(raw.schema).parquet(out)
+
+
+@query
+def stream_csv(spark, folder):
+    """Post lists as CSV files, one folder per export, streamed with the file each row came from."""
+    landing, out = shared_dir(spark, "landing"), shared_dir(spark, "bronze-posts")
+    lists = posts_csv(spark, folder).drop("filePath")
+    plain = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lists.write.options(**plain).option("header", True).option("quoteAll", True).option("escape", '"').csv(f"{landing}/export")
+    append_stream(files.stream_csv(spark, landing), out, f"{out}-checkpoint")
+    stored = spark.read.parquet(out)
+    where = F.element_at(F.split(X.parent_folder(F.col("filePath")), "/"), -1).alias("export")
+    return stored.select("post_id", "is_published", "title", "subtitle", where)
+
+
+def _text_files(spark, folder, name):
+    """One text file per source below a folder: a line per document."""
+    root = shared_dir(spark, name)
+    lines = table(spark, folder, "documents").select("source", F.translate("text", "\n", " ").alias("value"))
+    lines.repartition("source").write.partitionBy("source").text(root)
+    return root
+
+
+@query
+def stream_binary(spark, folder):
+    """Files as bytes: how many there are for each source."""
+    root, out = _text_files(spark, folder, "landing"), shared_dir(spark, "bronze-bytes")
+    append_stream(files.stream_binary(spark, f"{root}/source=*", "*.txt"), out, f"{out}-checkpoint")
+    source = F.regexp_extract("path", "source=([^/]+)", 1).alias("source")
+    size = F.sum(F.octet_length("content")).cast("long").alias("size")
+    return spark.read.parquet(out).groupBy(source).agg(size)
+
+
+@query
+def file_listing(spark, folder):
+    listed = files.list_files(spark, _text_files(spark, folder, "listed"))
+    source = F.regexp_extract("path", "source=([^/]+)", 1).alias("source")
+    texts = listed.where(F.col("name").rlike(r"^part-.*\.txt$"))
+    return texts.groupBy(source).agg(F.sum("size").cast("long").alias("size"))
+
+
+@query
+def table_profile_sketch(spark, folder):
+    """The default profile, by sketches; counts of rows and nulls are exact."""
+    found = evaluate.profile(table(spark, folder, "documents"))
+    return found.select("column_name", *big("row_count", "null_count"))

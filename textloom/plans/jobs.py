@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from textloom.operators import context, retrieve, training, versions
 from textloom.plans import layers
 from textloom.session import materialise
 from textloom.sinks import tables
-from textloom.sources import files
+from textloom.sources import files, repos
 from textloom.streaming.jobs import append_stream, transform_stream
 
 REPO, PDF = "repo", "pdf"
@@ -34,24 +36,31 @@ def ingest_posts(spark: SparkSession, landing: str, root: str, **options) -> Dat
         silver,
         _at(root, "checkpoint/silver/posts"),
     )
-    tables.overwrite_snapshot(layers.gold_post(spark.read.parquet(silver)), gold)
-    return spark.read.parquet(gold)
+    return tables.write_version(layers.gold_post(spark.read.parquet(silver)), gold)
 
 
 def ingest_repos(
-    spark: SparkSession, landing: str, root: str, denied: DataFrame | None = None, **models
+    spark: SparkSession,
+    landing: str,
+    root: str,
+    denied: DataFrame | None = None,
+    multi_line: bool = True,
+    **models,
 ) -> DataFrame:
-    """Raw JSON records of repository files -> bronze -> silver -> gold. Returns gold."""
+    """Raw JSON records of repository files -> bronze -> silver -> gold. Returns gold.
+
+    Files hold an array of records each, or with `multi_line=False` a record
+    a line, as `collect_repos` writes them.
+    """
     bronze, silver, gold = (_at(root, name, "repos") for name in ("bronze", "silver", "gold"))
-    append_stream(files.stream_json(spark, landing), bronze, _at(root, "checkpoint/bronze/repos"))
+    append_stream(files.stream_json(spark, landing, multi_line=multi_line), bronze, _at(root, "checkpoint/bronze/repos"))
     transform_stream(
         files.stream_parquet(spark, bronze, schemas.BRONZE_REPO),
         lambda batch: layers.silver_repo(batch, **models),
         silver,
         _at(root, "checkpoint/silver/repos"),
     )
-    tables.overwrite_snapshot(layers.gold_repo(spark.read.parquet(silver), denied), gold)
-    return spark.read.parquet(gold)
+    return tables.write_version(layers.gold_repo(spark.read.parquet(silver), denied), gold)
 
 
 def ingest_pdfs(spark: SparkSession, landing: str, root: str, extractor, **models) -> DataFrame:
@@ -64,8 +73,7 @@ def ingest_pdfs(spark: SparkSession, landing: str, root: str, extractor, **model
         silver,
         _at(root, "checkpoint/silver/pdfs"),
     )
-    tables.overwrite_snapshot(layers.gold_pdf(spark.read.parquet(silver), newest_only=True), gold)
-    return spark.read.parquet(gold)
+    return tables.write_version(layers.gold_pdf(spark.read.parquet(silver), newest_only=True), gold)
 
 
 def sync_vectors(source: DataFrame, key: str, root: str, version: int) -> DataFrame:
@@ -96,7 +104,7 @@ def search_sources(
     """(query_id, source, rank, pk, text, score): the k best of each source for each query."""
     found = None
     for name, docs in sources.items():
-        part = retrieve.knn_join(queries, docs, k, dim, **options)
+        part = materialise(retrieve.knn_join(queries, docs, k, dim, **options), "found")
         part = context.with_text(part, docs).withColumn("source", F.lit(name))
         found = part if found is None else found.unionByName(part)
     return found
@@ -113,9 +121,15 @@ def training_rows(
 ) -> DataFrame:
     """Posts with question, retrieved context, query and token counts, within the budget.
 
-    Query vectors and contexts are written once: several later steps read them.
+    One row per post: of versions and copies the newest. Posts without a text
+    have no answer to learn and are left out. Query vectors and contexts are
+    written once: several later steps read them.
     """
-    asked = training.with_question(posts)
+    order = "ingestion_time" if "ingestion_time" in posts.columns else "text"
+    answered = posts.where(F.col("text").isNotNull())
+    asked = training.with_question(
+        versions.pick_version(answered, ["post_id"], order, keep="last", ties=False)
+    )
     vectors = embed_text(
         asked.select(F.col("post_id").alias("query_id"), "topic_question"),
         "topic_question",
@@ -147,6 +161,36 @@ def build_training_set(rows: DataFrame, feature_path: str, jsonl_path: str) -> D
     return records
 
 
+def collect_repos(
+    spark: SparkSession,
+    listing: DataFrame,
+    checkouts: str,
+    landing: str,
+    run_time: dt.datetime,
+    **options,
+) -> str:
+    """The collection run: recent repositories -> their files -> raw records, in a new folder of `landing`.
+
+    `checkouts` holds a folder per repository. Runs add to what earlier runs
+    left; `ingest_repos` then streams what is new. Returns the folder.
+    """
+    recent = repos.recent_repos(listing, run_time)
+    found = repos.read_checkouts(spark, checkouts).join(recent.select(F.col("name").alias("repo")), "repo", "left_semi")
+    texts = found.withColumn("content", X.utf8_text(F.col("content")))
+    records = repos.raw_records(repos.resolve_collisions(repos.route_files(texts, **options)), run_time)
+    return tables.write_raw_run(records, landing, run_time.strftime("%Y%m%d%H%M%S"))
+
+
+def train_eval_split(records: DataFrame, key: str = "post_id", share: float = 0.1, seed: str = "split") -> DataFrame:
+    """Adds `part`, train or eval, by a hash of seed and key: a key is always on the same side.
+
+    Pass each side to `write_chat_jsonl`. A null key counts as an empty one.
+    """
+    digest = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 10_000
+    return records.withColumn("part", F.when(place < round(share * 10_000), "eval").otherwise("train"))
+
+
 def requests_of(conversations: DataFrame) -> DataFrame:
     """(query_id, request): the last message of each conversation, whoever wrote it."""
     return conversations.groupBy(F.col("conv_id").alias("query_id")).agg(

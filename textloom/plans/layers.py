@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom import schemas
 from textloom.functions import text as X
 from textloom.functions.embed import Model, embed_text, map_model
 from textloom.operators import chunking, distil, versions
@@ -49,11 +50,14 @@ def silver_pdf(
 
 
 def silver_chunks(
-    texts: DataFrame, embedder: MakeModel | None = None, chunk_embedder: MakeModel | None = None
+    texts: DataFrame,
+    embedder: MakeModel | None = None,
+    chunk_embedder: MakeModel | None = None,
+    alphabetical: bool = True,
 ) -> DataFrame:
-    """Numbered chunks with vectors from (path, text)."""
+    """Chunks with vectors from (path, text), numbered by the alphabet or by their place in the text."""
     cut = chunking.semantic_chunks(texts, make_model=chunk_embedder).select("path", "text_chunks")
-    chunks = stamped(chunking.explode_chunks(cut))
+    chunks = stamped(chunking.explode_chunks(cut, alphabetical=alphabetical))
     return embed_text(chunks, "text_chunk", make_model=embedder).select(
         "ingestion_time", "path", "text_chunk", "row_number", "text_vector"
     )
@@ -69,26 +73,11 @@ def silver_post(bronze: DataFrame, html_files: DataFrame, only_true: bool = Fals
     posts = bronze.where(F.col("is_published").isNotNull())
     if only_true:
         posts = posts.where(F.lower("is_published") == "true")
-    if "html_bytes" in html_files.columns:
-        html_files = html_files.select("html_path", X.utf8_text(F.col("html_bytes")).alias("html"))
-    texts = html_files.select("html_path", X.html_to_text(F.col("html")).alias("text"))
-    joined = posts.withColumn(
-        "html_path", X.linked_html_path(F.col("filePath"), F.col("post_id"))
-    ).join(texts, "html_path", "left")
-    return stamped(joined).select(
-        "post_id",
-        "post_date",
-        "text",
-        "is_published",
-        "email_sent_at",
-        "inbox_sent_at",
-        "type",
-        "audience",
-        "title",
-        "subtitle",
-        "html_path",
-        "ingestion_time",
-    )
+    # files are decoded and parsed after the join: a batch of posts wants few of them
+    wanted = posts.withColumn("html_path", X.linked_html_path(F.col("filePath"), F.col("post_id")))
+    joined = wanted.join(html_files, "html_path", "left")
+    html = X.utf8_text(F.col("html_bytes")) if "html_bytes" in html_files.columns else F.col("html")
+    return stamped(joined.withColumn("text", X.html_to_text(html))).select(*schemas.SILVER_POST.names)
 
 
 def posts_without_file(silver: DataFrame) -> DataFrame:
@@ -115,12 +104,12 @@ def gold_repo(silver: DataFrame, denied: DataFrame | None = None) -> DataFrame:
 
 
 def gold_repo_latest(silver: DataFrame, denied: DataFrame | None = None) -> DataFrame:
-    """The newest version of each (file_name, repo) without the denied keys."""
+    """The newest version of each (file_name, repo) without the denied keys; of equally new ones by content digest."""
     keyed = versions.with_file_id(silver)
     if denied is not None:
         keyed = versions.exclude_keys(keyed, denied, "gitrepo_file_id")
     return versions.pick_version(
-        keyed, ["file_name", "repo"], "timestamp", keep="last", ties=False
+        keyed, ["file_name", "repo"], "timestamp", keep="last", ties=False, tie_break=F.md5("content")
     )
 
 

@@ -65,12 +65,12 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when the input has fewer files than the cluster has cores.
+    """Rows over all cores when the scan of the input makes fewer tasks than the cluster has cores.
 
-    For costly work per row on small inputs. A table with enough files keeps
-    its scan partitions and is not shuffled. `key` should be unique.
+    For costly work per row on small inputs. A scan with enough tasks, of many files or of a few
+    large ones, is not shuffled. `key` should be unique.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(4 * cores, key)

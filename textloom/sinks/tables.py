@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,19 +22,78 @@ def overwrite_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
 
 
-def append_batch(df: DataFrame, batch_id: int, path: str) -> None:
-    """Write one micro-batch as its own partition, replacing an earlier try.
+class ForeignTarget(RuntimeError):
+    """A table holds batches of another run of its stream."""
+
+
+def _folder(spark: SparkSession, path: str):
+    """File system and path objects of a folder."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def _names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    system, at = _folder(spark, path)
+    if not system.exists(at):
+        return []
+    return sorted(n for n in (f.getPath().getName() for f in system.listStatus(at)) if n.startswith(prefix))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    system, at = _folder(spark, path)
+    system.delete(at, True)
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of a stream's run: made with its checkpoint folder, and lost with it."""
+    found = _names(spark, checkpoint, "run-")
+    if found:
+        return found[0].removeprefix("run-")
+    new = uuid.uuid4().hex
+    system, at = _folder(spark, f"{checkpoint.rstrip('/')}/run-{new}")
+    system.mkdirs(at)
+    return new
+
+
+def claim(spark: SparkSession, path: str, run: str, replace: bool = True) -> None:
+    """Make `path` the table of one run.
 
-    A batch that is replayed after a failure overwrites what it left behind
-    and touches no other batch.
+    Batch numbers mean something only within a run: after a lost checkpoint a
+    new run numbers from 0 and reads everything again. What other runs left is
+    removed, or refused without `replace`.
     """
-    (
-        df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    for other in _names(spark, path, "run="):
+        if other != f"run={run}":
+            if not replace:
+                raise ForeignTarget(f"{path} holds batches of {other}")
+            remove(spark, f"{path.rstrip('/')}/{other}")
+
+
+def append_batch(df: DataFrame, batch_id: int, path: str, run: str = "0") -> None:
+    """Write one micro-batch into its own folder, replacing an earlier try.
+
+    A batch that is replayed after a failure overwrites what it left behind,
+    also when it has no rows now, and touches no other batch.
+    """
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run}/batch_id={batch_id}")
+
+
+def write_version(df: DataFrame, root: str, keep: int = 2) -> DataFrame:
+    """Write a snapshot beside the earlier ones and read it back.
+
+    Readers of the version before are not disturbed, and a failed run leaves
+    it whole. The last `keep` whole versions stay.
+    """
+    spark, root = df.sparkSession, root.rstrip("/")
+    numbers = sorted(int(n.split("=")[1]) for n in _names(spark, root, "version="))
+    target = f"{root}/version={numbers[-1] + 1 if numbers else 0}"
+    df.write.mode("overwrite").parquet(target)
+    whole = [n for n in numbers if _names(spark, f"{root}/version={n}", "_SUCCESS")]
+    for number in numbers:
+        if number not in whole[len(whole) - keep + 1 :]:
+            remove(spark, f"{root}/version={number}")
+    return spark.read.schema(df.schema).parquet(target)
 
 
 def write_raw_json(df: DataFrame, path: str) -> None:
@@ -40,13 +101,20 @@ def write_raw_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_raw_run(df: DataFrame, landing: str, name: str) -> str:
+    """Raw records of one collection run, in a folder of its own below `landing`; other runs stay."""
+    target = f"{landing.rstrip('/')}/run-{name}"
+    write_raw_json(df, target)
+    return target
+
+
 def chat_lines(records: DataFrame, messages_col: str = "messages") -> DataFrame:
     """One JSON text per conversation, in column `value`."""
     return records.select(F.to_json(F.struct(F.col(messages_col).alias("messages"))).alias("value"))
 
 
 def write_chat_jsonl(records: DataFrame, path: str) -> None:
-    """Training conversations as JSON Lines; call once more for an evaluation file."""
+    """Training conversations as JSON Lines; `jobs.train_eval_split` gives the rows of an evaluation file."""
     chat_lines(records).write.mode("overwrite").text(path)
 
 

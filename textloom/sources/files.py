@@ -9,25 +9,46 @@ from pyspark.sql import types as T
 from textloom import schemas
 
 
-def stream_json(spark: SparkSession, folder: str, schema: T.StructType = schemas.BRONZE_REPO) -> DataFrame:
-    """New JSON files of a folder: an array of records per file, or one record a line."""
-    return spark.readStream.schema(schema).option("multiLine", True).json(folder)
+def _bounded(reader, most_files: int | None):
+    """A reader whose micro-batches take at most so many files; None for all that have arrived."""
+    return reader if most_files is None else reader.option("maxFilesPerTrigger", most_files)
 
 
-def stream_binary(spark: SparkSession, folder: str, name_glob: str = "*.pdf") -> DataFrame:
+def stream_json(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType = schemas.BRONZE_REPO,
+    most_files: int | None = None,
+    multi_line: bool = True,
+) -> DataFrame:
+    """New JSON files of a folder and of the folders of its runs.
+
+    An array of records per file, or with `multi_line=False` one record a line.
+    """
+    reader = _bounded(spark.readStream.schema(schema), most_files).option("recursiveFileLookup", True)
+    return reader.option("multiLine", multi_line).json(folder)
+
+
+def stream_binary(
+    spark: SparkSession, folder: str, name_glob: str = "*.pdf", most_files: int | None = None
+) -> DataFrame:
     """New files of a folder with path, time, length and bytes."""
     return (
-        spark.readStream.format("binaryFile")
+        _bounded(spark.readStream, most_files)
+        .format("binaryFile")
         .schema(schemas.BRONZE_PDF)
         .option("pathGlobFilter", name_glob)
         .load(folder)
     )
 
 
-def stream_csv(spark: SparkSession, folder: str, schema: T.StructType = schemas.POST_CSV) -> DataFrame:
+def stream_csv(
+    spark: SparkSession, folder: str, schema: T.StructType = schemas.POST_CSV, most_files: int | None = None
+) -> DataFrame:
     """New CSV files with a header, one folder level down, and where each row came from."""
     return (
-        spark.readStream.schema(schema)
+        _bounded(spark.readStream, most_files)
+        .schema(schema)
         .option("header", True)
         .option("multiLine", True)
         .option("escape", '"')
@@ -38,26 +59,25 @@ def stream_csv(spark: SparkSession, folder: str, schema: T.StructType = schemas.
 
 
 def stream_parquet(
-    spark: SparkSession, folder: str, schema: T.StructType, name_glob: str | None = None
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    name_glob: str | None = None,
+    most_files: int | None = None,
 ) -> DataFrame:
     """A table's parquet files as an append-only stream."""
-    reader = spark.readStream.schema(schema)
+    reader = _bounded(spark.readStream.schema(schema), most_files)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
     return reader.parquet(folder)
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Path, name and size of every file below a folder; no content is read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(folder)
-        .select(
-            "path",
-            F.element_at(F.split("path", "/"), -1).alias("name"),
-            F.col("length").alias("size"),
-        )
+    """Path below the folder, name and size of every file, hidden ones too; no content is read."""
+    from textloom.sources.repos import list_tree
+
+    return list_tree(spark, folder).select(
+        "path", F.element_at(F.split("path", "/"), -1).alias("name"), "size"
     )
 
 

@@ -19,7 +19,6 @@ KEYED_BY_NAME = (".ipynb", ".py", ".md")
 KEYED_BY_PATH = (".yaml", ".sh")
 DOCKERFILE = "Dockerfile"
 MAX_AGE_DAYS = 30
-TIMESTAMP_FORMAT = "yyyyMMddHHmmss"
 # -- end of fixed values -------------------------------------------------------
 
 
@@ -28,9 +27,11 @@ def recent_repos(repos: DataFrame, run_time: dt.datetime, max_age_days: int = MA
 
     Less than n whole days old is the same as changed after (run - n * 24 h),
     a plain comparison that the scan can use. One url per name: the one
-    updated last.
+    updated last. A time without a zone is taken as UTC, whatever the zone of
+    the driver is.
     """
-    oldest = run_time - dt.timedelta(days=max_age_days)
+    aware = run_time if run_time.tzinfo else run_time.replace(tzinfo=dt.timezone.utc)
+    oldest = aware - dt.timedelta(days=max_age_days)
     newest = F.max(F.struct("updated_at", "html_url"))["html_url"]
     return (
         repos.where(~F.col("private") & (F.col("updated_at") > F.lit(oldest)))
@@ -44,30 +45,59 @@ def _open(root: str) -> tuple[fs.FileSystem, str]:
     return where, base.rstrip("/")
 
 
+def list_tree(spark: SparkSession, root: str, spread_levels: int = 2) -> DataFrame:
+    """(path below `root`, size) of every file, also of names that start with `_` or `.`.
+
+    Folders of the first levels are listed one by one and dealt anew to all
+    cores after each level, so neither the driver nor one task lists the
+    tree; what lies deeper is listed whole, folder by folder.
+    """
+
+    def children(recursive: bool):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            where, base = _open(root)
+            for batch in batches:
+                for path, size, folder in zip(batch["path"], batch["size"], batch["folder"]):
+                    if not folder:
+                        yield pd.DataFrame({"path": [path], "size": [size], "folder": [False]})
+                        continue
+                    found = where.get_file_info(fs.FileSelector(f"{base}/{path}".rstrip("/"), recursive=recursive))
+                    found = [i for i in found if i.is_file or not recursive]
+                    for start in range(0, len(found), 10_000):
+                        part = found[start : start + 10_000]
+                        yield pd.DataFrame(
+                            {
+                                "path": [i.path.removeprefix(f"{base}/") for i in part],
+                                "size": [i.size or 0 for i in part],
+                                "folder": [not i.is_file for i in part],
+                            }
+                        )
+
+        return run
+
+    schema = "path string, size long, folder boolean"
+    level = spark.createDataFrame([("", 0, True)], schema)
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    for number in range(spread_levels + 1):
+        level = level.mapInPandas(children(number == spread_levels), schema).repartition(tasks, "path")
+    return level.where(~F.col("folder")).select("path", "size")
+
+
 def read_checkouts(spark: SparkSession, root: str) -> DataFrame:
     """Files of all checkouts below `root` as (repo, rel_path, content bytes).
 
     The first folder below `root` names the repository. Spark's own file
     sources skip names that start with `_` or `.`, such as `__init__.py`, so
-    tasks list the repositories and, spread anew over all cores, read the
-    files; one large repository does not keep one task busy. Files that no
-    rule keeps are not read. `root` is a path or a URI that all executors can
-    reach.
+    tasks list the folders and, spread anew over all cores, read the files;
+    one large repository does not keep one task busy. Files that no rule keeps
+    are not read. `root` is a path or a URI that all executors can reach.
     """
     endings = (*KEYED_BY_NAME, *KEYED_BY_PATH, DOCKERFILE)
-    where, base = _open(root)
-    names = [i.base_name for i in where.get_file_info(fs.FileSelector(base)) if not i.is_file]
     tasks = 4 * spark.sparkContext.defaultParallelism
-
-    def list_repos(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        where, base = _open(root)
-        for batch in batches:
-            for repo in batch["repo"]:
-                top = f"{base}/{repo}/"
-                found = where.get_file_info(fs.FileSelector(top, recursive=True))
-                paths = [i.path.removeprefix(top) for i in found if i.is_file]
-                wanted = [path for path in paths if path.endswith(endings)]
-                yield pd.DataFrame({"repo": [repo] * len(wanted), "rel_path": wanted})
+    listed = list_tree(spark, root).where(F.col("path").contains("/"))
+    top = F.substring_index("path", "/", 1)
+    wanted = listed.select(top.alias("repo"), F.expr("substring(path, length(substring_index(path, '/', 1)) + 2)").alias("rel_path"))
+    wanted = wanted.where(F.col("rel_path").rlike(_one_of(endings) + r"\z"))
 
     def read_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         where, base = _open(root)
@@ -77,12 +107,8 @@ def read_checkouts(spark: SparkSession, root: str) -> DataFrame:
                     content = stream.read()
                 yield pd.DataFrame([(row.repo, row.rel_path, content)], columns=["repo", "rel_path", "content"])
 
-    repos = spark.createDataFrame([(name,) for name in names], "repo string")
-    return (
-        repos.repartition(min(max(len(names), 1), tasks))
-        .mapInPandas(list_repos, "repo string, rel_path string")
-        .repartition(tasks, "repo", "rel_path")
-        .mapInPandas(read_files, "repo string, rel_path string, content binary")
+    return wanted.repartition(tasks, "repo", "rel_path").mapInPandas(
+        read_files, "repo string, rel_path string, content binary"
     )
 
 

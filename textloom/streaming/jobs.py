@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.sinks.tables import append_batch
+from textloom.sinks.tables import append_batch, claim, run_id
 
 
 def append_stream(source: DataFrame, path: str, checkpoint: str) -> None:
@@ -43,11 +43,18 @@ def transform_stream(
     transform: Callable[[DataFrame], DataFrame],
     path: str,
     checkpoint: str,
+    replace: bool = True,
 ) -> None:
-    """Run `transform` on every micro-batch and keep its result as that batch's partition."""
+    """Run `transform` on every micro-batch and keep its result in that batch's folder.
+
+    With a lost checkpoint everything is read again as a new run, whose first
+    batch takes the place of what the earlier run left (`replace`), or fails.
+    """
+    run = run_id(source.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_batch(transform(batch), batch_id, path)
+        claim(batch.sparkSession, path, run, replace)
+        append_batch(transform(batch), batch_id, path, run)
 
     (
         source.writeStream.foreachBatch(write)
