@@ -258,6 +258,33 @@ def test_collection_adds_runs_that_ingest_reads(spark, tmp_path):
         ("r1", "a.py", "x=1"), ("r1", "a.py", "x=1"), ("r2", "__init__.py", "y=2"), ("r2", "__init__.py", "y=2")]
 
 
+def test_batch_splits_give_the_same_text(spark, tmp_path):
+    names = [f"f{i}.py" for i in range(6)]
+    texts = ["alpha beta. gamma alpha gamma. delta", "alpha omega. omega sigma", "beta beta. alpha rho", "tau. tau alpha", "rho", ""]
+    found = []
+    for split in (1, 3):
+        landing = str(tmp_path / f"landing{split}")
+        for part in range(split):
+            rows = [(n, t, "20240101000000", "r") for i, (n, t) in enumerate(zip(names, texts)) if i % split == part]
+            frame = spark.createDataFrame(rows, "file_name string, content string, timestamp string, repo string")
+            tables.write_raw_run(frame.coalesce(1), landing, str(part))
+            gold = jobs.ingest_repos(spark, landing, str(tmp_path / f"lake{split}"), multi_line=False)
+        found.append({r.file_name: (r.text, r.text_vector) for r in gold.collect()})
+    assert found[0] == found[1] and len(found[0]) == 6
+
+
+def test_html_of_a_batch_reads_its_export_only(spark, tmp_path):
+    for export in ("ex a", "b"):
+        for post in ("1", "2"):
+            write(tmp_path / export / "posts" / f"{post}.html", f"<p>{export}{post}</p>")
+    place = (tmp_path / "ex a" / "posts.csv").as_uri()
+    batch = spark.createDataFrame([("1", place), ("9", place)], "post_id string, filePath string")
+    found = jobs.html_of(batch, str(tmp_path))
+    assert sorted(r.html_path.rsplit("/", 1)[1] for r in found.collect()) == ["1.html", "2.html"]
+    none = jobs.html_of(batch.withColumn("filePath", F.lit(str(tmp_path / "gone" / "posts.csv"))), str(tmp_path))
+    assert none.count() == 0 and jobs.html_of(batch, str(tmp_path), most=0).count() == 4
+
+
 def test_split_is_stable(spark):
     keys = spark.range(2000).select(F.col("id").cast("string").alias("post_id"))
     parts = {r.post_id: r.part for r in jobs.train_eval_split(keys, share=0.25).collect()}

@@ -7,15 +7,21 @@ text itself, by TF-IDF over the whole table.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.functions import text as X
 from textloom.functions.embed import Model, map_model
 from textloom.session import materialise
 
+_GAP = re.compile(r"[ \t\n\x0b\f\r]+")
+_SENTENCE_GAP = re.compile(r"(?<=[.?!])[ \t\n\x0b\f\r]+|\x1f")
+
 
 def distil_with_model(
     df: DataFrame, make_model: Callable[[], Model], in_col: str = "content", out_col: str = "text"
@@ -25,7 +31,7 @@ def distil_with_model(
     return map_model(asked, "_request", out_col, "string", make_model).drop("_request")
 
 
-def header(text: F.Column) -> F.Column:
+def header(text: Column) -> Column:
     """The first line that is not blank, without white space at its ends."""
     return X.strip_space(F.regexp_extract(text, r"(?m)^(.*\S.*)$", 1))
 
@@ -33,26 +39,42 @@ def header(text: F.Column) -> F.Column:
 def word_places(df: DataFrame, key: str, text_col: str) -> DataFrame:
     """(key, word, places): the numbers of the sentences of a row that hold a word, once per occurrence.
 
-    `key` must not be called i, word or places.
+    Words are gathered in the task that reads the row, so that occurrences are
+    never shuffled. `key` must not be called word or places.
     """
-    cut = df.select(key, F.posexplode(X.sentences(F.col(text_col))).alias("i", "sentence"))
-    return (
-        cut.select(key, "i", F.explode(X.words(F.col("sentence"))).alias("word"))
-        .groupBy(key, "word")
-        .agg(F.collect_list("i").alias("places"))
-    )
+    lowered = df.select(key, F.lower(text_col).alias("_text"))
+    words = T.ArrayType(T.StructType.fromDDL("word string, places array<int>"))
+    schema = T.StructType([lowered.schema[key], T.StructField("_words", words)])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("word", pa.string()), ("places", pa.list_(pa.int32()))]))
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                rows = [_places(text) for text in part.column("_text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(rows, kind)], [key, "_words"])
+
+    return lowered.mapInArrow(gather, schema).select(key, F.inline("_words"))
+
+
+def _places(text: str | None) -> list[dict]:
+    """Word -> sentence numbers of a lower-case text, cut as `X.sentences` and `X.words` do."""
+    found: dict[str, list[int]] = {}
+    for i, sentence in enumerate(_SENTENCE_GAP.split(text or "")):
+        for word in _GAP.split(sentence):
+            if word:
+                found.setdefault(word, []).append(i)
+    return [{"word": word, "places": places} for word, places in found.items()]
 
 
 def word_weights(places: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """(key, word, places, weight): TF-IDF of each word of each row, from `word_places`.
+    """(key, word, places, weight): TF-IDF of each word of each row, from the written result of `word_places`.
 
     A word has one row per document, its occurrences are already gathered. The
     side with the document counts has one row per word: when common words make
     a partition large, AQE splits the other side and copies that one row.
     """
-    # `sign(size)` is always 1; reading the places keeps both uses of `places`
-    # alike, so that Spark runs the shuffle below them once
-    documents = places.groupBy("word").agg(F.sum(F.sign(F.size("places"))).alias("df"))
+    documents = places.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     total = rows.agg(F.count("*").alias("n")).scalar()
     idf = F.log((total + 1) / (F.col("df") + 1)) + 1
     return places.join(documents, "word").select(
@@ -97,8 +119,8 @@ def distil(
     sentence numbers; the sentences are cut again from the text itself.
     """
     rows = df.select(F.col(key).alias("_key"), F.col(text_col).alias("_text"))
-    places = word_places(rows, "_key", "_text")
-    # read by two branches below, so written once
+    # read by two branches each, so written once
+    places = materialise(word_places(rows, "_key", "_text"), "word-places")
     weights = materialise(word_weights(places, rows, "_key"), "word-weights")
     picked = (
         keywords(weights, "_key")

@@ -32,13 +32,26 @@ def ingest_posts(spark: SparkSession, landing: str, root: str, **options) -> Dat
     append_stream(files.stream_csv(spark, landing), bronze, _at(root, "checkpoint/bronze/posts"))
     transform_stream(
         files.stream_parquet(spark, bronze, schemas.BRONZE_POST),
-        lambda batch: layers.silver_post(batch, files.read_html_files(spark, landing), **options),
+        lambda batch: layers.silver_post(batch, html_of(batch, landing), **options),
         silver,
         _at(root, "checkpoint/silver/posts"),
     )
     return tables.write_version(layers.gold_post(spark.read.parquet(silver)), gold)
 
 
+def html_of(posts: DataFrame, landing: str, most: int = 1000) -> DataFrame:
+    """HTML files of the exports that a batch of posts came from; old exports are not read.
+
+    A batch of more than `most` exports reads all of them.
+    """
+    spark = posts.sparkSession
+    parents = posts.select(X.parent_folder(F.col("filePath")).alias("at")).where("at is not null").distinct()
+    exports = [r["at"] for r in parents.limit(most + 1).collect()]
+    if len(exports) > most:
+        return files.read_html_files(spark, landing)
+    return files.read_html_files(spark, *[f"{at}/posts" for at in exports])
+
+
 def ingest_repos(
     spark: SparkSession,
     landing: str,
@@ -50,17 +63,23 @@ def ingest_repos(
     """Raw JSON records of repository files -> bronze -> silver -> gold. Returns gold.
 
     Files hold an array of records each, or with `multi_line=False` a record
-    a line, as `collect_repos` writes them.
+    a line, as `collect_repos` writes them. A chat model distils each file as it
+    comes. Without one words are weighed over the whole table when gold is
+    made, so a file's text does not depend on the batch it came in.
     """
+    own = models.get("chat") is None
     bronze, silver, gold = (_at(root, name, "repos") for name in ("bronze", "silver", "gold"))
     append_stream(files.stream_json(spark, landing, multi_line=multi_line), bronze, _at(root, "checkpoint/bronze/repos"))
     transform_stream(
         files.stream_parquet(spark, bronze, schemas.BRONZE_REPO),
-        lambda batch: layers.silver_repo(batch, **models),
+        lambda batch: batch if own else layers.silver_repo(batch, **models),
         silver,
         _at(root, "checkpoint/silver/repos"),
     )
-    return tables.write_version(layers.gold_repo(spark.read.parquet(silver), denied), gold)
+    stored = spark.read.parquet(silver)
+    if own:
+        stored = layers.distilled(stored, models.get("embedder"))
+    return tables.write_version(layers.gold_repo(stored, denied), gold)
 
 
 def ingest_pdfs(spark: SparkSession, landing: str, root: str, extractor, **models) -> DataFrame:

@@ -24,11 +24,20 @@ def silver_repo(
 ) -> DataFrame:
     """Files with their distilled text and its vector.
 
-    With a chat model every file is sent to it. Without one the text's own
-    header, keywords and sentences are used; copies are distilled once.
+    With a chat model every file is sent to it, whatever else is in the table.
+    Without one see `distilled`.
     """
     if chat is not None:
         return embed_text(distil.distil_with_model(bronze, chat), make_model=embedder)
+    return distilled(bronze, embedder)
+
+
+def distilled(bronze: DataFrame, embedder: MakeModel | None = None) -> DataFrame:
+    """Files with their own header, strongest words and sentences, and the vector of these.
+
+    Words are weighed over all of `bronze`, so it should be the whole table and
+    not a batch of it. Copies are distilled once.
+    """
     keyed = bronze.withColumn("_content", F.sha2("content", 256))
     unique = keyed.select("_content", "content").dropDuplicates(["_content"])
     texts = embed_text(distil.distil(unique, "_content"), make_model=embedder)

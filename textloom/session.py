@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Folders that `materialise` wrote and nobody has dropped.
+_SCRATCH: list[str] = []
+
+
 def spark_session(app: str = "textloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on; `conf` adds or overrides.
 
@@ -55,10 +59,25 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     executor and is never computed twice.
     """
     path = shared_dir(df.sparkSession, name)
+    _SCRATCH.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scratch_mark() -> int:
+    """A place in the list of written intermediate tables, for `drop_scratch`."""
+    return len(_SCRATCH)
+
+
+def drop_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the intermediate tables written since a mark; what was read from them must be done."""
+    jvm = spark.sparkContext._jvm
+    for path in _SCRATCH[since:]:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    del _SCRATCH[since:]
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when `df` has at most `max_rows` rows; reads no more than it must."""
     return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows

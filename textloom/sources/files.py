@@ -81,13 +81,23 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def read_html_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Every HTML file below a folder as (html_path, html), read once for all posts."""
+def read_html_files(spark: SparkSession, *folders: str) -> DataFrame:
+    """Every HTML file below the folders, paths or URIs, as (html_path, html_bytes); absent folders have none."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    there = []
+    for folder in folders:
+        # reported paths are URIs, with blanks and the like escaped
+        at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder) if ":/" in folder else folder)
+        if at.getFileSystem(conf).exists(at):
+            there.append(at.toString())
+    if not there:
+        return spark.createDataFrame([], "html_path string, html_bytes binary")
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.html")
-        .load(folder)
+        .load(there)
         # the same form of path as stream_csv reports, also with blanks in it
         .select(F.col("_metadata.file_path").alias("html_path"), F.col("content").alias("html_bytes"))
     )

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.session import drop_scratch, scratch_mark
 from textloom.sinks.tables import append_batch, claim, run_id
 
 
@@ -53,8 +54,10 @@ def transform_stream(
     run = run_id(source.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        since = scratch_mark()
         claim(batch.sparkSession, path, run, replace)
         append_batch(transform(batch), batch_id, path, run)
+        drop_scratch(batch.sparkSession, since)
 
     (
         source.writeStream.foreachBatch(write)
