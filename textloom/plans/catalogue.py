@@ -536,7 +536,8 @@ def topic_question(spark, folder):
 def token_budget(spark, folder):
     docs = table(spark, folder, "documents").withColumn("query", X.topic_question(F.col("source")))
     kept = training.within_budget(docs)
-    return kept.select("doc_id", *big("target_token_count", "query_token_count", "total_token_count"))
+    counts = [X.token_count(F.col(c)).cast("bigint").alias(f"{n}_token_count") for c, n in (("text", "target"), ("query", "query"))]
+    return kept.select("doc_id", *counts, *big("total_token_count"))
 
 
 @query
