@@ -30,7 +30,7 @@ from textloom.llm.common import add_columns
 from textloom.session import materialise
 
 #: Pieces that one group of a numbering holds on average.
-GROUP = 50_000
+GROUP = 2000
 #: Parts whose ids a worker remembers.
 _CACHE = 600_000
 
@@ -286,9 +286,16 @@ def pack(pieces: DataFrame, capacity: int = 2048, key: str = "doc_id") -> DataFr
     if any(not 0 < k <= capacity for k in counts):
         raise ValueError("every piece must have between 1 and `capacity` ids")
     plan = make_plan(counts, capacity)
-    salts = max(1, -(-max(counts.values(), default=1) // GROUP))
+    # at most `capacity` rows: a length gets as many groups as its pieces fill
+    salts = pieces.sparkSession.createDataFrame(
+        [(k, -(-n // GROUP)) for k, n in counts.items()], "__l long, __salts long"
+    )
     same = [F.col(c) for c in (key, "piece", "start", "ids_crc32")]
-    salted = pieces.withColumn("__salt", F.pmod(F.xxhash64(*same), F.lit(salts)).cast("int"))
+    salted = (
+        pieces.join(F.broadcast(salts), F.col("length") == F.col("__l"))
+        .withColumn("__salt", F.pmod(F.xxhash64(*same), F.col("__salts")))
+        .drop("__l", "__salts")
+    )
     groups = salted.groupBy("length", "__salt").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy("length").orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = groups.select(
