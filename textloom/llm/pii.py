@@ -430,12 +430,16 @@ def train(docs: DataFrame, text: str = "text", per_kind: int = PER_KIND) -> Netw
     rows = add_columns(
         docs.where(F.col(text).rlike("[0-9@]")), [F.col(text)], [],
         "__w array<struct<kind:string,window:string,labels:array<string>>>", lambda: _label_windows,
-    ).select(F.inline("__w")).distinct()
-    ranked = rows.withColumn(
-        "n", F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("window"), "window"))
-    )
-    sample = materialise(ranked.where(F.col("n") <= per_kind), "pii-windows")
-    drawn = sample.orderBy("kind", "n").collect()
+    ).select(F.inline("__w")).withColumn("place", F.xxhash64("window"))
+    rows = materialise(rows, "pii-windows")
+    # a share of each kind by hash, so that what meets in a task does not grow with the corpus
+    near = F.lit(False)
+    for row in rows.groupBy("kind").count().collect():
+        limit = -(2**63) + int(min(1.0, 4 * per_kind / row["count"]) * (2**64 - 1))
+        near = near | ((F.col("kind") == row.kind) & (F.col("place") <= min(limit, 2**63 - 1)))
+    order = Window.partitionBy("kind").orderBy("place", "window")
+    ranked = rows.where(near).distinct().withColumn("n", F.row_number().over(order))
+    drawn = ranked.where(F.col("n") <= per_kind).orderBy("kind", "n").collect()
     draw = np.random.default_rng(9)
     windows: list[tuple[str, list[Span]]] = []
     for row in drawn:
