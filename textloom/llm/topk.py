@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.llm.common import smallest_hashes
 from textloom.session import materialise
 
 #: Rows of the sample that gives the pivots and the first bound of every query.
@@ -206,6 +207,7 @@ def top_k(
     every = scaled(vectors, key, vector, scale)
     asked = scaled(vectors.where(is_query), key, vector, scale).groupBy("id").agg(F.min("v").alias("v"))
     size = every.agg(
+        F.count(F.lit(1)).alias("n"),
         F.max(F.size("v")).alias("width"),
         F.max(F.array_max(F.transform("v", lambda x: F.abs(x).cast("double")))).alias("most"),
     ).first()
@@ -213,7 +215,7 @@ def top_k(
     if size.width is None:
         return spark.createDataFrame([], result)
     width, exact = size.width, size.width * size.most * size.most < 2.0**53
-    drawn = every.orderBy(F.xxhash64("id", "v"), "id").limit(SAMPLE).toArrow().combine_chunks()
+    drawn = smallest_hashes(every, ["id", "v"], SAMPLE, size.n).toArrow().combine_chunks()
     drawn_ids = drawn.column("id").to_numpy()
     sample = _matrix(drawn.column("v").combine_chunks(), width)
     pivots = sample[:PIVOTS]
