@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   folder of parquet tables (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
-BENCH_RUNS     timed runs per query after one warm-up; the median counts (default 1)
+BENCH_RUNS     timed runs per query after one warm-up; the median counts (default 3)
 BENCH_QUERIES  names separated by commas (default: HEADLINE; "all" for every query)
 """
 
@@ -37,7 +37,7 @@ def run(spark, name: str, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     wanted = os.environ.get("BENCH_QUERIES", "")
     names = list(QUERIES) if wanted == "all" else wanted.split(",") if wanted else HEADLINE
     spark = spark_session(
