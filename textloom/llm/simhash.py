@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import add_columns
+from textloom.llm.common import add_columns, smallest_hashes
 from textloom.llm.components import connected_components
 from textloom.session import materialise
 
@@ -172,7 +172,7 @@ def near_links(prints: DataFrame, reach: int = 3) -> DataFrame:
     spark = prints.sparkSession
     n = prints.count()
     depth = min(MAX_DEPTH, max(MIN_DEPTH, math.ceil(math.log2(max(1, n / SHARD)))))
-    sample = prints.orderBy(F.xxhash64("fp", F.lit(1)), "fp").limit(SAMPLE).toPandas().fp.to_numpy(np.int64)
+    sample = smallest_hashes(prints.select("fp"), ["fp"], SAMPLE, n).toPandas().fp.to_numpy(np.int64)
     tree = spark.sparkContext.broadcast(ShardTree(sample, depth))
 
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,7 +207,9 @@ def near_duplicates(
     rooted = prints.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # written, so that both sides of the next join are plain shuffles, which AQE splits at a large component
+    rooted = materialise(rooted, "simhash-rooted")
+    ids = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-ids")
     return rows.join(rooted.select("fp", "root").join(ids, "root"), "fp").select(key, "fp", "root", "component_id")
 
 
