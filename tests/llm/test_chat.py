@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -41,7 +42,9 @@ def test_round_trip_by_ids_and_by_text(assembler):
         rendered = assembler.render(ids)
         assert chat.parse_text(rendered) == turns
         assert len(rendered) == size
-        assert assembler.masked_text(ids, mask) == "".join(t for r, t in turns if r == "assistant")
+        lost = "".join(t for r, t in turns if r == "assistant")
+        assert assembler.masked_text(ids, mask) == lost
+        assert assembler.read(np.array(ids, np.int32), np.array(mask)) == (turns, lost, size)
 
 
 def test_query_over_odd_rows(spark):

@@ -33,6 +33,9 @@ CONTROLS = (
 TEMPLATE = {"user": ("[INST]", "[/INST]"), "assistant": ("[ANS]", "</s>"), "system": ("[SYS]", "[/SYS]")}
 TRAINED = "assistant"
 
+#: What begins a turn, and the role it names; a written-out role follows its mark.
+_OPENING = {head: role for role, (head, _) in TEMPLATE.items()} | {"[TURN]": ""}
+
 _TAILS = "|".join(re.escape(c[1:]) for c in CONTROLS)
 _ESCAPE = re.compile(rf"([<\[])(\\*(?:{_TAILS}))")
 _UNESCAPE = re.compile(rf"([<\[])\\(\\*(?:{_TAILS}))")
@@ -60,6 +63,7 @@ class Assembler:
         self.codec = tiktoken.Encoding("chat", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.reserved = {c: reserved_from + i for i, c in enumerate(CONTROLS)}
         self.control = {i: c for c, i in self.reserved.items()}
+        self.first = reserved_from
 
     def turn(self, role: str | None, text: str | None) -> tuple[list[int], list[bool], int]:
         """Ids of one turn, its loss mask, and the length of the rendered string."""
@@ -130,6 +134,37 @@ class Assembler:
                 plain = []
         return "".join(out)
 
+    def read(self, ids: np.ndarray, mask: np.ndarray) -> tuple[list[tuple[str, str]], str, int]:
+        """Turns, text under the mask and length of the rendered string; each segment is decoded once.
+
+        The same as parse, masked_text and the length of render, for masks that cover segments
+        whole or not at all; other masks go through masked_text.
+        """
+        turns, lost, size = [], [], 0
+        opened, role, after = "", "", 0
+        on = np.concatenate(([0], np.cumsum(mask)))
+        for at in [*np.flatnonzero(ids >= self.first).tolist(), len(ids)]:
+            text = self.codec.decode_bytes(ids[after:at].tolist()).decode() if at > after else ""
+            size += len(text)
+            said = unescape(text)
+            covered = int(on[at] - on[after])
+            if covered:
+                whole = covered == at - after
+                lost.append(said if whole else self.masked_text(ids[after:at].tolist(), mask[after:at].tolist()))
+            if at == len(ids):
+                break
+            control = self.control[int(ids[at])]
+            size += len(control)
+            if control in _OPENING:
+                opened, role = control, _OPENING[control]
+            elif control == "[ROLE]":
+                role = said
+            elif opened:
+                turns.append((role, said))
+                opened = ""
+            after = at + 1
+        return turns, "".join(lost), size
+
 
 def parse_text(text: str) -> list[tuple[str, str]]:
     """Role and text of every turn in a rendered string; the inverse of the template."""
@@ -235,8 +270,11 @@ def read_back(formatted: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         for batch in batches:
             done = []
             for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256).to_pydict()
-                for conv, position, ids, mask in zip(*(part[c] for c in ("conv_id", "position", "ids", "loss_mask"))):
+                part = batch.slice(at, 256)
+                names = part.column("conv_id").to_pylist(), part.column("position").to_pylist()
+                for row, (conv, position) in enumerate(zip(*names)):
+                    ids = part.column("ids")[row].values.to_numpy()
+                    mask = part.column("loss_mask")[row].values.to_numpy(zero_copy_only=False)
                     if position == 1:
                         if open_:
                             done.append(close(open_))
@@ -244,15 +282,15 @@ def read_back(formatted: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                             "id": conv, "turns": 0, "said": hashlib.sha256(), "loss": 0,
                             "lost": hashlib.sha256(), "chars": 0, "tokens": 0, "masked": 0,
                         }
-                    for role, said in assembler.parse(ids):
+                    turns, lost, size = assembler.read(ids, mask)
+                    for role, said in turns:
                         open_["turns"] += 1
                         open_["said"].update(f"{role}\n{said}\n".encode())
-                    lost = assembler.masked_text(ids, mask)
                     open_["loss"] += len(lost)
                     open_["lost"].update(lost.encode())
-                    open_["chars"] += len(assembler.render(ids))
+                    open_["chars"] += size
                     open_["tokens"] += len(ids)
-                    open_["masked"] += sum(mask)
+                    open_["masked"] += int(mask.sum())
             if done:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=f.type) for c, f in zip(zip(*done), target)], schema=target
