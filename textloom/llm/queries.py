@@ -92,7 +92,8 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
             F.col(version).alias("n_tokens"),
         )
 
-    first = counted.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    # written, so that the join below is of two plain shuffles, which AQE splits at a large group of copies
+    first = materialise(counted.groupBy("digest").agg(F.min("doc_id").alias("first")), "first-copies")
     copies = counted.join(first, "digest").where("doc_id != first")
     batches = [changes(counted, "insert", "v1"), changes(counted, "revise", "v2"), changes(copies, "delete", "v2")]
     rollup = token_counts.Rollup(spark, shared_dir(spark, "token-rollup"))
