@@ -115,6 +115,25 @@ def test_toxicity_learns_held_out_texts(spark, docs):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {i for i in y if rows[i].score < 0.5}
 
 
+def test_lexicon_comes_from_the_labels_alone(spark, docs):
+    """Known insults are patterns where training labels bear them out, and only there."""
+    few = [("plain words and idiot", 1), ("calm moron rivers", 1), ("trees and trash", 1)]
+    sparse = few + [(f"plain words about trees {i}", 0) for i in range(60)]
+    frame, labels = labelled(spark, docs, sparse, "toxic")
+    everything = F.lit(True)
+    assert toxicity.train(frame, labels, everything).weights == ()
+    # as frequent among toxic as among other texts, or nearly so: odds between 0 and the least ones
+    draw = random.Random(3)
+    texts = [(f"{text} {'idiot' if draw.random() < (0.3 if y else 0.2) else 'stone'}", y) for text, y in toxic_texts()]
+    frame, labels = labelled(spark, docs, texts, "toxic")
+    learned = dict(toxicity.train(frame, labels, everything).weights)
+    assert learned and not [p for p in learned if not p.startswith(" grzm")]
+    # borne out by the labels it is learned like any other word
+    texts = [(text.replace("grzmk", "idiot").replace("GRZMK", "idiot"), y) for text, y in toxic_texts()]
+    frame, labels = labelled(spark, docs, texts, "toxic")
+    assert any(p.startswith(" idio") for p, _ in toxicity.train(frame, labels, everything).weights)
+
+
 def test_held_out_follows_the_crc(spark):
     import zlib
 

@@ -3,12 +3,14 @@
 Folding lowers the text, strips marks, maps look-alike letters of other scripts to Latin and, in
 words that hold a letter, digits and signs to the letters they stand for. The lexicon is
 learned: whole words and beginnings of words whose share among toxic training texts is surely
-above that among others, weighted by the lower bound of their log odds. A match that lies in
-an exception phrase does not count. The sum of the weights and the sum for each word of the
+above that among others, weighted by the lower bound of their log odds. No word is known
+beforehand: what the labels of the training rows do not bear out is not in it. A match that lies
+in an exception phrase does not count. The sum of the weights and the sum for each word of the
 text go through a logistic model fitted on the same sample.
 
 Defined cases: a null or empty text has no match and gets the score of such texts. With one
-class or no labels at all the lexicon is empty and the score is the class's share. Repeated rows
+class or no labels at all the lexicon is empty and the score is the class's share; with too few
+toxic texts to learn a pattern from it is empty too, and all texts score alike. Repeated rows
 are scored alike, null ids stay, an empty table gives an empty result. Other columns are not read.
 """
 
@@ -55,13 +57,6 @@ LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9
 #: Phrases in which a word of the lexicon is harmless.
 EXCEPTIONS = ("trash can", "trash bag", "clown fish", "scum line", "sore loser board")
 
-#: Insults known beforehand, for sets with too few labels to learn from. Learned weights take their place,
-#: and they are dropped where the labels speak against them.
-SEEDS = (
-    "idiot", "moron", "stupid", "loser", "scum", "trash", "clown", "pathetic", "worthless", "disgusting",
-)
-SEED_WEIGHT = 2.0
-
 _ALIKE = {c: latin for latin, alike in LOOKALIKES.items() for c in alike + alike.upper() if c != "|"}
 _LEET = str.maketrans(LEET)
 _RUN = re.compile(r"[\w@$!]+")
@@ -233,12 +228,6 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_other: int, exceptions: tup
     weighed = telling.select("pattern", "t", F.greatest(odds - 2 * spread, F.lit(1.0)).alias("w"))
     rows = weighed.orderBy(F.desc("w"), "pattern").limit(MOST_PATTERNS).collect()
     weight = _clearest({r.pattern: (r.t, float(r.w)) for r in rows})
-    seeds = [f" {word} " for word in SEEDS]
-    against = counts.where(F.col("pattern").isin(seeds) & (odds <= 0) & (F.col("o") >= LEAST_TEXTS))
-    refuted = {r.pattern for r in against.select("pattern").collect()}
-    for seed in seeds:
-        if seed not in refuted:
-            weight.setdefault(seed, SEED_WEIGHT)
     return Lexicon(tuple(sorted((p, round(w, 6)) for p, w in weight.items())), exceptions)
 
 
