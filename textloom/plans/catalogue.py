@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {}
 VECTOR_DIM = 64  # of the embeddings table
 TEXT_DIM = 1024
 CONTEXT_FLOOR = 0.2  # hashed vectors of short questions rarely score above 0.5
+FILE_BYTES = 16 * 2**20  # of a text file that is read as one row
 
 
 def query(build: Query) -> Query:
@@ -758,10 +759,24 @@ def stream_csv(spark, folder):
 
 
 def _text_files(spark, folder, name):
-    """One text file per source below a folder: a line per document."""
+    """Text files of bounded size below a folder for each source: a line per document.
+
+    A source of more than FILE_BYTES is dealt to as many parts as it has such sizes.
+    """
     root = shared_dir(spark, name)
-    lines = table(spark, folder, "documents").select("source", F.translate("text", "\n", " ").alias("value"))
-    lines.repartition("source").write.partitionBy("source").text(root)
+    lines = table(spark, folder, "documents").select("doc_id", "source", F.translate("text", "\n", " ").alias("value"))
+    size = F.sum(F.coalesce(F.octet_length("value"), F.lit(0)) + 1).alias("size")
+    sizes = materialise(lines.groupBy("source").agg(size), f"{name}-sizes")
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    # there are at most total / FILE_BYTES of these
+    large = sizes.where(F.col("size") > FILE_BYTES).select(
+        F.col("source").alias("large"), F.ceil(F.col("size") / FILE_BYTES).alias("parts")
+    )
+    dealt = lines.join(F.broadcast(large), F.col("source").eqNullSafe(F.col("large")), "left")
+    part = F.pmod(F.xxhash64("doc_id", "value"), F.coalesce("parts", F.lit(1)))
+    # a task writes one file for each of its sources, so there are as many tasks as files of this size
+    dealt = dealt.repartition(max(1, -(-total // FILE_BYTES)), "source", part)
+    dealt.select("source", "value").write.partitionBy("source").text(root)
     return root
 
 
