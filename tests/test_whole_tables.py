@@ -26,3 +26,17 @@ def test_text_files_of_a_large_source_are_bounded(spark, tmp_path, monkeypatch):
     assert max(sizes.values()) < wanted["hot"] / 2 and len(glob.glob(f"{root}/source=a/*.txt")) == 1
     for query in (catalogue.stream_binary, catalogue.file_listing):
         assert {r.source: r["size"] for r in query(spark, str(tmp_path)).collect()} == wanted
+
+
+def test_arrays_of_messages_are_bounded(spark, tmp_path, monkeypatch):
+    rows = [(1, i, "user", f"text {i}") for i in range(700)] + [(1, 699, "user", "text tied")] * 300
+    rows += [(2, None, "user", "no turn"), (2, 0, "user", "first"), (3, 5, "assistant", None), (None, 1, None, "no id")] * 2
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    frame.repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    found = catalogue.last_message_nested(spark, str(tmp_path)).collect()
+    assert {(r.query_id, r.request) for r in found} == {(1, "text tied"), (2, "first"), (3, None), (None, "no id")}
+    assert len(found) == 4
+    # the sizes of the arrays in place of the messages
+    monkeypatch.setattr(catalogue.X, "last_message", lambda messages: catalogue.F.size(messages).cast("string"))
+    sizes = catalogue.last_message_nested(spark, str(tmp_path)).collect()
+    assert max(int(r.request) for r in sizes) <= 64

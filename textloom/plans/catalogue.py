@@ -29,6 +29,7 @@ VECTOR_DIM = 64  # of the embeddings table
 TEXT_DIM = 1024
 CONTEXT_FLOOR = 0.2  # hashed vectors of short questions rarely score above 0.5
 FILE_BYTES = 16 * 2**20  # of a text file that is read as one row
+MESSAGES = 64  # of a conversation in one array
 
 
 def query(build: Query) -> Query:
@@ -520,11 +521,16 @@ def last_message(spark, folder):
 
 @query
 def last_message_nested(spark, folder):
-    """The same over conversations held as arrays of messages."""
-    turns = table(spark, folder, "conversations")
-    ordered = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
-    chats = turns.groupBy("conv_id").agg(ordered.alias("messages"))
-    return chats.select(F.col("conv_id").alias("query_id"), X.last_message(F.col("messages")).alias("request"))
+    """The same over conversations held as arrays of messages, each array a block of at most MESSAGES of them."""
+    # numbers of the scan make blocks, so that neither a long conversation nor tied turns make a long array
+    block = F.floor(F.monotonically_increasing_id() / MESSAGES).alias("block")
+    turns = table(spark, folder, "conversations").select("conv_id", block, "turn", "role", F.col("text").alias("content"))
+    ordered = F.array_sort(F.collect_list(F.struct("turn", "role", "content"))).alias("messages")
+    chats = turns.groupBy("conv_id", "block").agg(ordered)
+    last = chats.select(
+        F.col("conv_id").alias("query_id"), F.element_at("messages", -1).alias("last"), X.last_message(F.col("messages")).alias("request")
+    )
+    return last.groupBy("query_id").agg(F.max_by("request", "last").alias("request"))
 
 
 @query
