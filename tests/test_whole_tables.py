@@ -40,3 +40,17 @@ def test_arrays_of_messages_are_bounded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(catalogue.X, "last_message", lambda messages: catalogue.F.size(messages).cast("string"))
     sizes = catalogue.last_message_nested(spark, str(tmp_path)).collect()
     assert max(int(r.request) for r in sizes) <= 64
+
+
+def test_restarted_stream_reads_many_files_in_a_batch(spark, tmp_path, monkeypatch):
+    rows = [(i, f"<html><body>page {i}</body></html>") for i in range(200)]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    pages = spark.read.parquet(f"{tmp_path}/pages.parquet").repartition(4)
+    monkeypatch.setattr(catalogue, "table", lambda spark, folder, name: pages)
+    source, stream = [], catalogue.files.stream_parquet
+    monkeypatch.setattr(
+        catalogue.files, "stream_parquet", lambda spark, folder, *a, **b: source.append(folder) or stream(spark, folder, *a, **b)
+    )
+    found = catalogue.stream_silver_restart(spark, str(tmp_path)).collect()
+    assert sorted((r.page_id, r.text.strip()) for r in found) == [(i, f"page {i}") for i in range(200)]
+    assert len(set(source)) == 1 and len(glob.glob(f"{source[0]}/*.parquet")) >= 4
