@@ -179,3 +179,12 @@ def test_spark_jobs(spark, docs, odd):
     kept = pii.redact(odd)
     assert sorted(map(str, kept.collect())) == sorted(map(str, odd.collect()))
     assert pii.redact(docs([])).count() == 0
+
+
+def test_copies_do_not_thin_out_the_training_windows(spark, docs, monkeypatch):
+    draw = random.Random(12)
+    texts = [f"write to a{i}@mail{draw.randrange(9)}.example.com about stone {i}" for i in range(40)]
+    frame = docs([(n, texts[n % 40]) for n in range(8000)])
+    monkeypatch.setattr(pii, "fit", lambda windows: windows)
+    windows = pii.train(frame, per_kind=5)
+    assert len({text for text, spans in windows if spans}) == 5

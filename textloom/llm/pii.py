@@ -432,10 +432,11 @@ def train(docs: DataFrame, text: str = "text", per_kind: int = PER_KIND) -> Netw
         "__w array<struct<kind:string,window:string,labels:array<string>>>", lambda: _label_windows,
     ).select(F.inline("__w")).withColumn("place", F.xxhash64("window"))
     rows = materialise(rows, "pii-windows")
-    # a share of each kind by hash, so that what meets in a task does not grow with the corpus
+    # a share of each kind's different windows by hash, so that what meets in a task does not grow with the
+    # corpus; copies do not count, as they share one hash
     near = F.lit(False)
-    for row in rows.groupBy("kind").count().collect():
-        limit = -(2**63) + int(min(1.0, 4 * per_kind / row["count"]) * (2**64 - 1))
+    for row in rows.groupBy("kind").agg(F.approx_count_distinct("place").alias("n")).collect():
+        limit = -(2**63) + int(min(1.0, 4 * per_kind / max(1, row.n)) * (2**64 - 1))
         near = near | ((F.col("kind") == row.kind) & (F.col("place") <= min(limit, 2**63 - 1)))
     order = Window.partitionBy("kind").orderBy("place", "window")
     ranked = rows.where(near).distinct().withColumn("n", F.row_number().over(order))
