@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from textloom.llm import licenses
+
 QUALITY_RULES = r"""
 with d as (
     select doc_id, coalesce(text, '') as t from documents
@@ -85,8 +87,62 @@ from e
 group by conv_id
 """
 
+LICENSES = r"""
+with phrases(phrase, label) as (values PHRASES),
+templates(template, label, words) as (values TEMPLATES),
+d as (
+    select row_number() over () as r, doc_id,
+        regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+    from documents
+), w as (
+    select r, unnest(ws) as word, unnest(range(len(ws))) as pos from d
+), t as (
+    select template, label, list_distinct(string_split(words, ' ')) as words,
+        (1 << ceil(log2(len(string_split(words, ' '))))::integer)::bigint as stride
+    from templates
+), tw as (
+    select template, label, stride, len(words) as m, unnest(words) as word from t
+), shared as (
+    select r, template, label, m, word, pos // stride as block from w join tw using (word)
+    union all
+    select r, template, label, m, word, pos // stride - 1 from w join tw using (word) where pos >= stride
+), blocks as (
+    select r, template, label, block, count(distinct word) / max(m)::double as containment
+    from shared group by r, template, label, block
+    having 5 * count(distinct word) >= 4 * max(m)
+), runs as (
+    select r, pos, concat_ws(' ', word, lead(word) over p, lead(word, 2) over p, lead(word, 3) over p) || ' ' as run
+    from w window p as (partition by r order by pos)
+), places as (
+    select r, label, pos from runs join phrases on starts_with(run, phrase || ' ')
+), base as (
+    select r, count(*) as n, min(pos) as lo, max(pos) as hi,
+        string_agg(distinct label, ',' order by label) as labels
+    from places group by r
+), every as (
+    select r, string_agg(distinct label, ',' order by label) as labels
+    from (select r, label from places union all select r, label from blocks) group by r
+), best as (
+    select r, max(containment) as score from blocks group by r
+)
+select d.doc_id, len(ws)::bigint as n_words, coalesce(base.n, 0)::bigint as n_base,
+    base.lo::bigint as first_word, base.hi::bigint as last_word,
+    coalesce(base.labels, '') as base_labels, coalesce(every.labels, '') as labels,
+    case when base.n > 0 then 1.0 else coalesce(best.score, 0.0) end::double as score
+from d left join base using (r) left join every using (r) left join best using (r)
+""".replace("PHRASES", ", ".join(f"('{p}', '{label}')" for p, label in licenses.PHRASES)).replace(
+    "TEMPLATES",
+    ", ".join(
+        f"({i}, '{label}', '{b' '.join(licenses.words_of(text.encode())).decode()}')"
+        for i, (label, text) in enumerate(licenses.TEMPLATES)
+    ),
+)
+
 SQL = {
     "op2_quality_rules": QUALITY_RULES,
     "op7_exact_top_k": TOP_K,
     "op10_chat_formatting": CHAT,
+    "op12_license_scans": LICENSES,
 }

@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import chat, packing, pii, quality_rules, rule_ensemble, simhash, token_counts, topk, toxicity, unigram
+from textloom.llm import (
+    chat,
+    licenses,
+    packing,
+    pii,
+    quality_rules,
+    rule_ensemble,
+    simhash,
+    spelling,
+    token_counts,
+    topk,
+    toxicity,
+    unigram,
+    whitening,
+)
 from textloom.session import materialise, shared_dir
 
 
@@ -115,6 +129,18 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(formatted, ranks, pattern).drop("n_tokens", "loss_tokens")
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_table(spark, folder, "embeddings"), components=16)
+
+
+def op12_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.licensed(_table(spark, folder, "documents"), ["doc_id"])
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -128,5 +154,8 @@ QUERIES = {
         op8_pii,
         op9_token_counts,
         op10_chat_formatting,
+        op11_embedding_whitening,
+        op12_license_scans,
+        op13_spelling_variants,
     )
 }
