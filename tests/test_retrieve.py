@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.operators import context, evaluate, retrieve
+from textloom.operators import context, evaluate, meeting, retrieve, scoring
 
 
 def frames(spark, queries, docs, key="string"):
@@ -39,7 +39,7 @@ def gathered(result):
 
 
 @pytest.mark.parametrize("metric", retrieve.METRICS)
-@pytest.mark.parametrize("strategy", ["broadcast", "cells"])
+@pytest.mark.parametrize("strategy", ["broadcast", "cells", "routed", "lsh"])
 def test_exact_with_clusters_copies_and_zero_vectors(spark, metric, strategy):
     rng = np.random.default_rng(7)
     centres = rng.normal(size=(4, 8)) * 3
@@ -48,6 +48,10 @@ def test_exact_with_clusters_copies_and_zero_vectors(spark, metric, strategy):
     queries = [(f"q{i}", (centres[i % 4] + rng.normal(size=8)).tolist()) for i in range(12)]
     queries += [("qcopy", [1.0] * 8)]
     q, d = frames(spark, queries, docs)
+    if strategy == "lsh" and metric == "dot":
+        with pytest.raises(ValueError):
+            retrieve.knn_join(q, d, 5, 8, metric, strategy)
+        return
     found = gathered(retrieve.knn_join(q, d, 5, 8, metric, strategy, cells=8))
     expected = brute(queries, docs, 5, metric)
     assert found.keys() == expected.keys()
@@ -56,7 +60,7 @@ def test_exact_with_clusters_copies_and_zero_vectors(spark, metric, strategy):
         assert np.allclose([s for _, s in found[name]], [s for _, s in expected[name]], atol=2e-6)
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "cells"])
+@pytest.mark.parametrize("strategy", ["broadcast", "cells", "routed", "lsh"])
 def test_small_and_broken_inputs(spark, strategy):
     docs = [("a", [1.0, 0.0]), ("b", [1.0]), ("c", None), ("d", [0.0, 0.0]), ("e", [1.0, None])]
     queries = [("a", [1.0, 0.0]), ("bad", [0.0, 0.0]), ("null", None)]
@@ -75,10 +79,11 @@ def test_cells_split_a_crowded_cell(spark, monkeypatch):
     assert fast == gathered(retrieve.knn_join(q, d, 4, 3, strategy="broadcast"))
 
 
-@pytest.mark.parametrize("strategy", ["auto", "broadcast", "cells"])
+@pytest.mark.parametrize("strategy", ["auto", "routed", "lsh"])
 def test_many_chunks_of_queries_and_repeated_ids(spark, monkeypatch, strategy):
     monkeypatch.setattr(retrieve, "BROADCAST_BYTES", 8 * 6 * 40)
-    monkeypatch.setattr(retrieve, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(meeting, "PART_ROWS", 7)
+    monkeypatch.setattr(meeting, "CHUNK_ROWS", 9)
     rng = np.random.default_rng(3)
     hashed = np.round(rng.normal(size=(260, 6)) * (rng.random((260, 6)) < 0.3), 1)  # many equal scores
     docs = [(f"d{i:03}", v.tolist()) for i, v in enumerate(hashed)]
@@ -107,6 +112,73 @@ def test_batch_sizes_change_nothing(spark, records, metric):
         assert [pk for pk, _ in results] == [pk for pk, _ in want[name]]
 
 
+def clustered(seed, number, dim, spread):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(40, dim))
+    return (centres[rng.integers(0, 40, number)] + spread * rng.normal(size=(number, dim))).tolist()
+
+
+def test_plan_does_not_grow_with_the_queries(spark, monkeypatch):
+    monkeypatch.setattr(meeting, "CHUNK_ROWS", 5)
+    monkeypatch.setattr(retrieve, "BROADCAST_BYTES", 0)
+    plans = []
+    for number in (10, 400):
+        rows = list(enumerate(clustered(4, number, 6, 0.2)))
+        q, d = frames(spark, rows, list(enumerate(clustered(5, 200, 6, 0.2))), "bigint")
+        collected = []
+        real = type(q).toArrow
+        monkeypatch.setattr(type(q), "toArrow", lambda self: collected.append(real(self)) or collected[-1])
+        found = retrieve.knn_join(q, d, 3, 6)
+        plans.append(found._jdf.queryExecution().optimizedPlan().toString().count("\n"))
+        # only the sampled pivots pass through the driver
+        assert sum(t.num_rows for t in collected) <= 16
+        monkeypatch.undo()
+        monkeypatch.setattr(retrieve, "BROADCAST_BYTES", 0)
+        assert gathered(found) == gathered(retrieve.knn_join(q, d, 3, 6, strategy="routed", cells=3))
+    assert plans[0] == plans[1]
+
+
+def test_routes_leave_out_far_cells(spark):
+    rows = list(enumerate(clustered(6, 2000, 8, 0.02)))
+    q, d = frames(spark, rows[:300], rows, "bigint")
+    placed, cells = meeting.in_cells(d, 8, "cosine", 40)
+    unit = np.array([v for _, v in rows[:300]])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    assert (cells.reach(unit, "cosine") >= 0.99).sum() < 0.2 * 300 * 40
+    assert placed.count() == 2000
+    assert gathered(retrieve.knn_join(q, d, 7, 8, strategy="routed")) == gathered(retrieve.knn_join(q, d, 7, 8, strategy="broadcast"))
+
+
+def test_lsh_recall_without_fallback_and_proofs(spark):
+    rows = list(enumerate(clustered(8, 4000, 32, 0.15)))
+    q, d = frames(spark, rows[:200], rows, "bigint")
+    exact = gathered(retrieve.knn_join(q, d, 7, 32, strategy="broadcast"))
+    rough = gathered(retrieve.knn_join(q, d, 7, 32, strategy="lsh", fallback=False))
+    hits = sum(len({pk for pk, _ in exact[i]} & {pk for pk, _ in rough.get(i, [])}) for i in exact)
+    assert hits / sum(map(len, exact.values())) >= 0.95
+    # copies in great number: what no bucket held cannot reach the score of a copy
+    copies = [(10_000 + i, rows[0][1]) for i in range(20)] + rows
+    q, d = frames(spark, rows[:50], copies, "bigint")
+    found, proven = meeting.lsh(q, d, 7, 32)
+    proven = {r.query_id for r in proven.collect() if r.proven}
+    assert 0 in proven
+    best = {}
+    for r in found.collect():
+        best.setdefault(r.query_id, set()).add((r.pk, r.score))
+    exact = gathered(retrieve.knn_join(q, d, 7, 32, strategy="broadcast"))
+    assert all(best[i] == set(exact[i]) for i in proven)
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(2)
+    q, d = rng.normal(size=(50, 5)), rng.normal(size=(60, 5))
+    for metric in retrieve.METRICS:
+        _, a = scoring.usable_rows(q, metric)
+        _, b = scoring.usable_rows(d, metric)
+        most = scoring.ceilings((a * a).sum(axis=1)[:, None], scoring.distances(a, b), (b * b).sum(axis=1)[None, :], metric)
+        assert (most >= scoring.rough_scores(a, b, metric)).all()
+
+
 def results(spark, rows):
     return spark.createDataFrame(rows, "query_id int, source string, rank int, pk string, text string, score double")
 

@@ -1,14 +1,20 @@
 """Similarity join: for every query vector the k best document vectors.
 
-Exact in both strategies; pairs are scored in matrix blocks inside tasks, only the best k per
-query leave a task, and neither side is ever whole in one place. Queries come in chunks of a
-fixed size; each chunk is broadcast and meets the documents where they lie.
-
-`broadcast`  one pass over the documents per chunk, no shuffle of vectors.
-`cells`      documents are first put next to each other by nearest pivot, in one shuffle, and
-             written. A pass then leaves out, for each block of documents, the queries that by
-             the triangle inequality can find nothing better in it than what they know. Where
-             the vectors have clusters most blocks meet few queries.
+Pairs are scored in matrix blocks inside tasks and only the best k per query leave a task.
+
+`broadcast`  queries of at most BROADCAST_BYTES, checked, are sent to the documents where they lie:
+             one pass, no shuffle of vectors.
+`cells`      the same queries, but documents are first put next to each other by nearest pivot, in
+             one shuffle, and written. A pass then leaves out, for each block of documents, the
+             queries that by the triangle inequality can find nothing better in it than what
+             they know. Where the vectors have clusters most blocks meet few queries.
+`routed`     any number of queries: they travel as rows to the cells that can hold their results
+             (see `meeting`). More queries than may be broadcast always go this way.
+`lsh`        queries and documents meet in buckets of random projections. With `fallback` queries
+             that are not proven complete are searched again exactly; without it some results
+             may be missing.
+
+All but `lsh` without `fallback` are exact and give the same rows.
 
 A query and a document meet once, in whichever strategy. Scores of results come from the two
 vectors alone in double precision, are rounded to 6 digits and ties broken by document key, so
@@ -28,7 +34,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.session import materialise
+from textloom.operators import meeting
+from textloom.operators.sampling import smallest_hashes
+from textloom.operators.scoring import (
+    Best,
+    ceilings,
+    distances,
+    margin_of,
+    matrix_of,
+    rough_scores,
+    usable_rows,
+)
+from textloom.session import fits, materialise
 
 METRICS = ("cosine", "dot", "l2")
 BROADCAST_BYTES = 32 << 20
@@ -39,7 +56,7 @@ CELLS_PER_ROOT, MOST_CELLS = 0.25, 4096
 FIRST_ROWS = 2048
 #: Parts in which the results of a query are merged first.
 MERGE_PARTS = 16
-_SCORES = 4 << 20  # scores held at once in a task
+STRATEGIES = ("auto", "broadcast", "cells", "routed", "lsh")
 
 
 def knn_join(
@@ -51,45 +68,47 @@ def knn_join(
     strategy: str = "auto",
     skip_same_key: bool = False,
     cells: int | None = None,
+    fallback: bool = True,
 ) -> DataFrame:
     """(query_id, rank, pk, score): the k best documents of each query.
 
     `queries` has query_id and vector, `docs` has pk and vector, with vectors
     of length `dim`. With `skip_same_key` a document is not a result of the
-    query that has its key. `auto` sorts the documents into cells when there
-    is more than one chunk of queries; both strategies give the same rows.
+    query that has its key. `auto` broadcasts queries that are few enough and
+    routes others.
     """
     if metric not in METRICS:
         raise ValueError(f"metric is one of {METRICS}")
-    if strategy not in ("auto", "broadcast", "cells"):
-        raise ValueError("strategy is 'auto', 'broadcast' or 'cells'")
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy is one of {STRATEGIES}")
     queries = queries.select("query_id", "vector").where(F.size("vector") == dim)
     queries = queries.groupBy("query_id").agg(F.min("vector").alias("vector"))
     docs = docs.select("pk", "vector").where(F.size("vector") == dim)
     depth = k + 1 if skip_same_key else k
-    chunks = query_chunks(queries, dim)
-    if strategy == "cells" or (strategy == "auto" and len(chunks) > 1):
-        docs, floors = _in_cells(docs, dim, metric, cells), _first_rows(docs, dim, metric)
+    if strategy == "lsh":
+        queries = materialise(queries, "queries")
+        found, proven = meeting.lsh(queries, docs, depth, dim, metric)
+        if fallback:
+            done = materialise(proven.where("proven").select("query_id"), "proven")
+            open_ = queries.join(done, "query_id", "left_anti")
+            exact = _exact(open_, docs, depth, dim, metric, "auto", cells)
+            found = found.join(done, "query_id", "left_semi").unionByName(exact)
     else:
-        floors = None
-    found = None
-    for chunk in chunks:
-        part = _search(chunk, docs, depth, dim, metric, floors)
-        found = part if found is None else found.unionByName(part)
+        found = _exact(queries, docs, depth, dim, metric, strategy, cells)
     if skip_same_key:
         found = found.where(F.col("query_id") != F.col("pk"))
     return best_of(found, k)
 
 
-def query_chunks(queries: DataFrame, dim: int) -> list[DataFrame]:
-    """The queries in parts of at most BROADCAST_BYTES of vectors, by the hash of their id."""
-    most = max(BROADCAST_BYTES // (8 * dim), 1)
-    if queries.select(F.lit(1)).limit(most + 1).count() <= most:
-        return [queries]
-    written = materialise(queries, "queries")
-    # aimed at half the bound: hashing leaves parts unequal, and the bound is checked where they are read
-    number = -(-2 * written.count() // most)
-    return [written.where(F.pmod(F.xxhash64("query_id"), F.lit(number)) == i) for i in range(number)]
+def _exact(
+    queries: DataFrame, docs: DataFrame, k: int, dim: int, metric: str, strategy: str, cells: int | None
+) -> DataFrame:
+    if strategy == "routed" or not fits(queries, max(BROADCAST_BYTES // (8 * dim), 1)):
+        return meeting.routed(queries, docs, k, dim, metric, cells)
+    if strategy != "cells":
+        return _search(queries, docs, k, dim, metric, None)
+    total = docs.count()
+    return _search(queries, _in_cells(docs, dim, metric, cells, total), k, dim, metric, _first_rows(docs, dim, metric, total))
 
 
 def best_of(found: DataFrame, k: int) -> DataFrame:
@@ -115,115 +134,6 @@ def above(found: DataFrame, threshold: float) -> DataFrame:
     return found.where(F.col("score") > threshold)
 
 
-# -- inside tasks --------------------------------------------------------------
-
-
-def _matrix(vectors: pa.Array, dim: int) -> np.ndarray:
-    if isinstance(vectors, pa.ChunkedArray):
-        vectors = vectors.combine_chunks()
-    return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
-
-
-def _usable(matrix: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of usable rows, and the rows (of length 1 for cosine)."""
-    lengths = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
-    keep = np.flatnonzero(np.isfinite(lengths) & ((lengths > 0) | (metric != "cosine")))
-    rows = matrix[keep]
-    return keep, rows / lengths[keep, None] if metric == "cosine" else rows
-
-
-def _scores(q: np.ndarray, d: np.ndarray, metric: str) -> np.ndarray:
-    """Scores of all pairs, up to rounding errors."""
-    product = q @ d.T
-    if metric == "l2":
-        square = (q * q).sum(1)[:, None] + (d * d).sum(1)[None, :] - 2 * product
-        product = 1 / (1 + np.maximum(square, 0))
-    return product
-
-
-def _margin(q: np.ndarray, d: np.ndarray, metric: str) -> float:
-    """More than `_scores` can be off, in single precision for cosine, and half of the last digit kept."""
-    if metric == "cosine":
-        return q.shape[1] * 2.0**-23 + 1e-6
-    size = np.linalg.norm(q, axis=1).max(initial=0) + np.linalg.norm(d, axis=1).max(initial=0)
-    return float(q.shape[1] * 2.0**-50 * (1 + size * size)) + 1e-6
-
-
-def _pair_scores(q: np.ndarray, d: np.ndarray, row: np.ndarray, col: np.ndarray, metric: str) -> np.ndarray:
-    """Scores of single pairs, the same whatever other pairs are asked for."""
-    scores = np.empty(len(row))
-    step = max(1, (8 << 20) // q.shape[1])
-    for start in range(0, len(row), step):
-        part = slice(start, start + step)
-        left, right = q[row[part]], d[col[part]]
-        if metric == "l2":
-            left = right = left - right
-        scores[part] = np.einsum("ij,ij->i", left, right)
-    if metric == "l2":
-        scores = 1 / (1 + scores)
-    # + 0.0 turns a rounded -0.0 into 0.0
-    return np.round(scores, 6) + 0.0
-
-
-class _Best:
-    """The k best (score, key) pairs of each query seen so far in a task."""
-
-    def __init__(self, queries: int, k: int, floor: np.ndarray | None = None):
-        self.k = k
-        self.floor = np.full(queries, -np.inf) if floor is None else floor.copy()
-        self.query = np.empty(0, np.int64)
-        self.score = np.empty(0)
-        self.key: np.ndarray | None = None
-
-    def add(self, q: np.ndarray, keys: np.ndarray, d: np.ndarray, metric: str, which: np.ndarray | None = None) -> None:
-        """Score documents against the queries `which` (all, if None) of `q`."""
-        which = np.arange(len(q)) if which is None else which
-        if not len(which) or not len(d):
-            return
-        fast = metric == "cosine"
-        left = q[which].astype(np.float32) if fast else q[which]
-        margin = _margin(left, d, metric)
-        step = max(64, _SCORES // len(which))
-        for start in range(0, len(d), step):
-            block, names = d[start : start + step], keys[start : start + step]
-            rough = left @ block.astype(np.float32).T if fast else _scores(left, block, metric)
-            row, col = self._candidates(rough, margin, which)
-            if len(row):
-                self._merge(row, _pair_scores(q, block, row, col, metric), names[col])
-
-    def _candidates(self, rough: np.ndarray, margin: float, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs that may be among the k best: at least the floor and the block's own k-th."""
-        active = np.flatnonzero(rough.max(axis=1) >= self.floor[which] - margin)
-        rough = rough[active]
-        limit = self.floor[which[active]] - margin
-        if rough.shape[1] > self.k and len(active):
-            crowded = np.flatnonzero((rough >= limit[:, None]).sum(axis=1) > 2 * self.k)
-            place = rough.shape[1] - self.k
-            own = np.partition(rough[crowded], place, axis=1)[:, place] - 2 * margin
-            limit[crowded] = np.maximum(limit[crowded], own)
-        row, col = np.nonzero(rough >= limit[:, None])
-        return which[active[row]], col
-
-    def _merge(self, row: np.ndarray, score: np.ndarray, name: np.ndarray) -> None:
-        query = np.concatenate([self.query, row])
-        score = np.concatenate([self.score, score])
-        key = name if self.key is None else np.concatenate([self.key, name])
-        order = np.lexsort((np.unique(key, return_inverse=True)[1], -score, query))
-        query, score, key = query[order], score[order], key[order]
-        place = np.arange(len(query)) - np.searchsorted(query, query)
-        kept = place < self.k
-        self.query, self.score, self.key = query[kept], score[kept], key[kept]
-        last = np.flatnonzero(place == self.k - 1)
-        self.floor[query[last]] = np.maximum(self.floor[query[last]], score[last])
-
-    def to_arrow(self, ids: pa.Array, key_type: pa.DataType) -> pa.RecordBatch:
-        keys = pa.array([] if self.key is None else self.key.tolist(), key_type)
-        return pa.RecordBatch.from_arrays(
-            [ids.take(pa.array(self.query)), keys, pa.array(self.score)],
-            ["query_id", "pk", "score"],
-        )
-
-
 def _result_type(queries: DataFrame, docs: DataFrame) -> T.StructType:
     return T.StructType(
         [
@@ -237,10 +147,10 @@ def _result_type(queries: DataFrame, docs: DataFrame) -> T.StructType:
 # -- passes --------------------------------------------------------------------
 
 
-def _first_rows(docs: DataFrame, dim: int, metric: str) -> np.ndarray:
+def _first_rows(docs: DataFrame, dim: int, metric: str, total: int) -> np.ndarray:
     """Vectors of a bounded sample of different documents, in hash order."""
-    drawn = docs.orderBy(F.xxhash64("pk"), "pk").limit(FIRST_ROWS).toArrow()
-    return _usable(_matrix(drawn["vector"], dim), metric)[1]
+    drawn = smallest_hashes(docs, ["pk"], FIRST_ROWS, total).toArrow()
+    return usable_rows(matrix_of(drawn["vector"], dim), metric)[1]
 
 
 def _search(
@@ -251,26 +161,26 @@ def _search(
     table = chunk.limit(most + 1).toArrow()
     if table.num_rows > most:
         raise ValueError("a chunk of queries is larger than the broadcast bound")
-    keep, q = _usable(_matrix(table["vector"], dim), metric)
+    keep, q = usable_rows(matrix_of(table["vector"], dim), metric)
     ids = table["query_id"].combine_chunks().take(pa.array(keep))
     floor = None
     if first is not None and len(first) > k and len(q):
         # k other documents are known to score as much
         floor = np.empty(len(q))
         for at in range(0, len(q), 1024):
-            scores = np.sort(_scores(q[at : at + 1024], first, metric), axis=1)
-            floor[at : at + 1024] = scores[:, -k] - _margin(q[at : at + 1024], first, metric)
+            scores = np.sort(rough_scores(q[at : at + 1024], first, metric), axis=1)
+            floor[at : at + 1024] = scores[:, -k] - margin_of(q[at : at + 1024], first, metric)
     shared = docs.sparkSession.sparkContext.broadcast((ids, q, floor))
     pruned = first is not None
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, q, floor = shared.value
-        best, key_type = _Best(len(q), k, floor), None
+        best, key_type = Best(len(q), k, floor), None
         for batch in batches:
             key_type = batch.column("pk").type
             for start in range(0, batch.num_rows, BLOCK_ROWS if pruned else batch.num_rows):
                 part = batch.slice(start, BLOCK_ROWS if pruned else batch.num_rows)
-                keep, d = _usable(_matrix(part.column("vector"), dim), metric)
+                keep, d = usable_rows(matrix_of(part.column("vector"), dim), metric)
                 keys = part.column("pk").to_numpy(zero_copy_only=False)[keep]
                 if len(q) and len(d):
                     best.add(q, keys, d, metric, _worth(q, d, best.floor, metric) if pruned else None)
@@ -283,33 +193,27 @@ def _search(
 def _worth(q: np.ndarray, d: np.ndarray, floor: np.ndarray, metric: str) -> np.ndarray:
     """Queries that may find something in the block, by its centre and radius."""
     centre = d.mean(axis=0, keepdims=True)
-    radius = float(_distance(d, centre).max())
-    gap = np.maximum(_distance(q, centre)[:, 0] - radius - 1e-6 * (1 + radius), 0)
-    if metric == "cosine":
-        ceiling = 1 - gap**2 / 2
-    elif metric == "l2":
-        ceiling = 1 / (1 + gap**2)
-    else:
-        longest = float((d * d).sum(axis=1).max())
-        ceiling = ((q * q).sum(axis=1) + longest - gap**2) / 2
-    return np.flatnonzero(ceiling + 1e-5 + 1e-9 * np.abs(ceiling) >= floor)
+    radius = float(distances(d, centre).max())
+    gap = np.maximum(distances(q, centre)[:, 0] - radius - 1e-6 * (1 + radius), 0)
+    longest2 = float((d * d).sum(axis=1).max())
+    return np.flatnonzero(ceilings((q * q).sum(axis=1), gap, longest2, metric) >= floor)
 
 
-def _in_cells(docs: DataFrame, dim: int, metric: str, cells: int | None) -> DataFrame:
+def _in_cells(docs: DataFrame, dim: int, metric: str, cells: int | None, total: int) -> DataFrame:
     """Documents written next to those with the same nearest pivot; a crowded cell lies in several tasks.
 
     The cells only say what lies together; they decide nothing about results. Their number grows
     with the square root of the table.
     """
     spark = docs.sparkSession
-    number = cells or min(MOST_CELLS, max(16, int(CELLS_PER_ROOT * math.sqrt(docs.count()))))
-    drawn = docs.orderBy(F.xxhash64("pk"), "pk").limit(number).toArrow()
-    pivots = spark.sparkContext.broadcast(_usable(_matrix(drawn["vector"], dim), metric)[1])
+    number = cells or min(MOST_CELLS, max(16, int(CELLS_PER_ROOT * math.sqrt(total))))
+    drawn = smallest_hashes(docs, ["pk"], number, total).toArrow()
+    pivots = spark.sparkContext.broadcast(usable_rows(matrix_of(drawn["vector"], dim), metric)[1])
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, rows = _usable(_matrix(batch.column("vector"), dim), metric)
-            cell = _distance(rows, pivots.value).argmin(axis=1) if len(rows) else np.empty(0, np.int64)
+            keep, rows = usable_rows(matrix_of(batch.column("vector"), dim), metric)
+            cell = distances(rows, pivots.value).argmin(axis=1) if len(rows) else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cell, pa.int32()), *[column.take(pa.array(keep)) for column in batch.columns]],
                 ["cell", *batch.schema.names],
@@ -319,8 +223,3 @@ def _in_cells(docs: DataFrame, dim: int, metric: str, cells: int | None) -> Data
     # ranges over (cell, hash) have equal sizes, so a cell with most of the documents is split
     placed = docs.mapInArrow(assign, schema).withColumn("_order", F.xxhash64("pk"))
     return materialise(placed.repartitionByRange("cell", "_order").sortWithinPartitions("cell", "_order"), "cells")
-
-
-def _distance(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    square = (rows * rows).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :]
-    return np.sqrt(np.maximum(square - 2 * rows @ pivots.T, 0))
