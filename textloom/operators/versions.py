@@ -5,16 +5,66 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.operators.filters import not_among
+from textloom.session import materialise
 from textloom.sinks.tables import check_key
 
 
+def rows_before(counts: DataFrame, keys: list[str], order: list[str], number: str, out: str) -> DataFrame:
+    """Adds the sum of `number` over the rows of the same key that come before in the order.
+
+    `counts` has one row per key and order. No task needs a whole key: ranges over (key, order)
+    are written, sums run within a range, and only the first and the last key of a range can
+    reach into others. The totals of those, at most two per range, are summed up and sent to all.
+    """
+    place = F.spark_partition_id().alias("_range")
+    placed = materialise(counts.repartitionByRange(*keys, *order).select("*", place), "ranges")
+    key = F.struct(*keys)
+    ends = placed.groupBy("_range").agg(F.min(key).alias("_low"), F.max(key).alias("_high"))
+    ends = materialise(ends, "range-ends")
+    reaching = placed.join(F.broadcast(ends), "_range").where((key == F.col("_low")) | (key == F.col("_high")) | key.isNull())
+    totals = reaching.groupBy("_range", *keys).agg(F.sum(number).alias("_total"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        F.col("_range").alias("_at"), key.alias("_key"), F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset")
+    )
+    offsets = materialise(offsets, "range-offsets")
+    inside = Window.partitionBy("_range", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    within = placed.withColumn("_within", F.coalesce(F.sum(number).over(inside), F.lit(0)))
+    met = within.join(F.broadcast(offsets), (F.col("_range") == F.col("_at")) & key.eqNullSafe(F.col("_key")), "left")
+    before = F.col("_within") + F.coalesce("_offset", F.lit(0))
+    return met.select(*counts.columns, before.alias(out))
+
+
 def rank_versions(df: DataFrame, keys: list[str], order: str, out: str = "rank") -> DataFrame:
-    """`rank()` of each row among the versions of its key, oldest first.
+    """`rank()` of each row among the versions of its key, oldest first, nulls before all.
+
+    Rows are counted per key and order first, ranks come from `rows_before`, and rows find theirs
+    by a join, which AQE splits where one order value holds many rows. For a filter on rank 1 use
+    `pick_version`.
+    """
+    names = [f"_key_{k}" for k in keys]
+    counts = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(order).alias("_order")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    ranked = materialise(rows_before(counts, names, ["_order"], "_n", "_before"), "ranks")
+    match = F.col(order).eqNullSafe(F.col("_order"))
+    for key, name in zip(keys, names):
+        match = match & F.col(key).eqNullSafe(F.col(name))
+    return df.join(ranked, match).select(*df.columns, (F.col("_before") + 1).cast("int").alias(out))
+
 
-    For a filter on rank 1 use `pick_version`, which does not need a whole key
-    in one task.
+def number_rows(df: DataFrame, keys: list[str], order: str, out: str = "row_number") -> DataFrame:
+    """`row_number()` of each row within its key; rows that tie follow their other columns.
+
+    Equal rows are counted as one and unfolded at the end, so neither a large key nor many copies
+    of a row meet in one task. Columns must be of types that can be grouped.
     """
-    return df.withColumn(out, F.rank().over(Window.partitionBy(*keys).orderBy(order)))
+    others = [c for c in df.columns if c not in (*keys, order)]
+    counts = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    placed = rows_before(counts, keys, [order, *others], "_n", "_before")
+    numbers = F.explode(F.sequence(F.col("_before") + 1, F.col("_before") + F.col("_n")))
+    return placed.select(*df.columns, numbers.alias(out)).withColumn(out, F.col(out).cast("int"))
 
 
 def pick_version(
@@ -42,7 +92,7 @@ def pick_version(
     first = keep == "first"
     if not ties:
         row = F.struct(*df.columns)
-        digest = F.md5(F.to_json(row, {"ignoreNullFields": "false"}))
+        digest = row_digest(df.columns)
         first_break = F.lit(None).cast("string") if tie_break is None else tie_break
         place = F.struct(F.col(order).alias("_order"), first_break.alias("_tie"), digest.alias("_digest"))
         names = [f"_key_{k}" for k in keys]
@@ -64,8 +114,8 @@ def pick_version(
 
 
 def exclude_keys(df: DataFrame, denied: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not in the deny-list; an empty list keeps everything."""
-    return df.join(denied.select(key).distinct(), key, "left_anti")
+    """Rows whose key is not in the deny-list; an empty list keeps everything, a null key stays."""
+    return not_among(df, denied, key)
 
 
 def upsert(old: DataFrame, new: DataFrame, *keys: str) -> DataFrame:
@@ -96,8 +146,12 @@ def with_digest(df: DataFrame, key: str, out: str = "digest") -> DataFrame:
     JSON keeps nulls and nested values apart, which `xxhash64` of columns does
     not: it skips nulls.
     """
-    payload = F.struct(*[c for c in sorted(df.columns) if c not in (key, out)])
-    return df.withColumn(out, F.md5(F.to_json(payload, {"ignoreNullFields": "false"})))
+    return df.withColumn(out, row_digest([c for c in sorted(df.columns) if c not in (key, out)]))
+
+
+def row_digest(columns: list[str]) -> Column:
+    """A digest of the columns that is equal only for equal values."""
+    return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
 
 
 def change_rows(old: DataFrame, new: DataFrame, key: str) -> DataFrame:

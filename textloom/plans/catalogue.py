@@ -463,6 +463,18 @@ def knn_cells(spark, folder):
     return _knn(spark, folder, 7, strategy="cells", cells=32)
 
 
+@query
+def knn_both_large(spark, folder):
+    """Queries as rows that travel to cells of documents, as for more queries than can be broadcast."""
+    return _knn(spark, folder, 7, strategy="routed")
+
+
+@query
+def knn_lsh(spark, folder):
+    """Buckets of random projections; what is not proven complete is searched again exactly."""
+    return _knn(spark, folder, 7, strategy="lsh")
+
+
 @query
 def context_two_source(spark, folder):
     queries = vector_queries(spark, folder)

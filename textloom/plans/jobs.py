@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom import schemas
@@ -211,10 +211,12 @@ def train_eval_split(records: DataFrame, key: str = "post_id", share: float = 0.
 
 
 def requests_of(conversations: DataFrame) -> DataFrame:
-    """(query_id, request): the last message of each conversation, whoever wrote it."""
-    return conversations.groupBy(F.col("conv_id").alias("query_id")).agg(
-        F.max_by("text", "turn").alias("request")
-    )
+    """(query_id, request): the last message of each conversation, whoever wrote it.
+
+    Of messages with the same turn the one with the greater role, then text, counts as later.
+    """
+    place = F.struct("turn", "role", "text")
+    return conversations.groupBy(F.col("conv_id").alias("query_id")).agg(F.max_by("text", place).alias("request"))
 
 
 def chain_prompts(
@@ -250,5 +252,4 @@ def numbered_within_batch(chunks: DataFrame) -> DataFrame:
     For chunks that arrive as rows. `explode_chunks` numbers chunks that are
     still in their document's row, without a window.
     """
-    order = Window.partitionBy("ingestion_time", "path").orderBy("text_chunk")
-    return chunks.withColumn("row_number", F.row_number().over(order))
+    return versions.number_rows(chunks, ["ingestion_time", "path"], "text_chunk")
