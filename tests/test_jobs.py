@@ -153,7 +153,7 @@ def test_replayed_batch_leaves_one_copy(spark, tmp_path):
     spark.range(4).toDF("n").write.parquet(source)
     for run in range(2):
         transform_stream(files.stream_parquet(spark, source, "n bigint"), lambda b: b.withColumn("m", F.col("n") * 2),
-                         str(tmp_path / "out"), str(tmp_path / f"check{run}"))
+                         str(tmp_path / "out"), str(tmp_path / f"check{run}"), replace=True)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 4
 
 
@@ -220,9 +220,104 @@ def test_lost_checkpoint_starts_a_new_run(spark, tmp_path):
         run("one")
     assert sorted(r.n for r in spark.read.parquet(out).collect()) == [0, 1, 2]
     with pytest.raises(Exception, match="holds batches"):
-        run("two", replace=False)
-    run("three")
+        run("two")
     assert sorted(r.n for r in spark.read.parquet(out).collect()) == [0, 1, 2]
+    run("three", replace=True)
+    assert sorted(r.n for r in spark.read.parquet(out).collect()) == [0, 1, 2]
+
+
+def test_old_run_stays_until_the_new_one_is_whole(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for n in range(3):
+        spark.range(n, n + 1).toDF("n").coalesce(1).write.mode("append").parquet(source)
+    seen = []
+
+    def transform(batch):
+        if seen is not None and (tmp_path / "out").exists():
+            seen.append({p.name for p in (tmp_path / "out").glob("run=*")})
+        return batch.select("n")
+
+    stream = lambda: files.stream_parquet(spark, source, "n bigint", most_files=1)
+    transform_stream(stream(), transform, out, str(tmp_path / "one"))
+    old = {p.name for p in (tmp_path / "out").glob("run=*")}
+    seen.clear()
+
+    def failing(batch):
+        if len(seen) == 2:
+            raise RuntimeError("stopped")
+        return transform(batch)
+
+    with pytest.raises(Exception, match="stopped"):
+        transform_stream(stream(), failing, out, str(tmp_path / "two"), replace=True)
+    # nothing of the old run is lost while the new one is not whole
+    assert all(old <= names for names in seen) and len(seen) == 2
+    transform_stream(stream(), transform, out, str(tmp_path / "two"), replace=True)
+    assert sorted(r.n for r in spark.read.parquet(out).collect()) == [0, 1, 2]
+    assert not old & {p.name for p in (tmp_path / "out").glob("run=*")}
+
+
+@pytest.mark.parametrize("there", [True, False])
+def test_empty_landing_folders_give_empty_gold(spark, tmp_path, there):
+    if there:
+        for name in ("posts", "repos", "pdfs"):
+            (tmp_path / name).mkdir()
+    root = str(tmp_path / "lake")
+    for _ in range(2):
+        posts = jobs.ingest_posts(spark, str(tmp_path / "posts"), root)
+        repos_ = jobs.ingest_repos(spark, str(tmp_path / "repos"), root)
+        pdfs = jobs.ingest_pdfs(spark, str(tmp_path / "pdfs"), root, lambda: lambda blobs: [[""] for _ in blobs])
+        assert posts.count() == repos_.count() == pdfs.count() == 0
+    assert {"post_id", "text"} <= set(posts.columns) and "gitrepo_file_id" in repos_.columns and "pdf_chunk_id" in pdfs.columns
+    record = {"file_name": "a.py", "content": "x", "timestamp": "20240917172131", "repo": "r"}
+    write(tmp_path / "repos" / "one.json", json.dumps([record]))
+    assert jobs.ingest_repos(spark, str(tmp_path / "repos"), root).count() == 1
+
+
+def test_malformed_files_go_to_quarantine(spark, tmp_path):
+    landing, root = tmp_path / "raw", str(tmp_path / "lake")
+    record = {"file_name": "a.py", "content": "x y", "timestamp": "20240917172131", "repo": "r"}
+    whole = json.dumps([record])
+    write(landing / "good.json", whole)
+    write(landing / "cut.json", whole[:-9])
+    write(landing / "nameless.json", json.dumps([{"content": "z"}]))
+    gold = jobs.ingest_repos(spark, str(landing), root)
+    assert [r.gitrepo_file_id for r in gold.collect()] == ["a.py-r-2024-09-17 17:21:31"]
+    apart = spark.read.parquet(f"{root}/quarantine/repos")
+    assert {r._file.rsplit("/", 1)[1] for r in apart.collect()} == {"cut.json", "nameless.json"}
+    assert [r._corrupt_record for r in apart.where("_corrupt_record is not null").collect()] == [whole[:-9]]
+
+
+def test_late_files_fill_their_posts(spark, tmp_path):
+    landing, root = tmp_path / "landing", str(tmp_path / "lake")
+    header = "post_id,post_date,is_published,email_sent_at,inbox_sent_at,type,audience,title,subtitle\n"
+    write(landing / "ex 1" / "posts.csv", header + "".join(f"{n},,true,,,,,T{n},\n" for n in (1, 2, 3)))
+    write(landing / "ex 1" / "posts" / "1.html", "<p>one</p>")
+    ingest = lambda: {r.post_id: r.text for r in jobs.ingest_posts(spark, str(landing), root).collect()}
+    assert ingest() == {"1": "one", "2": None, "3": None}
+    write(landing / "ex 1" / "posts" / "2.html", "<p>two</p>")
+    assert ingest() == {"1": "one", "2": "two", "3": None}
+    assert ingest() == {"1": "one", "2": "two", "3": None}
+    write(landing / "ex 1" / "posts" / "3.html", "<p>three</p>")
+    write(landing / "ex 2" / "posts.csv", header + "4,,true,,,,,T4,\n,,true,,,,,nobody,\n")
+    assert ingest() == {"1": "one", "2": "two", "3": "three", "4": None}
+    assert [r.title for r in spark.read.parquet(f"{root}/quarantine/posts").collect()] == ["nobody"]
+    assert spark.read.parquet(f"{root}/late/posts").count() == 2
+
+
+def test_jobs_bound_their_batches(spark, tmp_path):
+    record = {"file_name": "a.py", "content": "x", "timestamp": "20240917172131", "repo": "r"}
+    for n in range(5):
+        write(tmp_path / "raw" / f"{n}.json", json.dumps([{**record, "file_name": f"f{n}.py"}]))
+    gold = jobs.ingest_repos(spark, str(tmp_path / "raw"), str(tmp_path / "lake"), most_files=2)
+    assert gold.count() == 5
+    assert spark.read.parquet(str(tmp_path / "lake" / "silver" / "repos")).select("batch_id").distinct().count() >= 3
+
+
+def test_last_message_of_tied_turns(spark):
+    rows = [(1, 0, "user", "b"), (1, 3, "user", "z"), (1, 3, "assistant", "a"), (1, 3, "user", "y")]
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(order, "conv_id int, turn int, role string, text string").repartition(3)
+        assert jobs.requests_of(frame).first().request == "z"
 
 
 def test_versions_stay_whole(spark, tmp_path):
@@ -230,6 +325,11 @@ def test_versions_stay_whole(spark, tmp_path):
     for n in (1, 2, 3):
         assert tables.write_version(spark.range(n).toDF("n"), root).count() == n
     assert sorted(p.name for p in (tmp_path / "gold").iterdir()) == ["version=1", "version=2"]
+    # another writer's unfinished version stays, a failed one from before goes
+    (tmp_path / "gold" / "version=7").mkdir()
+    (tmp_path / "gold" / "version=0").mkdir()
+    tables.write_version(spark.range(4).toDF("n"), root)
+    assert sorted(p.name for p in (tmp_path / "gold").iterdir()) == ["version=2", "version=7", "version=8"]
 
 
 def test_tied_posts_and_lost_files_train_once(spark, tmp_path, vectors):

@@ -1,14 +1,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from textloom.operators import versions
+from textloom.operators import filters, versions
 from textloom.plans import jobs, layers
 from textloom.session import shared_dir
-from textloom.sinks import tables
+from textloom.sinks import buckets, tables
 
 T0, T1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
 
@@ -91,6 +93,89 @@ def test_sync_reaches_the_source_state(spark):
     assert {r.change for r in jobs.sync_vectors(first, "k", root, 0).collect()} == {"insert"}
     changes = {r.k: r.change for r in jobs.sync_vectors(second, "k", root, 1).collect()}
     assert changes == {"b": "update", "c": "delete", "d": "insert"}
-    # a second try of the same version gives the same table
-    jobs.sync_vectors(second, "k", root, 1)
-    assert sorted(map(tuple, spark.read.parquet(f"{root}/version=1").collect())) == [("a", 1), ("b", 9), ("d", 4)]
+    # a second try of the same version gives the same table and the same changes
+    assert {r.k for r in jobs.sync_vectors(second, "k", root, 1).collect()} == {"b", "c", "d"}
+    assert sorted(map(tuple, buckets.read(spark, f"{root}/table").collect())) == [("a", 1), ("b", 9), ("d", 4)]
+    assert jobs.sync_vectors(second, "k", root, 2).count() == 0
+    gone = spark.createDataFrame([], "k string, v int")
+    assert jobs.sync_vectors(gone, "k", root, 3).count() == 3
+    assert not list(Path(root, "table").glob("_bucket=*"))
+
+
+def times(root):
+    return {p.parent.name: p.stat().st_mtime_ns for p in Path(root).glob("_bucket=*/*.parquet")}
+
+
+def test_a_change_of_one_key_rewrites_one_bucket(spark, tmp_path):
+    rows = [(f"k{i}", i, [float(i)]) for i in range(200)]
+    schema = "k string, _v int, vector array<float>"
+    root = str(tmp_path / "vectors")
+    frame = lambda r: spark.createDataFrame(r, schema)
+    jobs.sync_vectors(frame(rows), "k", root, 0)
+    before = times(f"{root}/table")
+    assert len(before) > 50
+    jobs.sync_vectors(frame([("k7", -1, [0.5])] + [r for r in rows if r[0] != "k7"]), "k", root, 1)
+    after = times(f"{root}/table")
+    assert sum(before[b] != after[b] for b in before) == 1 and before.keys() == after.keys()
+    buckets.upsert(frame([("k9", 99, None), ("new", 1, [])]), f"{root}/table", "k")
+    last = times(f"{root}/table")
+    assert sum(after.get(b) != t for b, t in last.items()) <= 2
+    got = {r.k: r._v for r in buckets.read(spark, f"{root}/table").collect()}
+    assert got == {**{k: i for k, i, _ in rows}, "k7": -1, "k9": 99, "new": 1}
+    buckets.delete(spark.createDataFrame([("k9",), ("nobody",)], "k string"), f"{root}/table", "k")
+    assert buckets.read(spark, f"{root}/table").count() == 200
+    with pytest.raises(tables.KeyViolation):
+        buckets.upsert(frame([("a", 1, []), ("a", 2, [])]), f"{root}/table", "k")
+
+
+def test_changes_of_a_failed_version_are_applied_again(spark, tmp_path):
+    root = str(tmp_path / "v")
+    jobs.sync_vectors(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), "k", root, 0)
+    new = spark.createDataFrame([("a", 5), ("c", 3)], "k string, v int")
+    # a try that wrote the changes and nothing else
+    tables.overwrite_snapshot(buckets.changes(new, f"{root}/table", "k"), f"{root}/changes=1")
+    assert {r.k: r.change for r in jobs.sync_vectors(new, "k", root, 1).collect()} == {"a": "update", "b": "delete", "c": "insert"}
+    assert sorted(map(tuple, buckets.read(spark, f"{root}/table").collect())) == [("a", 5), ("c", 3)]
+
+
+@pytest.fixture
+def hot(spark):
+    """One key over all ranges, with order values that tie across them, nulls, and small keys beside it."""
+    rows = [("hot", 5 if i % 3 else i // 40, f"t{i % 50}") for i in range(900)]
+    rows += [(None, None, "n")] * 4 + [(None, 1, "n"), ("a", None, "x"), ("a", None, "x"), ("z", 3, "y"), ("z", 1, "y")]
+    return spark.createDataFrame(rows, "k string, o int, t string").repartition(6)
+
+
+def test_ranks_over_ranges(spark, hot):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = versions.rank_versions(hot, ["k"], "o")
+        numbered = versions.number_rows(hot, ["k"], "t", "n")
+        parts = versions.rows_before(hot.groupBy("k", "o", "t").count(), ["k"], ["o", "t"], "count", "b")
+        got, numbered, parts = (sorted(map(str, f.collect())) for f in (got, numbered, parts))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    order = Window.partitionBy("k").orderBy("o")
+    assert got == sorted(map(str, hot.withColumn("rank", F.rank().over(order)).collect()))
+    full = Window.partitionBy("k").orderBy("t", "o")
+    assert numbered == sorted(map(str, hot.withColumn("n", F.row_number().over(full)).collect()))
+    counted = hot.groupBy("k", "o", "t").count()
+    sums = F.coalesce(F.sum("count").over(Window.partitionBy("k").orderBy("o", "t").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    assert parts == sorted(map(str, counted.withColumn("b", sums).collect()))
+    empty = hot.where("k = 'nobody'")
+    assert versions.rank_versions(empty, ["k"], "o").count() == versions.number_rows(empty, ["k"], "t").count() == 0
+
+
+def test_bloom_filters_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(filters, "EXACT_KEYS", 10)
+    keys = spark.range(0, 30_000, 3).select(F.col("id").cast("string").alias("k"))
+    keys = keys.unionByName(spark.createDataFrame([(None,), ("3",)], "k string"))
+    rows = spark.range(60_000).select(F.when(F.col("id") != 7, F.col("id").cast("string")).alias("k"), F.lit("x").alias("_maybe2"))
+    kept = filters.among(rows, keys, "k")
+    assert kept.join(keys, "k", "left_semi").count() == 10_000
+    assert kept.count() < 10_000 + 0.02 * 50_000
+    out = filters.not_among(rows, keys, "k")
+    assert out.count() == 50_000 and out.where("k is null").count() == 1 and out.columns == rows.columns
+    monkeypatch.setattr(filters, "FILTER_KEYS", 100)
+    assert filters.among(rows, keys, "k").count() == 60_000
+    assert filters.not_among(rows, keys, "k").count() == 50_000

@@ -12,13 +12,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from textloom import schemas
 from textloom.functions import text as X
 from textloom.functions.embed import embed_text
 from textloom.operators import chunking, context, distil, evaluate, retrieve, training, versions
 from textloom.plans import jobs, layers
 from textloom.session import materialise, shared_dir, spread
-from textloom.sinks import tables
+from textloom.sinks import buckets, tables
 from textloom.sources import files, repos
 from textloom.streaming.jobs import append_stream, transform_stream
 
@@ -253,6 +255,17 @@ def posts_without_file(spark, folder):
     return layers.posts_without_file(silver)
 
 
+@query
+def posts_late_file(spark, folder):
+    """Posts whose HTML files land after them, some at once and the others one run later; each run fills what it can."""
+    pages = html_files(spark, folder)
+    early = F.crc32("html_path") % 3 == 0
+    silver = materialise(layers.silver_post(posts_csv(spark, folder), pages.where(early)), "silver")
+    late = materialise(layers.late_posts(silver, pages), "late")
+    filled = layers.with_late_posts(silver, late)
+    return filled.select("post_id", "is_published", "title", "subtitle", "html_path", "text")
+
+
 def _post_columns(gold: DataFrame) -> DataFrame:
     time = F.date_format("ingestion_time", "yyyy-MM-dd").alias("ingested")
     return gold.select("post_id", time, "text", "title", "subtitle")
@@ -515,6 +528,17 @@ def retrieval_measures(spark, folder):
     return _label_measures(spark, folder).select("query_id", *[F.round(n, 6).alias(n) for n in names])
 
 
+@query
+def retrieval_judged(spark, folder):
+    """Measures against given rows of relevant documents: the vectors with the next and the seventh next number."""
+    ids = vector_docs(spark, folder).select("pk")
+    pairs = ids.select("pk", F.explode(F.array(F.col("pk") - 1, F.col("pk") - 7)).alias("query_id"))
+    relevant = pairs.join(ids.select(F.col("pk").alias("query_id")), "query_id", "left_semi")
+    measures = evaluate.query_measures(*evaluate.judge(_knn(spark, folder, 7), relevant), 7)
+    names = ("precision", "recall", "reciprocal_rank", "ndcg")
+    return measures.select("query_id", *[F.round(n, 6).alias(n) for n in names])
+
+
 @query
 def retrieval_eval(spark, folder):
     names = ("precision", "recall", "reciprocal_rank", "ndcg")
@@ -623,6 +647,18 @@ def feature_upsert(spark, folder):
     return versions.upsert(old, new, "post_id")
 
 
+@query
+def feature_merge(spark, folder):
+    """The same into a bucketed table, then without the keys of posts that are not published."""
+    path = shared_dir(spark, "features")
+    asked = training.with_question(posts_csv(spark, folder))
+    first = asked.where(F.col("is_published").isNotNull())
+    buckets.upsert(first.select("post_id", F.col("topic_question").alias("query")), path, "post_id")
+    buckets.upsert(asked.where(F.col("subtitle").isNull()).select("post_id", F.col("topic").alias("query")), path, "post_id")
+    buckets.delete(asked.where(F.col("is_published") == "false"), path, "post_id")
+    return buckets.read(spark, path)
+
+
 @query
 def feature_lookup(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -683,7 +719,7 @@ def index_sync_apply(spark, folder):
     root = shared_dir(spark, "vectors")
     for version, source in enumerate(_snapshots(spark, folder)):
         jobs.sync_vectors(source, "vec_id", root, version)
-    state = spark.read.parquet(f"{root}/version=1")
+    state = buckets.read(spark, f"{root}/table")
     total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
     return state.select("vec_id", *big("label"), F.round(total, 5).alias("total"))
 
@@ -712,6 +748,7 @@ def stream_silver_replay(spark, folder):
             lambda batch: batch.select("page_id", X.html_to_text(F.col("html")).alias("text")),
             out,
             shared_dir(spark, "checkpoint"),
+            replace=True,
         )
     return spark.read.parquet(out).select("page_id", "text")
 
@@ -728,7 +765,7 @@ def stream_silver_restart(spark, folder):
 
     def run(checkpoint):
         stream = files.stream_parquet(spark, source, pages.schema)
-        transform_stream(stream, lambda batch: batch.select("page_id", text), out, checkpoint)
+        transform_stream(stream, lambda batch: batch.select("page_id", text), out, checkpoint, replace=True)
 
     run(first)
     pages.where(~even).write.mode("append").parquet(source)
@@ -763,6 +800,34 @@ def stream_json(spark, folder):
     return spark.read.schema(raw.schema).parquet(out)
 
 
+@query
+def stream_quarantine(spark, folder):
+    """JSON files, one record a line, of which some are cut off: whole records go on, the rest is kept apart."""
+    landing, out, apart = (shared_dir(spark, n) for n in ("landing", "silver-files", "quarantine"))
+    raw = _raw_files(spark, folder)
+    lines = raw.select("repo", F.to_json(F.struct(*raw.columns)).alias("line"))
+    cut = F.col("repo").isin("src1", "src4")
+    broken = F.when(cut, F.expr("left(line, length(line) - 2)")).otherwise(F.col("line"))
+    lines.select(broken.alias("value")).write.text(landing)
+    schema = T.StructType([*schemas.BRONZE_REPO.fields, *schemas.CORRUPT.fields])
+    transform_stream(
+        files.stream_json(spark, landing, schema, multi_line=False),
+        lambda batch: batch.select(*raw.columns),
+        out,
+        f"{out}-checkpoint",
+        malformed=F.col("_corrupt_record").isNotNull(),
+        quarantine=apart,
+    )
+    kept = spark.read.parquet(out).select("file_name", "repo", F.length("content").cast("long").alias("length"), F.lit(False).alias("malformed"))
+    bad = spark.read.parquet(apart).select(
+        F.regexp_extract("_corrupt_record", '"file_name":"([^"]*)"', 1).alias("file_name"),
+        F.lit(None).cast("string").alias("repo"),
+        F.lit(None).cast("long").alias("length"),
+        (F.col("_file").contains("/part-")).alias("malformed"),
+    )
+    return kept.unionByName(bad)
+
+
 @query
 def stream_csv(spark, folder):
     """Post lists as CSV files, one folder per export, streamed with the file each row came from."""

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom import schemas
 from textloom.functions import text as X
@@ -13,30 +14,60 @@ from textloom.functions.embed import embed_text
 from textloom.operators import context, retrieve, training, versions
 from textloom.plans import layers
 from textloom.session import materialise
-from textloom.sinks import tables
+from textloom.sinks import buckets, tables
 from textloom.sources import files, repos
 from textloom.streaming.jobs import append_stream, transform_stream
 
 REPO, PDF = "repo", "pdf"
 CHAIN_RESULTS = 4
 DIM = 1024
+#: Files that a micro-batch of a job takes at most; a first run works off its backlog in such batches.
+MOST_FILES = 1000
 
 
 def _at(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
 
-def ingest_posts(spark: SparkSession, landing: str, root: str, **options) -> DataFrame:
-    """CSV lists and HTML files of posts -> bronze -> silver -> gold. Returns gold."""
-    bronze, silver, gold = (_at(root, name, "posts") for name in ("bronze", "silver", "gold"))
-    append_stream(files.stream_csv(spark, landing), bronze, _at(root, "checkpoint/bronze/posts"))
+def ingest_posts(
+    spark: SparkSession,
+    landing: str,
+    root: str,
+    most_files: int | None = MOST_FILES,
+    replace: bool = False,
+    **options,
+) -> DataFrame:
+    """CSV lists and HTML files of posts -> bronze -> silver -> gold. Returns gold.
+
+    A post whose HTML file lands in a later run gets its text then. Rows without an id are kept
+    apart in `quarantine/posts`. A landing folder that is empty or missing gives an empty gold.
+    """
+    bronze, silver, gold, late = (_at(root, name, "posts") for name in ("bronze", "silver", "gold", "late"))
+    tables.make_folder(spark, landing)
+    schema = T.StructType([*schemas.POST_CSV.fields, T.StructField("_corrupt_record", T.StringType())])
+    source = files.stream_csv(spark, landing, schema, most_files)
+    append_stream(source, bronze, _at(root, "checkpoint/bronze/posts"))
+    tables.make_folder(spark, bronze)
     transform_stream(
-        files.stream_parquet(spark, bronze, schemas.BRONZE_POST),
+        files.stream_parquet(spark, bronze, source.schema, most_files=most_files),
         lambda batch: layers.silver_post(batch, html_of(batch, landing), **options),
         silver,
         _at(root, "checkpoint/silver/posts"),
+        replace,
+        F.col("post_id").isNull(),
+        _at(root, "quarantine/posts"),
     )
-    return tables.write_version(layers.gold_post(spark.read.parquet(silver)), gold)
+    stored = tables.read_or_empty(spark, silver, schemas.SILVER_POST)
+    earlier = tables.read_or_empty(spark, late, schemas.SILVER_POST)
+    waiting = materialise(layers.with_late_posts(stored, earlier).where("text is null and html_path is not null"), "waiting")
+    if waiting.take(1):
+        # lists lie beside the folder of their HTML files
+        lists = waiting.withColumn("filePath", F.concat(F.regexp_replace("html_path", "/posts/[^/]*$", ""), F.lit("/list")))
+        found = materialise(layers.late_posts(waiting, html_of(lists, landing)), "late")
+        if found.take(1):
+            found.write.mode("append").parquet(late)
+            earlier = tables.read_or_empty(spark, late, schemas.SILVER_POST)
+    return tables.write_version(layers.gold_post(layers.with_late_posts(stored, earlier)), gold)
 
 
 def html_of(posts: DataFrame, landing: str, most: int = 1000) -> DataFrame:
@@ -58,10 +89,15 @@ def ingest_repos(
     root: str,
     denied: DataFrame | None = None,
     multi_line: bool = True,
+    most_files: int | None = MOST_FILES,
+    replace: bool = False,
     **models,
 ) -> DataFrame:
     """Raw JSON records of repository files -> bronze -> silver -> gold. Returns gold.
 
+    Files that cannot be parsed, and records without a file name, are kept apart with the name of
+    their file in `quarantine/repos`. An empty or missing landing folder gives an empty gold.
+
     Files hold an array of records each, or with `multi_line=False` a record
     a line, as `collect_repos` writes them. A chat model distils each file as it
     comes. Without one words are weighed over the whole table when gold is
@@ -69,52 +105,67 @@ def ingest_repos(
     """
     own = models.get("chat") is None
     bronze, silver, gold = (_at(root, name, "repos") for name in ("bronze", "silver", "gold"))
-    append_stream(files.stream_json(spark, landing, multi_line=multi_line), bronze, _at(root, "checkpoint/bronze/repos"))
+    tables.make_folder(spark, landing)
+    schema = T.StructType([*schemas.BRONZE_REPO.fields, *schemas.CORRUPT.fields])
+    source = files.stream_json(spark, landing, schema, most_files, multi_line)
+    append_stream(source, bronze, _at(root, "checkpoint/bronze/repos"))
+    tables.make_folder(spark, bronze)
+
+    def transform(batch: DataFrame) -> DataFrame:
+        records = batch.select(*schemas.BRONZE_REPO.names)
+        return records if own else layers.silver_repo(records, **models)
+
     transform_stream(
-        files.stream_parquet(spark, bronze, schemas.BRONZE_REPO),
-        lambda batch: batch if own else layers.silver_repo(batch, **models),
+        files.stream_parquet(spark, bronze, schema, most_files=most_files),
+        transform,
         silver,
         _at(root, "checkpoint/silver/repos"),
+        replace,
+        F.col("_corrupt_record").isNotNull() | F.col("file_name").isNull(),
+        _at(root, "quarantine/repos"),
     )
-    stored = spark.read.parquet(silver)
+    stored = tables.read_or_empty(spark, silver, schemas.BRONZE_REPO if own else schemas.SILVER_REPO)
     if own:
         stored = layers.distilled(stored, models.get("embedder"))
     return tables.write_version(layers.gold_repo(stored, denied), gold)
 
 
-def ingest_pdfs(spark: SparkSession, landing: str, root: str, extractor, **models) -> DataFrame:
-    """Document files -> bronze -> silver chunks -> gold. Returns gold."""
+def ingest_pdfs(
+    spark: SparkSession,
+    landing: str,
+    root: str,
+    extractor,
+    most_files: int | None = MOST_FILES,
+    replace: bool = False,
+    **models,
+) -> DataFrame:
+    """Document files -> bronze -> silver chunks -> gold. Returns gold.
+
+    An empty or missing landing folder gives an empty gold.
+    """
     bronze, silver, gold = (_at(root, name, "pdfs") for name in ("bronze", "silver", "gold"))
-    append_stream(files.stream_binary(spark, landing), bronze, _at(root, "checkpoint/bronze/pdfs"))
+    tables.make_folder(spark, landing)
+    append_stream(files.stream_binary(spark, landing, most_files=most_files), bronze, _at(root, "checkpoint/bronze/pdfs"))
+    tables.make_folder(spark, bronze)
     transform_stream(
-        files.stream_parquet(spark, bronze, schemas.BRONZE_PDF),
+        files.stream_parquet(spark, bronze, schemas.BRONZE_PDF, most_files=most_files),
         lambda batch: layers.silver_pdf(batch, extractor, **models),
         silver,
         _at(root, "checkpoint/silver/pdfs"),
+        replace,
     )
-    return tables.write_version(layers.gold_pdf(spark.read.parquet(silver), newest_only=True), gold)
+    stored = tables.read_or_empty(spark, silver, schemas.SILVER_CHUNK)
+    return tables.write_version(layers.gold_pdf(stored, newest_only=True), gold)
 
 
 def sync_vectors(source: DataFrame, key: str, root: str, version: int) -> DataFrame:
-    """Bring the vector table under `root` to the state of `source`; returns the change rows.
+    """Bring the vector table `root`/table to the state of `source`; returns the change rows.
 
-    Version 0 is created from the source. Each later version is a new folder
-    made from the one before, so a failed run leaves the last version whole.
-    The change rows are written beside it for whoever follows the table.
+    Only keys and stored digests are compared, and only buckets with a change are written. The
+    change rows of each version are kept for whoever follows the table. They are written before
+    the table: a run that failed in between is finished by running the version again.
     """
-    spark = source.sparkSession
-    target = _at(root, f"version={version}")
-    if version == 0:
-        tables.write_keyed(source, target, key)
-        created = source.select(key, F.lit("insert").alias("change"))
-        tables.overwrite_snapshot(created, _at(root, "changes=0"))
-    else:
-        old = spark.read.parquet(_at(root, f"version={version - 1}"))
-        changed = _at(root, f"changes={version}")
-        tables.overwrite_snapshot(versions.change_rows(old, source, key), changed)
-        changes = spark.read.parquet(changed)
-        tables.overwrite_snapshot(versions.apply_changes(old, source, changes, key), target)
-    return spark.read.parquet(_at(root, f"changes={version}"))
+    return buckets.sync(source, _at(root, "table"), key, _at(root, f"changes={version}"))
 
 
 def search_sources(

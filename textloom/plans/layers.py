@@ -94,6 +94,35 @@ def posts_without_file(silver: DataFrame) -> DataFrame:
     return silver.where(F.col("text").isNull()).select("post_id", "html_path")
 
 
+_POST_ROW = ["post_id", "html_path", "ingestion_time"]
+
+
+def late_posts(silver: DataFrame, html_files: DataFrame) -> DataFrame:
+    """Silver rows that had no file when they were written and have one among `html_files` now.
+
+    Only rows without a text are joined, and only files that such a row waits for are parsed.
+    """
+    pending = silver.where(F.col("text").isNull() & F.col("html_path").isNotNull()).drop("text")
+    found = pending.join(html_files, "html_path")
+    html = X.utf8_text(F.col("html_bytes")) if "html_bytes" in html_files.columns else F.col("html")
+    return found.withColumn("text", X.html_to_text(html)).select(*schemas.SILVER_POST.names)
+
+
+def with_late_posts(silver: DataFrame, late: DataFrame) -> DataFrame:
+    """Silver with the rows of `late` in the place of those that waited for a file."""
+    late = late.select(*silver.columns)
+    match = F.lit(True)
+    filled = late.groupBy(*[F.col(c).alias(f"_{c}") for c in _POST_ROW]).agg(F.count(F.lit(1)).alias("_n"))
+    for column in _POST_ROW:
+        match = match & F.col(column).eqNullSafe(F.col(f"_{column}"))
+    waiting = silver.where(F.col("text").isNull())
+    return (
+        silver.where(F.col("text").isNotNull())
+        .unionByName(waiting.join(filled, match, "left_anti"))
+        .unionByName(late)
+    )
+
+
 # -- gold ----------------------------------------------------------------------
 
 

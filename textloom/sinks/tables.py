@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class KeyViolation(ValueError):
@@ -19,7 +20,7 @@ def overwrite_snapshot(df: DataFrame, path: str) -> None:
 
 def overwrite_table(df: DataFrame, name: str) -> None:
     """Replace a catalog table and its schema."""
-    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+    df.write.mode("overwrite").saveAsTable(name)
 
 
 class ForeignTarget(RuntimeError):
@@ -56,18 +57,39 @@ def run_id(spark: SparkSession, checkpoint: str) -> str:
     return new
 
 
-def claim(spark: SparkSession, path: str, run: str, replace: bool = True) -> None:
-    """Make `path` the table of one run.
+def other_runs(spark: SparkSession, path: str, run: str) -> list[str]:
+    """Folders that other runs than `run` have left in a stream's table."""
+    return [name for name in _names(spark, path, "run=") if name != f"run={run}"]
+
+
+def check_claim(spark: SparkSession, path: str, run: str) -> None:
+    """Refuse a table that holds batches of another run.
 
     Batch numbers mean something only within a run: after a lost checkpoint a
-    new run numbers from 0 and reads everything again. What other runs left is
-    removed, or refused without `replace`.
+    new run numbers from 0 and reads everything again.
     """
-    for other in _names(spark, path, "run="):
-        if other != f"run={run}":
-            if not replace:
-                raise ForeignTarget(f"{path} holds batches of {other}")
-            remove(spark, f"{path.rstrip('/')}/{other}")
+    for other in other_runs(spark, path, run):
+        raise ForeignTarget(f"{path} holds batches of {other}")
+
+
+def claim(spark: SparkSession, path: str, run: str) -> None:
+    """Remove what other runs left. For when `run` has written all there is."""
+    for other in other_runs(spark, path, run):
+        remove(spark, f"{path.rstrip('/')}/{other}")
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The columns of `schema` of a table; no rows where nothing has been written yet."""
+    system, at = _folder(spark, path)
+    if not system.exists(at):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """The folder, so that a stream can wait for files in it."""
+    system, at = _folder(spark, path)
+    system.mkdirs(at)
 
 
 def append_batch(df: DataFrame, batch_id: int, path: str, run: str = "0") -> None:
@@ -90,8 +112,10 @@ def write_version(df: DataFrame, root: str, keep: int = 2) -> DataFrame:
     target = f"{root}/version={numbers[-1] + 1 if numbers else 0}"
     df.write.mode("overwrite").parquet(target)
     whole = [n for n in numbers if _names(spark, f"{root}/version={n}", "_SUCCESS")]
+    stay = whole[len(whole) - keep + 1 :]
     for number in numbers:
-        if number not in whole[len(whole) - keep + 1 :]:
+        # an unfinished version after the last whole one may be another writer's
+        if number not in stay and (number in whole or whole and number < whole[-1]):
             remove(spark, f"{root}/version={number}")
     return spark.read.schema(df.schema).parquet(target)
 

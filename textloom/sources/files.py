@@ -24,9 +24,20 @@ def stream_json(
     """New JSON files of a folder and of the folders of its runs.
 
     An array of records per file, or with `multi_line=False` one record a line.
+    Where the schema has `_corrupt_record` it holds what could not be parsed,
+    and `_file`, if asked for, the file a row stands in.
     """
-    reader = _bounded(spark.readStream.schema(schema), most_files).option("recursiveFileLookup", True)
-    return reader.option("multiLine", multi_line).json(folder)
+    reader = _bounded(spark.readStream.schema(_without_file(schema)), most_files).option("recursiveFileLookup", True)
+    rows = reader.option("multiLine", multi_line).option("columnNameOfCorruptRecord", "_corrupt_record").json(folder)
+    return _with_file(rows, schema)
+
+
+def _without_file(schema: T.StructType) -> T.StructType:
+    return T.StructType([f for f in schema.fields if f.name != "_file"])
+
+
+def _with_file(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    return rows.withColumn("_file", F.col("_metadata.file_path")) if "_file" in schema.names else rows
 
 
 def stream_binary(
@@ -45,10 +56,14 @@ def stream_binary(
 def stream_csv(
     spark: SparkSession, folder: str, schema: T.StructType = schemas.POST_CSV, most_files: int | None = None
 ) -> DataFrame:
-    """New CSV files with a header, one folder level down, and where each row came from."""
+    """New CSV files with a header, one folder level down, and where each row came from.
+
+    Where the schema has `_corrupt_record` it holds rows that do not fit the other columns.
+    """
     return (
         _bounded(spark.readStream, most_files)
         .schema(schema)
+        .option("columnNameOfCorruptRecord", "_corrupt_record")
         .option("header", True)
         .option("multiLine", True)
         .option("escape", '"')

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.session import drop_scratch, scratch_mark
-from textloom.sinks.tables import append_batch, claim, run_id
+from textloom.sinks.tables import append_batch, check_claim, claim, run_id
 
 
 def append_stream(source: DataFrame, path: str, checkpoint: str) -> None:
@@ -44,18 +44,31 @@ def transform_stream(
     transform: Callable[[DataFrame], DataFrame],
     path: str,
     checkpoint: str,
-    replace: bool = True,
+    replace: bool = False,
+    malformed: Column | None = None,
+    quarantine: str | None = None,
 ) -> None:
     """Run `transform` on every micro-batch and keep its result in that batch's folder.
 
-    With a lost checkpoint everything is read again as a new run, whose first
-    batch takes the place of what the earlier run left (`replace`), or fails.
+    With a lost checkpoint everything is read again as a new run. A table that
+    holds batches of an earlier run is refused, or with `replace` that run is
+    removed once the new one has written all that has arrived; a failure in
+    between leaves both, and the next run goes on. Rows that are `malformed`
+    do not reach `transform`: they go to the table `quarantine`, batch by batch.
     """
-    run = run_id(source.sparkSession, checkpoint)
+    spark = source.sparkSession
+    run = run_id(spark, checkpoint)
+    targets = [path] if quarantine is None else [path, quarantine]
+    if not replace:
+        for target in targets:
+            check_claim(spark, target, run)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         since = scratch_mark()
-        claim(batch.sparkSession, path, run, replace)
+        if quarantine is not None:
+            bad = F.coalesce(malformed, F.lit(False))
+            append_batch(stamped(batch.where(bad)), batch_id, quarantine, run)
+            batch = batch.where(~bad)
         append_batch(transform(batch), batch_id, path, run)
         drop_scratch(batch.sparkSession, since)
 
@@ -66,6 +79,8 @@ def transform_stream(
         .start()
         .awaitTermination()
     )
+    for target in targets:
+        claim(spark, target, run)
 
 
 def stamped(df: DataFrame) -> DataFrame:
