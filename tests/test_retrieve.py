@@ -236,3 +236,15 @@ def test_profile(spark):
     for exact in (False, True):
         got = {r.column_name: (r.row_count, r.null_count, r.distinct_count) for r in evaluate.profile(frame, exact).collect()}
         assert got == {"s": (3, 1, 1), "n": (3, 1, 2)}
+
+
+def test_profile_from_merged_sketches(spark):
+    frame = spark.range(20_000).select(
+        F.when(F.col("id") % 4 != 0, F.col("id")).alias("n"), (F.col("id") % 300).cast("string").alias("s"), F.lit(None).cast("int").alias("none"))
+    batches = [frame.where("n < 500"), frame.where("n >= 500 or n is null"), frame.limit(0)]
+    rows = [evaluate.sketch_batch(b) for b in batches]
+    got = {r.column_name: r for r in evaluate.merged_profile(rows[0].unionByName(rows[1]).unionByName(rows[2])).collect()}
+    assert got["n"].row_count == 20_000 and got["n"].null_count == 5000 and (got["n"].least, got["n"].most) == (1, 19_999)
+    assert abs(got["n"].distinct_count - 15_000) < 750 and abs(got["s"].distinct_count - 300) < 15
+    assert all(abs(q - s * 20_000) < 400 for q, s in zip(got["n"].quantiles, (0.25, 0.5, 0.75)))
+    assert got["none"].null_count == 20_000 and got["none"].quantiles is None and got["s"].quantiles is None

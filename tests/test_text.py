@@ -101,3 +101,19 @@ def test_real_replacement_characters_stay(one):
 
     values = ["a\ufffdb".encode(), b"a\xffb\xc3", b"\x00\x01\x00\x00", "\x00\ufffd\x01".encode() + b"\xe2\x82", b"", None]
     assert one(X.utf8_text, values, "binary") == ["a\ufffdb", "ab", "\x00\x01\x00\x00", "\x00\ufffd\x01", "", None]
+
+
+def test_notebook_outputs(one):
+    book = {"cells": [
+        {"source": ["a\n", "b"], "outputs": [
+            {"output_type": "stream", "text": ["1\n", "2"]}, {"output_type": "stream", "text": "3"},
+            {"output_type": "execute_result", "data": {"text/plain": ["x", "y"], "text/html": "<b>"}},
+            {"output_type": "display_data", "data": {"image/png": "AA"}}, {"output_type": "display_data", "data": {"text/plain": "<Figure>"}},
+            {"output_type": "error", "ename": "E", "evalue": "v", "traceback": ["\x1b[1;31mE\x1b[0m", "line"]},
+            {"output_type": "error", "ename": "E", "evalue": "v"}, {}, "odd", None]},
+        {"source": "c"}, {"outputs": "none"}, 7]}
+    got = one(X.notebook_outputs, [json.dumps(book), "not json", None, "{}"])
+    assert got == [[["1\n2", "3", "xy", "<Figure>", "E\nline", "E: v"], [], [], []], None, None, None]
+    book["cells"].pop()
+    text = one(X.notebook_with_outputs, [json.dumps(book), "not json"])
+    assert text[0].startswith("a\nb\n1\n2\n3\nxy\n<Figure>\nE\nline\nE: v\nc\n") and text[1] is None

@@ -172,15 +172,59 @@ def notebook_text(content: Column) -> Column:
 
     A cell's source may be one string or a list of lines.
     """
+    return F.array_join(_cell_sources(content), "\n")
+
+
+def _cell_sources(content: Column) -> Column:
     lines = F.from_json(content, "cells array<struct<source:array<string>>>")["cells"]
     whole = F.from_json(content, "cells array<struct<source:string>>")["cells"]
-    cells = F.transform(
+    return F.transform(
         F.arrays_zip(lines.alias("lines"), whole.alias("whole")),
         lambda c: F.coalesce(
             F.array_join(c["lines"]["source"], ""), c["whole"]["source"], F.lit("")
         ),
     )
-    return F.array_join(cells, "\n")
+
+
+#: Terminal colours in the lines of an error.
+_COLOUR = r"\x1b\[[0-9;]*[A-Za-z]"
+
+
+def _either(value: Column, path: str, between: str = "") -> Column:
+    """Text at a path of a variant that is one string or a list of strings; null if it is neither."""
+    return F.coalesce(
+        F.array_join(F.try_variant_get(value, path, "array<string>"), between), F.try_variant_get(value, path, "string")
+    )
+
+
+def _output_text(output: Column) -> Column:
+    """What a cell's output says: text of a stream, plain text of a result, or the lines of an error."""
+    error = F.coalesce(
+        F.nullif(_either(output, "$.traceback", "\n"), F.lit("")),
+        F.concat_ws(": ", F.try_variant_get(output, "$.ename", "string"), F.try_variant_get(output, "$.evalue", "string")),
+    )
+    return (
+        F.when(F.try_variant_get(output, "$.output_type", "string") == "error", F.regexp_replace(error, _COLOUR, ""))
+        .otherwise(F.coalesce(_either(output, "$.text"), _either(output, "$.data['text/plain']"), F.lit("")))
+    )
+
+
+def notebook_outputs(content: Column) -> Column:
+    """Per cell of a notebook the texts of its outputs, in order; pictures and the like have none.
+
+    Outputs differ in shape, so they are read as variants. Null where the text is no notebook.
+    """
+    cells = F.try_variant_get(F.try_parse_json(content), "$.cells", "array<variant>")
+    outputs = lambda cell: F.coalesce(F.try_variant_get(cell, "$.outputs", "array<variant>"), F.array())
+    return F.transform(
+        cells, lambda cell: F.filter(F.transform(outputs(cell), _output_text), lambda text: text != "")
+    )
+
+
+def notebook_with_outputs(content: Column) -> Column:
+    """Sources and outputs of a notebook's cells, in order, one line end between them."""
+    said = lambda source, outputs: F.concat_ws("\n", F.array(source), outputs)
+    return F.array_join(F.zip_with(_cell_sources(content), notebook_outputs(content), said), "\n")
 
 
 def token_count(text: Column) -> Column:

@@ -124,3 +124,57 @@ def profile(table: DataFrame, exact: bool = False) -> DataFrame:
         F.sum(F.when(F.col("absent"), F.col("n")).otherwise(0)).alias("null_count"),
         F.sum(F.when(~F.col("absent"), 1).otherwise(0)).alias("distinct_count"),
     )
+
+
+#: Numeric types of whole numbers that a quantile sketch takes as they are.
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def sketch_batch(batch: DataFrame) -> DataFrame:
+    """One row per column that later rows can be merged with: counts and sketches of its values.
+
+    `values` is a HyperLogLog sketch of the different values, `order` a KLL sketch of whole numbers
+    (null for columns of other types). Append the rows of each batch to a table: a profile then
+    reads a few rows per batch, never the batches again.
+    """
+    rows = []
+    for column, kind in batch.dtypes:
+        value = F.col(column)
+        whole = kind in _WHOLE
+        order = F.kll_sketch_agg_bigint(value.cast("long") if whole else F.lit(None).cast("long"))
+        rows.append(
+            F.struct(
+                F.lit(column).alias("column_name"),
+                F.count(F.lit(1)).alias("row_count"),
+                F.count_if(value.isNull()).alias("null_count"),
+                F.hll_sketch_agg(F.when(value.isNotNull(), row_text(column))).alias("values"),
+                (order if whole else F.lit(None).cast("binary")).alias("order"),
+                (F.min(value).cast("long") if whole else F.lit(None).cast("long")).alias("least"),
+                (F.max(value).cast("long") if whole else F.lit(None).cast("long")).alias("most"),
+            )
+        )
+    return batch.agg(F.array(*rows).alias("columns")).select(F.inline("columns"))
+
+
+def row_text(column: str) -> Column:
+    return F.to_json(F.struct(column))
+
+
+def merged_profile(sketches: DataFrame, shares: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """The profile of a table from the sketch rows of all its batches.
+
+    Counts, `least` and `most` are exact; `distinct_count` (about 2 % off) and `quantiles` (about
+    1 % of the rows off) are estimates. Quantiles are null for columns that are not whole numbers
+    and where all values are null.
+    """
+    merged = sketches.groupBy("column_name").agg(
+        F.sum("row_count").alias("row_count"),
+        F.sum("null_count").alias("null_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("values")).alias("distinct_count"),
+        F.min("least").alias("least"),
+        F.max("most").alias("most"),
+        F.kll_merge_agg_bigint("order").alias("_order"),
+    )
+    some = F.col("least").isNotNull()
+    quantiles = F.when(some, F.kll_sketch_get_quantile_bigint("_order", F.array(*[F.lit(s) for s in shares])))
+    return merged.withColumn("quantiles", quantiles).drop("_order")

@@ -328,6 +328,29 @@ def notebook_flatten(spark, folder):
     return made.select("doc_id", X.notebook_text(F.col("content")).alias("text"))
 
 
+def notebook_run(path: Column, text: Column) -> Column:
+    """Notebook JSON whose cells have outputs of all shapes: lists, strings, results, errors and pictures."""
+
+    def quoted(value: Column) -> Column:
+        return F.regexp_replace(F.to_json(F.array(value)), r"^\[|\]$", "")
+
+    parts = [
+        '{"nbformat":4,"cells":[{"cell_type":"markdown","source":["# ",', quoted(path),
+        ']},{"cell_type":"code","source":"run()","outputs":[{"output_type":"stream","name":"stdout","text":["out ",', quoted(path),
+        ']},{"output_type":"stream","text":"done"},{"output_type":"display_data","data":{"image/png":"AAAA"}},'
+        '{"output_type":"execute_result","data":{"text/plain":[', quoted(text),
+        ']}}]},{"cell_type":"code","source":[],"outputs":[{"output_type":"error","ename":"E","evalue":"v","traceback":["\\u001b[0;31mE\\u001b[0m",', quoted(path),
+        ']},{"output_type":"error","ename":"KeyError","evalue":"k","traceback":[]}]}]}',
+    ]
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+
+@query
+def notebook_outputs(spark, folder):
+    made = table(spark, folder, "documents").select("doc_id", notebook_run(F.col("source"), F.col("text")).alias("content"))
+    return made.select("doc_id", X.notebook_with_outputs(F.col("content")).alias("text"))
+
+
 @query
 def repo_gold(spark, folder):
     gold = layers.gold_repo(repo_silver(spark, folder), denied_files(spark, folder))
@@ -886,3 +909,21 @@ def table_profile_sketch(spark, folder):
     """The default profile, by sketches; counts of rows and nulls are exact."""
     found = evaluate.profile(table(spark, folder, "documents"))
     return found.select("column_name", *big("row_count", "null_count"))
+
+
+@query
+def table_profile_merged(spark, folder):
+    """A profile from the sketches of three batches; estimates are compared with the exact profile."""
+    docs = table(spark, folder, "documents")
+    kept = shared_dir(spark, "sketches")
+    for number, batch in enumerate((docs.where("lang = 'en'"), docs.where("lang = 'de'"), docs.where("lang not in ('en', 'de')"))):
+        tables.append_batch(evaluate.sketch_batch(batch), number, kept)
+    found = evaluate.merged_profile(spark.read.parquet(kept))
+    exact = evaluate.profile(docs, exact=True).select("column_name", F.col("distinct_count").alias("exact"))
+    middle = docs.select(F.percentile("n_chars", 0.47).alias("low"), F.percentile("n_chars", 0.53).alias("high"))
+    near = F.abs(F.col("distinct_count") - F.col("exact")) <= 0.05 * F.col("exact") + 1
+    inside = F.when(F.col("column_name") == "n_chars", F.col("quantiles")[1].between(F.floor("low"), F.ceil("high")))
+    return found.join(exact, "column_name").crossJoin(F.broadcast(middle)).select(
+        "column_name", *big("row_count", "null_count", "least", "most"),
+        near.alias("distinct_near"), inside.alias("median_near"),
+    )

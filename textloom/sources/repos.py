@@ -140,7 +140,7 @@ def route_files(
             "repo",
             "rel_path",
             F.when(by_name, F.element_at(F.split(path, "/"), -1)).otherwise(path).alias("file_name"),
-            F.when(path.endswith(".ipynb"), X.notebook_text(F.col("content")))
+            F.when(path.endswith(".ipynb"), X.notebook_with_outputs(F.col("content")))
             .otherwise(X.remove_blanks(F.col("content")))
             .alias("content"),
         )
