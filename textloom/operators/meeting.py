@@ -56,11 +56,33 @@ def _each(batches: Iterator[pa.RecordBatch], dim: int, metric: str):
                 yield part.take(pa.array(keep)), rows
 
 
-def meet(visits: DataFrame, docs: DataFrame, k: int, dim: int, metric: str) -> DataFrame:
-    """(query_id, pk, score): the k best of each query in each part of each cell that it visits.
+#: The visitors (query_id, vector, floor) and documents (pk, vector) of a group -> (query_id, pk, score).
+Search = Callable[[pa.Table, pa.Table], pa.Table]
 
-    `visits` has cell, query_id, vector and floor (null, or a score that k documents are known to
-    reach); `docs` has cell, pk and vector. Both are read twice and should be written tables.
+
+def matrix_search(k: int, dim: int, metric: str) -> Search:
+    """Scores in matrix blocks; the k best of each visitor."""
+
+    def search(asked: pa.Table, held: pa.Table) -> pa.Table:
+        keep, q = usable_rows(matrix_of(asked["vector"], dim), metric)
+        floor = asked["floor"].to_numpy()[keep].astype(float)
+        best = Best(len(q), k, np.where(np.isnan(floor), -np.inf, floor))
+        names = held["pk"].combine_chunks()
+        if held.num_rows:
+            there, d = usable_rows(matrix_of(held["vector"], dim), metric)
+            best.add(q, names.to_numpy(zero_copy_only=False)[there], d, metric)
+        name = asked["query_id"].combine_chunks().take(pa.array(keep))
+        return pa.Table.from_batches([best.to_arrow(name, names.type)])
+
+    return search
+
+
+def meet(visits: DataFrame, docs: DataFrame, search: Search, score: T.DataType = T.DoubleType()) -> DataFrame:
+    """(query_id, pk, score): what `search` finds for each query in each part of each cell that it visits.
+
+    `visits` has cell, query_id, vector and floor (null, or a score that as many documents as are
+    wanted are known to reach); `docs` has cell, pk and vector. Both are read twice and should be
+    written tables.
     """
     parts = docs.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("parts"))
     chunks = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("chunks"))
@@ -75,19 +97,7 @@ def meet(visits: DataFrame, docs: DataFrame, k: int, dim: int, metric: str) -> D
         "cell", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), own_part, "pk", "vector"
     )
     ids, keys = visits.schema["query_id"].dataType, docs.schema["pk"].dataType
-    result = _fields(("query_id", ids), ("pk", keys), ("score", T.DoubleType()))
-
-    def search(asked: pa.Table, held: pa.Table) -> pa.Table:
-        keep, q = usable_rows(matrix_of(asked["vector"], dim), metric)
-        floor = asked["floor"].to_numpy()[keep].astype(float)
-        best = Best(len(q), k, np.where(np.isnan(floor), -np.inf, floor))
-        names = held["pk"].combine_chunks()
-        if held.num_rows:
-            there, d = usable_rows(matrix_of(held["vector"], dim), metric)
-            best.add(q, names.to_numpy(zero_copy_only=False)[there], d, metric)
-        name = asked["query_id"].combine_chunks().take(pa.array(keep))
-        return pa.Table.from_batches([best.to_arrow(name, names.type)])
-
+    result = _fields(("query_id", ids), ("pk", keys), ("score", score))
     group = ["cell", "part", "chunk"]
     return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(search, result)
 
@@ -151,9 +161,21 @@ def in_cells(docs: DataFrame, dim: int, metric: str, cells: int | None = None) -
 
 
 def routed(
-    queries: DataFrame, docs: DataFrame, k: int, dim: int, metric: str = "cosine", cells: int | None = None
+    queries: DataFrame,
+    docs: DataFrame,
+    k: int,
+    dim: int,
+    metric: str = "cosine",
+    cells: int | None = None,
+    search: Search | None = None,
+    score: T.DataType = T.DoubleType(),
 ) -> DataFrame:
-    """(query_id, pk, score) with the k best documents of each query among a few others. Exact."""
+    """(query_id, pk, score) with the k best documents of each query. Exact.
+
+    `search` finds the results of a group in another way than by `matrix_search`; scores must be
+    those of the metric or a little above.
+    """
+    search = search or matrix_search(k, dim, metric)
     placed, known = in_cells(docs, dim, metric, cells)
     shared = queries.sparkSession.sparkContext.broadcast(known)
     ids, vector = queries.schema["query_id"].dataType, queries.schema["vector"].dataType
@@ -171,7 +193,7 @@ def routed(
     # which cells are near is stored, so that later rounds leave out exactly those that were visited
     asked = materialise(queries.mapInArrow(promising, ask), "queries-near") if len(known.pivots) else None
     if asked is None:
-        return queries.sparkSession.createDataFrame([], _fields(("query_id", ids), ("pk", docs.schema["pk"].dataType), ("score", T.DoubleType())))
+        return queries.sparkSession.createDataFrame([], _fields(("query_id", ids), ("pk", docs.schema["pk"].dataType), ("score", score)))
 
     def to_near(first: int, last: int) -> Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
         def chosen(reach: np.ndarray, floor: np.ndarray, near: np.ndarray) -> np.ndarray:
@@ -205,10 +227,10 @@ def routed(
 
     best, state = None, asked.withColumn("floor", F.lit(None).cast("double"))
     for choose in (to_near(0, NEAR[0]), to_near(NEAR[0], most), to_rest):
-        found = meet(visits(state, choose), placed, k, dim, metric)
+        found = meet(visits(state, choose), placed, search, score)
         best = found if best is None else best.unionByName(found)
         best = materialise(_best(best, k), "best")
-        floors = best.where(F.col("rank") == k).select(F.col("query_id").alias("_id"), F.col("score").alias("floor"))
+        floors = best.where(F.col("rank") == k).select(F.col("query_id").alias("_id"), F.col("score").cast("double").alias("floor"))
         state = asked.join(floors, F.col("query_id").eqNullSafe(F.col("_id")), "left").drop("_id")
         best = best.select("query_id", "pk", "score")
     return best
@@ -291,7 +313,7 @@ def lsh(
     )
     visits = materialise(queries.mapInArrow(go, visit), "lsh-visits")
     placed = materialise(docs.select("pk", "vector").mapInArrow(place, held), "lsh-buckets")
-    found = meet(visits.drop("ceiling"), placed, k, dim, metric)
+    found = meet(visits.drop("ceiling"), placed, matrix_search(k, dim, metric))
     # a document may be met in several tables: at most k rows a group, so the rows of a pair are few
     best = materialise(_best(found.dropDuplicates(["query_id", "pk"]), k), "lsh-best")
     last = best.where(F.col("rank") == k).select(F.col("query_id").alias("_id"), "score")
