@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.llm import token_counts, topk, unigram
+from textloom.operators import meeting
 
 
 def brute_top(rows, k, divisor, scale=1024):
@@ -16,23 +17,26 @@ def brute_top(rows, k, divisor, scale=1024):
         if i is None or not v or any(x is None or not np.isfinite(x) for x in v):
             continue
         good.append((i, tuple(int(np.floor(float(np.float32(x)) * scale)) for x in v)))
-    good = sorted(set(good))
+    good = sorted(good)
     queries = {}
     for i, v in good:
         if i % divisor == 0:
             queries.setdefault(i, v)
-    out = set()
+    out = []
     for q, v in queries.items():
         scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != q)
-        out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])}
-    return out
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
+    return sorted(out)
+
+
+def as_rows(frame):
+    return sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in frame.collect())
 
 
 @pytest.mark.parametrize("seed", range(4))
 def test_top_k_equals_brute_force(spark, seed, monkeypatch):
-    monkeypatch.setattr(topk, "TREE_ROWS", 90)
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 12)
-    monkeypatch.setattr(topk, "SAMPLE", 40)
+    monkeypatch.setattr(meeting, "PART_ROWS", 20)
+    monkeypatch.setattr(meeting, "CHUNK_ROWS", 7)
     draw = random.Random(seed)
     centers = [[draw.gauss(0, 1) for _ in range(6)] for _ in range(5)]
     rows = [(i, [c + draw.gauss(0, 0.2) for c in draw.choice(centers)]) for i in range(260)]
@@ -42,7 +46,23 @@ def test_top_k_equals_brute_force(spark, seed, monkeypatch):
     rows += [rows[3], rows[3], (None, hot), (9005, [1.0, 2.0])]
     frame = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, score int")
     got = topk.top_k(frame, F.col("vec_id") % 20 == 0, k=7)
-    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()} == brute_top(rows, 7, 20)
+    assert as_rows(got) == brute_top(rows, 7, 20)
+
+
+@pytest.mark.parametrize("size", [2**10, 2**17, 2**30])
+def test_large_scores_are_exact(spark, size):
+    draw = random.Random(size)
+    rows = [(i, [draw.uniform(-size, size), draw.uniform(-size, size)]) for i in range(60)]
+    rows += [(i, [float(size), float(size - 1 - i % 3)]) for i in range(60, 100)]
+    frame = spark.createDataFrame([(i, v, "x", 2) for i, v in rows], "vec_id long, embedding array<float>, pk string, floor int")
+    got = topk.top_k(frame, F.col("vec_id") % 10 == 0, k=5, scale=1)
+    assert as_rows(got) == brute_top(rows, 5, 10, scale=1)
+
+
+def test_scores_beyond_64_bits_are_refused(spark):
+    frame = spark.createDataFrame([(0, [3e9, 3e9]), (1, [3e9, 3e9])], "vec_id long, embedding array<float>")
+    with pytest.raises(OverflowError):
+        topk.top_k(frame, F.col("vec_id") == 0)
 
 
 def test_fewer_than_k_and_empty(spark):

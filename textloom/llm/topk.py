@@ -1,41 +1,37 @@
 """Exact top-k by inner product with cover trees over queries and vectors together.
 
-Vectors are dealt to cells around pivots of a bounded sample, a hot cell to several groups, so
-that what a task indexes lies close together. A task builds a cover tree over each block of its
-vectors and searches it together with the cover tree of a block of queries: a pair of nodes is
-left out when centre product plus covering radii cannot reach the worst k-th score of the query
-group. Queries come in blocks of fixed size, each broadcast, so neither side is ever whole on
-one machine, and all vectors are seen for each block.
+Vectors lie in cells around pivots of a bounded sample. Queries travel as rows to the cells whose
+bound reaches their worst k-th score (see `meeting` of the library), the most promising first, so
+no query passes through the driver and the plan has the same size for any number of them. Where a
+chunk of queries meets a part of a cell, a cover tree is built over each and both are searched
+together, best bound first: a pair of nodes is left out when centre product plus covering radii
+cannot reach the worst k-th score of the query group.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components take no part.
-Shorter vectors count as filled up with zeros. Ties go to the smaller id. Rows that repeat an id
-and its vector count once; a query's own id is no candidate; of several vectors under one query
-id the smallest is searched. Null ids take no part. An empty table gives an empty result.
+Shorter vectors count as filled up with zeros. Ties go to the smaller id. Every row is a candidate,
+also one that repeats another; the rows with a query's own id are none. Of several vectors under
+one query id the smallest is searched. Null ids take no part. An empty table gives an empty result.
+Scores are whole numbers of 64 bits; a table whose scores could need more raises an error.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from textloom.llm.common import smallest_hashes
+from textloom.operators import meeting
+from textloom.operators.retrieve import best_of
+from textloom.operators.scoring import matrix_of
 from textloom.session import materialise
 
-#: Rows of the sample that gives the pivots and the first bound of every query.
-SAMPLE = 4096
-PIVOTS = 64
-#: Queries in one broadcast block; vectors in one tree.
-QUERY_BLOCK = 8192
-TREE_ROWS = 16_384
 _LEAF = 128
 _FAN = 12
-_NONE = np.iinfo(np.int64).max
+_NONE, _EMPTY = np.iinfo(np.int64).max, np.iinfo(np.int64).min
 
 
 def scaled(vectors: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
@@ -48,18 +44,9 @@ def scaled(vectors: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
     )
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Rows of a list column as a matrix of doubles, filled up with zeros."""
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    sizes = pc.list_value_length(column).to_numpy(zero_copy_only=False)
-    out = np.zeros((len(column), width))
-    out[np.repeat(np.arange(len(sizes)), sizes), np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
-    return out
-
-
 def _products(a: np.ndarray, b: np.ndarray, exact: bool) -> np.ndarray:
-    """Whole-number products; doubles are exact while every sum stays below 2**53."""
-    return a @ b.T if exact else a.astype(np.int64) @ b.astype(np.int64).T
+    """Products as whole numbers; doubles are exact while every sum stays below 2**53."""
+    return (a @ b.T).astype(np.int64) if exact else a.astype(np.int64) @ b.astype(np.int64).T
 
 
 class CoverTree:
@@ -126,12 +113,12 @@ class Queries:
 
 
 class Best:
-    """The k best of each query so far, scores falling, ties by id."""
+    """The k best of each query so far, scores falling, ties by id; empty places have no id."""
 
     def __init__(self, queries: Queries, k: int):
         n = len(queries.ids)
         self.queries, self.k = queries, k
-        self.score = np.full((n, k), -np.inf)
+        self.score = np.full((n, k), _EMPTY)
         self.id = np.full((n, k), _NONE)
         self.floor = queries.floor.copy()
 
@@ -140,18 +127,22 @@ class Best:
 
     def offer(self, span: tuple[int, int], ids: np.ndarray, scores: np.ndarray) -> None:
         a, b = span
-        scores = np.where(self.queries.ids[a:b, None] == ids[None, :], -np.inf, scores)
-        touched = np.flatnonzero((scores >= self.floor[a:b, None]).any(axis=1))
+        open_ = (scores >= self.floor[a:b, None]) & (self.queries.ids[a:b, None] != ids[None, :])
+        touched = np.flatnonzero(open_.any(axis=1))
         if len(touched) == 0:
             return
         at = a + touched
-        score = np.concatenate([self.score[at], scores[touched]], axis=1)
-        id_ = np.concatenate([self.id[at], np.broadcast_to(ids, (len(at), len(ids)))], axis=1)
-        id_ = np.where(np.isinf(score), _NONE, id_)
-        top = np.lexsort((id_, -score), axis=1)[:, : self.k]
+        own = np.where(open_[touched], scores[touched], _EMPTY)
+        score = np.concatenate([self.score[at], own], axis=1)
+        id_ = np.concatenate([self.id[at], np.where(open_[touched], ids, _NONE)], axis=1)
+        # -1 - score falls as the score rises and cannot overflow
+        top = np.lexsort((id_, -1 - score, id_ == _NONE), axis=1)[:, : self.k]
         self.score[at] = np.take_along_axis(score, top, 1)
         self.id[at] = np.take_along_axis(id_, top, 1)
-        self.floor[at] = np.maximum(self.floor[at], self.score[at, -1])
+        # as a double, and below the k-th score where that has no exact double
+        full = self.id[at, -1] != _NONE
+        kth = np.where(full, np.nextafter(self.score[at, -1].astype(float), -np.inf), -np.inf)
+        self.floor[at] = np.maximum(self.floor[at], kth)
 
 
 def search(queries: Queries, ids: np.ndarray, rows: np.ndarray, best: Best, exact: bool = True) -> int:
@@ -181,7 +172,7 @@ def search(queries: Queries, ids: np.ndarray, rows: np.ndarray, best: Best, exac
             (a, b), (c, d) = asked.span[q], tree.span[p]
             for at in range(c, d, 2048):
                 end = min(d, at + 2048)
-                scores = _products(queries.rows[a:b], by_rows[at:end], exact).astype(float)
+                scores = _products(queries.rows[a:b], by_rows[at:end], exact)
                 best.offer((a, b), by_ids[at:end], scores)
             done += (b - a) * (d - c)
             continue
@@ -194,6 +185,29 @@ def search(queries: Queries, ids: np.ndarray, rows: np.ndarray, best: Best, exac
     return done
 
 
+def tree_search(k: int, width: int, exact: bool) -> meeting.Search:
+    """The k best of each visitor of a group, by trees over its queries and its vectors."""
+
+    def find(asked: pa.Table, held: pa.Table) -> pa.Table:
+        floor = asked["floor"].to_numpy().astype(float)
+        # a floor that came as a double may have been rounded up
+        floor = np.where(np.isnan(floor), -np.inf, np.nextafter(floor, -np.inf))
+        queries = Queries(asked["query_id"].to_numpy(), matrix_of(asked["vector"], width), floor)
+        best = Best(queries, k)
+        if held.num_rows:
+            search(queries, held["pk"].to_numpy(), matrix_of(held["vector"], width), best, exact)
+        at = np.nonzero(best.id != _NONE)
+        return pa.table(
+            {
+                "query_id": pa.array(queries.ids[at[0]], pa.int64()),
+                "pk": pa.array(best.id[at], pa.int64()),
+                "score": pa.array(best.score[at], pa.int64()),
+            }
+        )
+
+    return find
+
+
 def top_k(
     vectors: DataFrame,
     is_query: Column,
@@ -207,111 +221,19 @@ def top_k(
     every = scaled(vectors, key, vector, scale)
     asked = scaled(vectors.where(is_query), key, vector, scale).groupBy("id").agg(F.min("v").alias("v"))
     size = every.agg(
-        F.count(F.lit(1)).alias("n"),
         F.max(F.size("v")).alias("width"),
-        F.max(F.array_max(F.transform("v", lambda x: F.abs(x).cast("double")))).alias("most"),
+        F.max(F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))).alias("most"),
     ).first()
     result = f"query_id long, rank int, {key} long, score long"
     if size.width is None:
         return spark.createDataFrame([], result)
-    width, exact = size.width, size.width * size.most * size.most < 2.0**53
-    drawn = smallest_hashes(every, ["id", "v"], SAMPLE, size.n).toArrow().combine_chunks()
-    drawn_ids = drawn.column("id").to_numpy()
-    sample = _matrix(drawn.column("v").combine_chunks(), width)
-    pivots = sample[:PIVOTS]
-    cells = _with_cells(every, pivots, width)
-    rows = materialise(cells, "topk-cells")
-    heavy = rows.groupBy("cell").count().agg(F.max("count")).first()[0]
-    salts = max(1, -(-heavy // (2 * TREE_ROWS)))
-    dealt = rows.repartition("cell", F.pmod(F.xxhash64("id"), F.lit(salts))).sortWithinPartitions("cell", "id", "v")
-    asked = materialise(asked, "topk-queries")
-    number = asked.count()
-    blocks = max(1, -(-number // QUERY_BLOCK) * (2 if number > QUERY_BLOCK else 1))
-    found = []
-    for block in range(blocks):
-        part = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block)
-        found.append(_search_block(dealt, part, drawn_ids, sample, k, width, exact))
-    merged = found[0]
-    for other in found[1:]:
-        merged = merged.unionByName(other)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return (
-        merged.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", F.col("id").alias(key), "score")
-    )
-
-
-def _with_cells(every: DataFrame, pivots: np.ndarray, width: int) -> DataFrame:
-    """Adds the nearest pivot of each row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        half = (pivots**2).sum(axis=1) / 2
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                near = np.argmax(_matrix(part.column("v"), width) @ pivots.T - half, axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("v"), pa.array(near.astype(np.int32))], ["id", "v", "cell"]
-                )
-
-    return every.select("id", "v").mapInArrow(run, "id long, v array<long>, cell int")
-
-
-def _search_block(
-    dealt: DataFrame, asked: DataFrame, drawn_ids: np.ndarray, sample: np.ndarray, k: int, width: int, exact: bool
-) -> DataFrame:
-    """The k best per task for one block of queries (at most a few times QUERY_BLOCK rows, broadcast)."""
-    spark = dealt.sparkSession
-    table = asked.toArrow().combine_chunks()
-    ids = table.column("id").to_numpy()
-    matrix = _matrix(table.column("v").combine_chunks(), width) if len(ids) else np.zeros((0, width))
-    # the k-th score among the sample, without the query's own id, bounds the k-th score of all from below
-    floor = np.full(len(ids), -np.inf)
-    _, once = np.unique(drawn_ids, return_index=True)
-    if len(once) > k:
-        for at in range(0, len(ids), 1024):
-            part = slice(at, at + 1024)
-            scores = _products(matrix[part], sample[once], exact).astype(float)
-            scores[ids[part, None] == drawn_ids[once][None, :]] = -np.inf
-            floor[part] = np.partition(scores, -k, axis=1)[:, -k]
-    queries = spark.sparkContext.broadcast(Queries(ids, matrix, floor))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = Best(queries.value, k)
-        held: list[pa.RecordBatch] = []
-        rows = 0
-        last = None
-        for batch in batches:
-            for at in range(0, batch.num_rows, TREE_ROWS // 4):
-                held.append(batch.slice(at, TREE_ROWS // 4))
-                rows += held[-1].num_rows
-                if rows >= TREE_ROWS:
-                    last = _search_held(queries.value, held, best, last, width, exact)
-                    held, rows = [], 0
-        if held:
-            _search_held(queries.value, held, best, last, width, exact)
-        at = np.nonzero(~np.isinf(best.score))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(queries.value.ids[at[0]], pa.int64()),
-                pa.array(best.id[at], pa.int64()),
-                pa.array(best.score[at].astype(np.int64), pa.int64()),
-            ],
-            ["query_id", "id", "score"],
-        )
-
-    return dealt.select("id", "v").mapInArrow(run, "query_id long, id long, score long")
-
-
-def _search_held(queries: Queries, held: list[pa.RecordBatch], best: Best, last, width: int, exact: bool):
-    """Searches the rows held, without repeats of the row before (rows come sorted); returns the last row."""
-    table = pa.Table.from_batches(held).combine_chunks()
-    ids = table.column("id").to_numpy()
-    matrix = _matrix(table.column("v").combine_chunks(), width)
-    same = np.zeros(len(ids), bool)
-    same[1:] = (ids[1:] == ids[:-1]) & (matrix[1:] == matrix[:-1]).all(axis=1)
-    if last is not None and len(ids):
-        same[0] = ids[0] == last[0] and np.array_equal(matrix[0], last[1])
-    search(queries, ids[~same], matrix[~same], best, exact)
-    return (ids[-1], matrix[-1]) if len(ids) else last
+    width, bound = size.width, size.width * size.most * size.most
+    if bound >= 2.0**63:
+        raise OverflowError("scores of these vectors can need more than 64 bits")
+    kind = "int" if size.most < 2**31 else "long"
+    filled = F.concat("v", F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("v"))).cast(f"array<{kind}>")
+    docs = materialise(every.select(F.col("id").alias("pk"), filled.alias("vector")), "topk-vectors")
+    queries = materialise(asked.select(F.col("id").alias("query_id"), filled.alias("vector")), "topk-queries")
+    find = tree_search(k, width, bound < 2.0**53)
+    found = meeting.routed(queries, docs, k, width, "dot", search=find, score=T.LongType())
+    return best_of(found, k).select("query_id", "rank", F.col("pk").alias(key), "score")
