@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from textloom.llm import oracle, queries
@@ -52,8 +53,17 @@ def test_pipeline_keeps_columns_and_shrinks(spark, tmp_path):
     assert sorted(got.select(*key).collect()) == sorted(docs.select(*key).collect())
 
 
+CLASHES = ("__a", "__row", "__text", "__fp", "__key", "__n", "__first", "__in0", "__root", "score", "fp", "y")
+
+
 def test_pipeline_stages_over_odd_rows(spark, odd, docs):
-    for frame in (odd.drop("score", "fp", "ids"), docs([]).drop("score", "fp", "ids")):
+    odd = odd.drop("ids")
+    for name in CLASHES:
+        odd = odd.withColumn(name, F.lit(name))
+    bad = spark.sql("select 77L as doc_id, cast(X'61FF62206320' as string) as text")
+    for column in odd.columns[2:]:
+        bad = bad.withColumn(column, F.lit(None).cast(odd.schema[column].dataType))
+    for frame in (odd.unionByName(bad), odd.limit(0)):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             out = stage(spark, frame, FOLDER)
             assert out.columns == frame.columns

@@ -115,6 +115,52 @@ def test_toxicity_learns_held_out_texts(spark, docs):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {i for i in y if rows[i].score < 0.5}
 
 
+def test_exceptions_are_learned(spark, docs):
+    draw = random.Random(21)
+    texts = toxic_texts(600)
+    # harmless beside "lamp", in every fourth of the other texts
+    texts = [(f"{t} grzmk lamp" if not y and draw.random() < 0.25 else t, y) for t, y in texts]
+    frame, labels = labelled(spark, docs, texts, "toxic")
+    lexicon = toxicity.train(frame, labels, ~toxicity.held_out("doc_id", 5, 0))
+    assert any(p.startswith(" grzm") for p, _ in lexicon.weights)
+    assert "grzmk lamp" in lexicon.exceptions and all("lamp" in e or "grzm" in e for e in lexicon.exceptions)
+    matcher = lexicon.matcher()
+    assert matcher.features("the grzmk lamp")[3] == 0 and matcher.features("the grzmk tree")[3] > 0
+    rows = {r.doc_id: r for r in toxicity.classify(frame, labels).collect()}
+    y = {r.doc_id: r.toxic for r in labels.collect()}
+    held = [i for i in rows if rows[i].held_out]
+    assert sum(rows[i].predicted == y[i] for i in held) >= 0.98 * len(held)
+
+
+@pytest.mark.parametrize("module", [toxicity, rule_ensemble])
+def test_layouts_of_a_table_train_one_model(spark, docs, module):
+    """Ids that repeat with other texts, and near copies, whose rows come in another order."""
+    draw = random.Random(31)
+    texts = [(t if i % 3 else t + " and some more", y) for i, (t, y) in enumerate(toxic_texts(300))]
+    frame, labels = labelled(spark, docs, texts, "toxic")
+    if module is rule_ensemble:
+        labels = labels.withColumn("quality", F.col("toxic"))
+    other = [(i, " ".join(draw.sample(t.split(), 30)) + (" grzmk" if draw.random() < 0.3 else "")) for i, (t, _) in enumerate(texts)]
+    frame = frame.unionByName(docs(other))
+    found = []
+    for layout in (frame.repartition(3, "text"), frame.orderBy(F.desc("doc_id"), F.desc("text")).coalesce(1), frame.repartition(7)):
+        rows = module.classify(layout, labels).select("doc_id", "score").collect()
+        found.append(sorted((r.doc_id, round(r.score, 12)) for r in rows))
+    assert found[0] == found[1] == found[2]
+
+
+def test_likeness_tells_copies_from_shared_lines():
+    draw = random.Random(5)
+    word = lambda: f"w{draw.randrange(5000)}"
+    line = " ".join(word() for _ in range(30))
+    texts = [" ".join(word() for _ in range(90)) + " " + line for _ in range(300)]
+    keys = [toxicity.likeness(t) for t in texts]
+    assert len({k for k, _ in keys}) > 290 and len({k for _, k in keys}) > 290
+    near = [" ".join([*(w if draw.random() > 0.01 else word() for w in texts[0].split())]) for _ in range(100)]
+    first = toxicity.likeness(texts[0])
+    assert sum(any(a == b for a, b in zip(toxicity.likeness(t), first)) for t in near) > 70
+
+
 def test_lexicon_comes_from_the_labels_alone(spark, docs):
     """Known insults are patterns where training labels bear them out, and only there."""
     few = [("plain words and idiot", 1), ("calm moron rivers", 1), ("trees and trash", 1)]

@@ -27,8 +27,11 @@ def add_columns(
 
     `make` runs once per task and returns a function that gets one Python list per
     input column, at most 256 rows at a time, and returns one tuple per row. What is
-    kept stays in Arrow form. Names of `added` must differ from the names kept.
+    kept stays in Arrow form. Names of `added` must differ from the names kept. Bytes of an
+    input text that are not valid UTF-8 are read as U+FFFD.
     """
+    kinds = df.select(*inputs).schema.fields
+    inputs = [F.make_valid_utf8(c) if isinstance(f.dataType, T.StringType) else c for c, f in zip(inputs, kinds)]
     inner = df.select(*keep, *[c.alias(f"__in{i}") for i, c in enumerate(inputs)])
     number = len(inputs)
     width = len(inner.columns) - number
@@ -52,6 +55,17 @@ def add_columns(
     return inner.mapInArrow(run, fields)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores put before those that the table has a column of, whatever its case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def held_out(key: str, modulus: int, remainder: int) -> Column:
     """True for rows whose crc32 of the key as text has the given remainder; null keys count as text 'null'."""
     text = F.coalesce(F.col(key).cast("string"), F.lit("null"))

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import add_columns
+from textloom.llm.common import add_columns, fresh
 from textloom.session import materialise
 
 KINDS = ("email", "ip", "card", "phone")
@@ -576,8 +576,9 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         return run
 
     columns = docs.columns
-    done = add_columns(docs, [F.col(text)], [F.struct(*columns).alias("__row")], "__text string", make)
-    out = done.select("__row.*", "__text").withColumn(text, F.col("__text"))
+    row, said = fresh(docs, "__row", "__text")
+    done = add_columns(docs, [F.col(text)], [F.struct(*columns).alias(row)], f"{said} string", make)
+    out = done.select(f"{row}.*", said).withColumn(text, F.col(said))
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length(text).cast(kind)))

@@ -164,8 +164,9 @@ def train(stats: DataFrame, labels: DataFrame, training: Column, per_class: int
     share = labels.where(training & F.col("quality").isin(0, 1)).agg(F.avg("quality")).first()[0]
     chosen = materialise(sample, "quality-sample")
     drawn = stats.join(F.broadcast(chosen), "doc_id").select("doc_id", *FEATURES, "y")
-    # rows that repeat an id would repeat its label
-    rows = drawn.dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
+    # rows that repeat an id would repeat its label: the one with the smallest statistics stays
+    least = drawn.groupBy("doc_id").agg(F.min(F.struct(*FEATURES, "y")).alias("row"))
+    rows = least.select("doc_id", "row.*").orderBy("doc_id").toPandas()
     return fit(rows[list(FEATURES)].to_numpy(float), rows.y.to_numpy(float), 0.5 if share is None else float(share))
 
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import add_columns, smallest_hashes
+from textloom.llm.common import add_columns, fresh, smallest_hashes
 from textloom.llm.components import connected_components
 from textloom.session import materialise
 
@@ -216,21 +216,24 @@ def near_duplicates(
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, reach: int = 3) -> DataFrame:
     """One row of each component: the one with the smallest id (a null id only where there is no other)."""
     found = materialise(near_duplicates(docs, key, text, width, reach), "simhash-components")
-    counts = found.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).eqNullSafe(F.col("component_id"))).alias("first")
+    known, number, print_, root, first_, row_ = fresh(docs, "__key", "__n", "__fp", "__root", "__first", "__row")
+    counts = found.groupBy(F.col(key).alias(known)).agg(
+        F.count(F.lit(1)).alias(number), F.count_if(F.col(key).eqNullSafe(F.col("component_id"))).alias(first_)
     )
-    chosen = counts.where("first > 0").select(F.col(key).alias("__key"), "n")
-    same = F.col(key).eqNullSafe(F.col("__key"))
-    kept = docs.join(chosen.select("__key"), same, "left_semi")
-    many = chosen.where("n > 1").select("__key")
+    chosen = counts.where(F.col(first_) > 0).select(known, number)
+    same = F.col(key).eqNullSafe(F.col(known))
+    kept = docs.join(chosen.select(known), same, "left_semi")
+    many = chosen.where(F.col(number) > 1).select(known)
     if not many.take(1):
         return kept
     # an id on several rows: its rows carry fingerprints again, and one row per component stays
     marked = add_columns(
-        kept.join(many, same, "left_semi"), [F.col(text)], [F.col(c) for c in docs.columns], "__fp long",
+        kept.join(many, same, "left_semi"), [F.col(text)], [F.struct(*docs.columns).alias(row_)], f"{print_} long",
         lambda: lambda texts: [(fingerprint(t, width),) for t in texts],
     )
     first = found.where(F.col(key).eqNullSafe(F.col("component_id")))
-    first = first.select(F.col(key).alias("__key"), F.col("fp").alias("__first"), F.col("root").alias("__root")).distinct()
-    ranked = marked.join(first, same & (F.col("__fp") == F.col("__first"))).dropDuplicates(["__root"])
-    return kept.join(many, same, "left_anti").unionByName(ranked.select(*docs.columns))
+    first = first.select(F.col(key).alias(known), F.col("fp").alias(first_), F.col("root").alias(root)).distinct()
+    mine = F.col(row_)[key].eqNullSafe(F.col(known)) & (F.col(print_) == F.col(first_))
+    said = F.col(row_)[text]
+    ranked = marked.join(first, mine).groupBy(root).agg(F.min_by(row_, F.struct(F.xxhash64(said), said)).alias(row_))
+    return kept.join(many, same, "left_anti").unionByName(ranked.select(f"{row_}.*"))

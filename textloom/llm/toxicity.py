@@ -4,8 +4,9 @@ Folding lowers the text, strips marks, maps look-alike letters of other scripts
 words that hold a letter, digits and signs to the letters they stand for. The lexicon is
 learned: whole words and beginnings of words whose share among toxic training texts is surely
 above that among others, weighted by the lower bound of their log odds. No word is known
-beforehand: what the labels of the training rows do not bear out is not in it. A match that lies
-in an exception phrase does not count. The sum of the weights and the sum for each word of the
+beforehand: what the labels of the training rows do not bear out is not in it. Exception phrases
+are learned too: pairs of a lexicon word and a neighbour that are surely no commoner in toxic
+texts than elsewhere. A match that lies in one does not count. The sum of the weights and the sum for each word of the
 text go through a logistic model fitted on the same sample.
 
 Defined cases: a null or empty text has no match and gets the score of such texts. With one
@@ -21,7 +22,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -54,8 +55,8 @@ LOOKALIKES = {
 #: Digits and signs, by the letter they stand for inside a word.
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i"}
 
-#: Phrases in which a word of the lexicon is harmless.
-EXCEPTIONS = ("trash can", "trash bag", "clown fish", "scum line", "sore loser board")
+#: Word pairs that excuse a word of the lexicon, a parameter of the model; none is known beforehand.
+MOST_EXCEPTIONS = 2000
 
 _ALIKE = {c: latin for latin, alike in LOOKALIKES.items() for c in alike + alike.upper() if c != "|"}
 _LEET = str.maketrans(LEET)
@@ -131,7 +132,7 @@ class Lexicon:
     """Pattern -> weight, exception phrases, and the logistic model over the sums."""
 
     weights: tuple[tuple[str, float], ...]
-    exceptions: tuple[str, ...] = EXCEPTIONS
+    exceptions: tuple[str, ...] = ()
     coefficients: tuple[float, ...] = (0.0, 0.0, 0.0)
     intercept: float = 0.0
 
@@ -161,6 +162,27 @@ class Matcher:
         if len(self.automaton):
             self.automaton.make_automaton()
 
+    def pairs(self, text: str | None) -> set[str]:
+        """Pairs of a matched word and the word before or after it that matches nothing itself."""
+        if not len(self.automaton):
+            return set()
+        folded = fold(text)
+        starts = sorted({end - length + 1 for end, (length, weight) in self.automaton.iter(folded) if weight is not None})
+        if not starts:
+            return set()
+        words, places = folded.split(), {}
+        at = 0
+        for number, word in enumerate(words):
+            places[at] = number
+            at += len(word) + 1
+        hit = {places[s] for s in starts if s in places}
+        out = set()
+        for number in hit:
+            for first in (number - 1, number):
+                if 0 <= first and first + 1 < len(words) and not (first in hit and first + 1 in hit):
+                    out.add(f"{words[first]} {words[first + 1]}")
+        return out
+
     def features(self, text: str | None) -> tuple[float, float, float, int]:
         """log(1 + sum of weights), log(1 + 100 x sum for each word), largest weight, matches."""
         folded = fold(text)
@@ -181,11 +203,20 @@ class Matcher:
         return math.log1p(total), math.log1p(100 * total / words), max(best.values(), default=0.0), len(best)
 
 
-def likeness(text: str | None) -> int:
-    """The smallest hash among the three-word runs of a text; near copies mostly share it."""
+_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93], np.uint64)
+
+
+def likeness(text: str | None) -> tuple[int, int]:
+    """Two keys, each of the smallest values of three hashes over the three-word runs of a text.
+
+    Near copies mostly share one of them; texts that have only some lines in common do not, as
+    they would have to share the smallest value three times.
+    """
     words = (text or "").encode().split()
     runs = map(b" ".join, zip(words, words[1:], words[2:])) if len(words) > 2 else [b" ".join(words)]
-    return min(map(xxhash.xxh64_intdigest, runs)) >> 1
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, runs), np.uint64)
+    least = [int((hashes * m ^ (hashes >> np.uint64(29))).min()) for m in _MIX]
+    return tuple(xxhash.xxh64_intdigest(repr(least[at : at + 3])) >> 1 for at in (0, 3))
 
 
 def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -209,26 +240,60 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield flush()
 
 
-def learn_lexicon(sample: DataFrame, n_toxic: int, n_other: int, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
-    """Lexicon of a bounded sample with columns text and y."""
+def _odds(n_toxic: int, n_other: int) -> tuple[Column, Column]:
+    """Log odds of a count row (t, o) between toxic and other texts, and their standard error."""
+    t, o = F.col("t") + 0.5, F.col("o") + 0.5
+    return F.log(t / (n_toxic + 1.0)) - F.log(o / (n_other + 1.0)), F.sqrt(1 / t + 1 / o)
+
+
+def learn_lexicon(sample: DataFrame, n_toxic: int, n_other: int) -> Lexicon:
+    """Lexicon and exceptions of a bounded sample with columns text and y."""
     counts = (
         sample.select("text", "y").mapInPandas(_count, "pattern string, toxic long, other long")
         .groupBy("pattern").agg(F.sum("toxic").alias("t"), F.sum("other").alias("o"))
     )
     counts = materialise(counts, "toxicity-counts")
-    t, o = F.col("t") + 0.5, F.col("o") + 0.5
-    spread = F.sqrt(1 / t + 1 / o)
-    odds = F.log(t / (n_toxic + 1.0)) - F.log(o / (n_other + 1.0))
+    odds, spread = _odds(n_toxic, n_other)
     chance = n_toxic / (n_toxic + n_other)
     share = F.col("t") / (F.col("t") + F.col("o"))
     evidence = F.col("t") * F.log(share / chance) + F.when(
         F.col("o") > 0, F.col("o") * F.log((1 - share) / (1 - chance))
     ).otherwise(0.0)
     telling = counts.where((F.col("t") >= LEAST_TEXTS) & (odds >= LEAST_ODDS) & (evidence >= LEAST_EVIDENCE))
-    weighed = telling.select("pattern", "t", F.greatest(odds - 2 * spread, F.lit(1.0)).alias("w"))
-    rows = weighed.orderBy(F.desc("w"), "pattern").limit(MOST_PATTERNS).collect()
-    weight = _clearest({r.pattern: (r.t, float(r.w)) for r in rows})
-    return Lexicon(tuple(sorted((p, round(w, 6)) for p, w in weight.items())), exceptions)
+    weighed = telling.select(
+        "pattern", "t", F.greatest(odds - 2 * spread, F.lit(1.0)).alias("w"), evidence.alias("e"),
+        F.substring("pattern", 1, 5).alias("stem"),
+    )
+
+    def clearest(frame: pd.DataFrame) -> pd.DataFrame:
+        kept = _clearest(dict(zip(frame.pattern, zip(frame.t, frame.w))))
+        return frame[frame.pattern.isin(kept)][["pattern", "w", "e"]]
+
+    # nested patterns share their stem and are reduced to the clearest before the lexicon is bounded
+    reduced = weighed.groupBy("stem").applyInPandas(clearest, "pattern string, w double, e double")
+    rows = reduced.orderBy(F.desc("w"), F.desc("e"), "pattern").limit(MOST_PATTERNS).collect()
+    lexicon = Lexicon(tuple(sorted((r.pattern, round(float(r.w), 6)) for r in rows)))
+    return replace(lexicon, exceptions=learn_exceptions(sample, lexicon, n_toxic, n_other))
+
+
+def learn_exceptions(sample: DataFrame, lexicon: Lexicon, n_toxic: int, n_other: int) -> tuple[str, ...]:
+    """Pairs of a lexicon word and a neighbour that are surely no commoner in toxic texts than elsewhere."""
+    if not lexicon.weights:
+        return ()
+    shared = sample.sparkSession.sparkContext.broadcast(lexicon)
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matcher = shared.value.matcher()
+        for frame in frames:
+            found = [(p, y) for text, y in zip(frame.text, frame.y) for p in matcher.pairs(text)]
+            yield pd.DataFrame({"pair": [p for p, _ in found], "y": [y for _, y in found]}).astype({"pair": "string", "y": "int64"})
+
+    pairs = sample.select("text", "y").mapInPandas(count, "pair string, y long")
+    counts = pairs.groupBy("pair").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("o"))
+    odds, spread = _odds(n_toxic, n_other)
+    sure = counts.where(F.col("o") >= LEAST_TEXTS).where(odds + 2 * spread <= 0)
+    rows = sure.orderBy(F.desc("o"), "t", "pair").limit(MOST_EXCEPTIONS).collect()
+    return tuple(sorted(r.pair for r in rows))
 
 
 def _clearest(found: dict[str, tuple[int, float]]) -> dict[str, float]:
@@ -256,15 +321,22 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, per_class: int =
     sizes = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
     share = labels.where(training & F.col("toxic").isin(0, 1)).agg(F.avg("toxic")).first()[0]
     share = min(max(0.5 if share is None else float(share), 0.001), 0.999)
+    nothing = Lexicon((), intercept=math.log(share / (1 - share)))
     if len(sizes) < 2:
-        return Lexicon((), EXCEPTIONS, intercept=math.log(share / (1 - share)))
-    drawn = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
-    keyed = add_columns(drawn, [F.col("text")], [F.col("text"), F.col("y")], "k long", lambda: lambda texts: [(likeness(t),) for t in texts])
-    # of near copies one text counts, or what they share would look telling
-    drawn = materialise(keyed.dropDuplicates(["k", "y"]).select("text", "y"), "toxicity-texts")
+        return nothing
+    # of rows that repeat an id, and of near copies, one text counts, chosen by its hash so that every run learns
+    # from the same texts; what copies share would look telling
+    smallest = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    drawn = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "y").agg(smallest)
+    keyed = add_columns(
+        drawn, [F.col("text")], [F.col("text"), F.col("y")], "k long, k2 long", lambda: lambda texts: [likeness(t) for t in texts]
+    )
+    rows = F.struct(F.xxhash64("text"), "text")
+    once = keyed.groupBy("k", "y").agg(F.min_by(F.struct("text", "k2"), rows).alias("r")).select("y", "r.*")
+    drawn = materialise(once.groupBy("k2", "y").agg(smallest).select("text", "y"), "toxicity-texts")
     sizes = {r.y: r["count"] for r in drawn.groupBy("y").count().collect()}
     if len(sizes) < 2:
-        return Lexicon((), EXCEPTIONS, intercept=math.log(share / (1 - share)))
+        return nothing
     lexicon = learn_lexicon(drawn, sizes[1], sizes[0])
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(lexicon)
@@ -273,12 +345,12 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, per_class: int =
     ).select("a", "b", "c", "y").toPandas()
     x, y = rows[["a", "b", "c"]].to_numpy(float), rows.y.to_numpy(float)
     if len(y) == 0 or y.min() == y.max():
-        return Lexicon(lexicon.weights, EXCEPTIONS, intercept=math.log(share / (1 - share)))
+        return replace(lexicon, intercept=nothing.intercept)
     order = np.lexsort((y, *x.T))
     w, b = lasso_logistic(x[order], y[order], 1e-4, 3000)
     drawn_share = y.mean()
     b += math.log(share / (1 - share)) - math.log(drawn_share / (1 - drawn_share))
-    return Lexicon(lexicon.weights, EXCEPTIONS, tuple(map(float, w)), float(b))
+    return replace(lexicon, coefficients=tuple(map(float, w)), intercept=float(b))
 
 
 def _features(shared):
@@ -310,8 +382,9 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Data
     """The rows of `docs` that are not predicted toxic, with their own columns."""
     lexicon = train(docs, labels, ~held_out("doc_id", 5, 0))
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+    # kept within a struct, where no name of theirs can clash
     marked = add_columns(
-        docs, [F.col("text")], [F.col(c) for c in docs.columns],
+        docs, [F.col("text")], [F.struct(*docs.columns).alias("__row")],
         "__a double, __b double, __c double, __n int", _features(shared),
     )
-    return marked.where(lexicon.score_column() < threshold).select(*docs.columns)
+    return marked.where(lexicon.score_column() < threshold).select("__row.*")
