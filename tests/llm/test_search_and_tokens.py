@@ -210,6 +210,51 @@ def test_rollup_is_idempotent(spark, tmp_path):
         token_counts.Rollup(spark, rollup.root).apply(0, first)
 
 
+def test_compacted_ledger_gives_the_same(spark, tmp_path, monkeypatch):
+    draw = random.Random(7)
+    rows = "op string, doc_id long, source string, lang string, tokenizer string, n_tokens long"
+    batches = []
+    for _ in range(7):
+        ops = [(draw.choice(["insert", "insert", "delete", "revise"]), draw.randrange(12)) for _ in range(15)]
+        seen = {}
+        for op, i in ops:
+            seen.setdefault(i, (op, i, draw.choice("ab"), draw.choice(["en", None]), "t", draw.randrange(50)))
+        batches.append(spark.createDataFrame(list(seen.values()), rows))
+    found = []
+    for every in (2, 100):
+        monkeypatch.setattr(token_counts, "COMPACT", every)
+        rollup = token_counts.Rollup(spark, str(tmp_path / str(every)))
+        for number, batch in enumerate(batches):
+            rollup.apply(number, batch)
+        found.append((sorted(map(str, rollup.totals().collect())), sorted(map(str, rollup.live().collect()))))
+    assert found[0] == found[1] and found[0][0]
+    assert (tmp_path / "2" / "compact" / "batch=5").exists() and not (tmp_path / "100" / "compact").exists()
+
+
+def test_query_equals_a_recount(spark):
+    """op9 inserts all, recounts with a second vocabulary and takes later copies away."""
+    import base64
+    import collections
+
+    import tiktoken
+
+    from textloom.llm import queries
+
+    folder = "/root/testdata/sf0.001"
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    codec = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want, seen = collections.defaultdict(lambda: [0, 0]), set()
+    for r in spark.read.parquet(f"{folder}/documents.parquet").orderBy("doc_id").collect():
+        if r.text is None or r.text not in seen:
+            seen.add(r.text)
+            group = want[r.source, r.lang, "byte_bpe_v2"]
+            group[0] += 1
+            group[1] += len(codec.encode_ordinary(r.text or ""))
+    got = queries.op9_token_counts(spark, folder).collect()
+    assert {(r.source, r.lang, r.tokenizer): [r.n_docs, r.n_tokens] for r in got} == dict(want)
+
+
 def test_token_numbers(spark, odd):
     import base64
 

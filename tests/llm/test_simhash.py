@@ -140,3 +140,27 @@ def test_odd_rows(spark, odd):
     rows = simhash.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
     assert {r.component_id for r in rows if r.fp == 0} == {1}
+
+
+def test_links_are_whole_in_many_shards_and_parts(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SHARD", 4)
+    monkeypatch.setattr(simhash, "MIN_DEPTH", 2)
+    monkeypatch.setattr(simhash, "VISITORS", 3)
+    draw = np.random.default_rng(4)
+    base = draw.integers(-(2**63), 2**63 - 1, 60, dtype=np.int64)
+    flips = [int(b) ^ (1 << int(draw.integers(62))) ^ (1 << int(draw.integers(62))) for b in base for _ in range(5)]
+    points = sorted({*map(int, base), *flips})
+    edges = simhash.near_links(spark.createDataFrame([(p,) for p in points], "fp long"), 3).collect()
+    label = {p: p for p in points}
+
+    def root(p):
+        while label[p] != p:
+            p = label[p]
+        return p
+
+    for e in edges:
+        label[root(e.src)] = root(e.dst)
+    for i, a in enumerate(points):
+        for b in points[i + 1 :]:
+            if bin((a ^ b) & (2**64 - 1)).count("1") <= 3:
+                assert root(a) == root(b)

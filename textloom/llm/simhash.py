@@ -27,11 +27,14 @@ from textloom.llm.common import add_columns, fresh, smallest_hashes
 from textloom.llm.components import connected_components
 from textloom.session import materialise
 
-#: Distinct fingerprints from which the shard tree is built; the tree only shapes the shards.
+#: Distinct fingerprints from which the shard tree is built, and four for each shard beyond that; the
+#: tree only shapes the shards.
 SAMPLE = 16_384
-#: Fingerprints a shard should hold on average.
+#: Fingerprints a shard should hold on average; depth 18 holds 8.6 billion in such shards.
 SHARD = 32_768
-MIN_DEPTH, MAX_DEPTH = 6, 12
+MIN_DEPTH, MAX_DEPTH = 6, 18
+#: Visitors that meet the residents of a shard in one task.
+VISITORS = 131_072
 _LEAF = 256
 _BLOCK = 2_000_000
 
@@ -172,7 +175,8 @@ def near_links(prints: DataFrame, reach: int = 3) -> DataFrame:
     spark = prints.sparkSession
     n = prints.count()
     depth = min(MAX_DEPTH, max(MIN_DEPTH, math.ceil(math.log2(max(1, n / SHARD)))))
-    sample = smallest_hashes(prints.select("fp"), ["fp"], SAMPLE, n).toPandas().fp.to_numpy(np.int64)
+    drawn = smallest_hashes(prints.select("fp"), ["fp"], max(SAMPLE, 4 << depth), n)
+    sample = drawn.toPandas().fp.to_numpy(np.int64)
     tree = spark.sparkContext.broadcast(ShardTree(sample, depth))
 
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,6 +198,16 @@ def near_links(prints: DataFrame, reach: int = 3) -> DataFrame:
         return pd.DataFrame({"src": a, "dst": b})
 
     routed = prints.select("fp").mapInPandas(route, "shard int, fp long, resident boolean")
+    if n > SHARD << MIN_DEPTH:
+        # visitors multiply as the tree grows: they come in parts of bounded size, each with all residents
+        routed = materialise(routed, "simhash-routed")
+        asked = routed.where("not resident").groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / VISITORS).cast("int").alias("parts"))
+        parts = F.coalesce("parts", F.lit(1))
+        own = F.array(F.pmod(F.xxhash64("fp"), parts).cast("int"))
+        part = F.explode(F.when(F.col("resident"), F.sequence(F.lit(0), parts - 1)).otherwise(own)).alias("part")
+        # one row per shard
+        routed = routed.join(F.broadcast(asked), "shard", "left").select("shard", "fp", "resident", part)
+        return routed.groupBy("shard", "part").applyInPandas(link, "src long, dst long")
     return routed.groupBy("shard").applyInPandas(link, "src long, dst long")
 
 

@@ -55,6 +55,10 @@ def count_tokens(docs: DataFrame, vocabularies: dict[str, str], pattern: str, ke
     return add_columns(docs, [F.col(text)], [F.col(c) for c in keep], added, make)
 
 
+#: Committed batches after which the ledger is compacted.
+COMPACT = 8
+
+
 class Rollup:
     """Ledger and totals below a shared folder."""
 
@@ -64,12 +68,21 @@ class Rollup:
     def _path(self, kind: str, batch: int) -> str:
         return f"{self.root}/{kind}/batch={batch}"
 
-    def committed(self) -> list[int]:
-        """Numbers of the batches whose totals are whole."""
+    def _marked(self, mark: str) -> list[int]:
+        """Numbers of the batches that have a mark; marks are folders of our own, made when all is written."""
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/totals/batch=*/_SUCCESS")
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{mark}-*")
         files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-        return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in files or [])
+        return sorted(int(f.getPath().getName().rsplit("-", 1)[1]) for f in files or [])
+
+    def _mark(self, mark: str, batch: int) -> None:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{mark}-{batch}")
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+
+    def committed(self) -> list[int]:
+        """Numbers of the batches whose totals are whole."""
+        return self._marked("committed")
 
     def totals(self) -> DataFrame:
         """n_docs and n_tokens per group after the last committed batch; groups without documents are left out."""
@@ -80,13 +93,24 @@ class Rollup:
 
     def live(self) -> DataFrame:
         """Rows that documents have after the committed batches, `n` times each."""
-        done = self.committed()
-        if not done:
-            rows = self.spark.createDataFrame([], LEDGER)
-        else:
-            rows = self.spark.read.schema(LEDGER).parquet(*[self._path("ledger", b) for b in done])
+        return self._summed(self.committed())
+
+    def _summed(self, batches: list[int]) -> DataFrame:
+        """The ledger up to the last of the batches: the newest compacted ledger before it, and what came later."""
+        before = [b for b in self._marked("compacted") if batches and b <= batches[-1]]
+        later = [b for b in batches if not before or b > before[-1]]
+        paths = [self._path("compact", b) for b in before[-1:]] + [self._path("ledger", b) for b in later]
+        rows = self.spark.read.schema(LEDGER).parquet(*paths) if paths else self.spark.createDataFrame([], LEDGER)
         return rows.groupBy("doc_id", *GROUP, "n_tokens").agg(F.sum("sign").alias("n")).where("n != 0")
 
+    def compact(self) -> None:
+        """Write what the ledger of all committed batches comes to, so that later batches read that in its place."""
+        done = self.committed()
+        if done and done[-1] not in self._marked("compacted"):
+            rows = self._summed(done).select("doc_id", *GROUP, F.col("n").alias("sign"), "n_tokens")
+            rows.write.mode("overwrite").parquet(self._path("compact", done[-1]))
+            self._mark("compacted", done[-1])
+
     def apply(self, batch: int, changes: DataFrame) -> bool:
         """Applies a batch (columns of CHANGES, op insert, delete or revise) once; False if it was committed before.
 
@@ -113,4 +137,7 @@ class Rollup:
             F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")
         )
         summed.where("n_docs != 0").write.mode("overwrite").parquet(self._path("totals", batch))
+        self._mark("committed", batch)
+        if (len(done) + 1) % COMPACT == 0:
+            self.compact()
         return True
