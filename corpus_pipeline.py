@@ -40,8 +40,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in as few sequences as possible."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2048)
+    """All documents in as few sequences as possible: their pieces with ids, sequence and place."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2048, with_ids=True)
 
 
 STAGES = [
