@@ -68,3 +68,31 @@ def test_query_over_odd_rows(spark):
         assert [token, char] == at
         at = [at[0] + n, at[1] + c]
     assert chat.read_back(chat.format_conversations(frame.limit(0), RANKS, PATTERN), RANKS, PATTERN).count() == 0
+
+
+def test_a_conversation_over_many_ranges(spark):
+    """One conversation, and the one without an id, are spread over ranges; places and digests stay whole."""
+    draw = random.Random(9)
+    rows = [(7, i // 3, draw.choice(["user", "assistant"]), f"text {i} " * draw.randrange(5)) for i in range(400)]
+    rows += [(None, i, "assistant", f"n{i}") for i in range(150)] + [(i, 0, "user", "x") for i in range(100, 140)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        formatted = chat.format_conversations(frame, RANKS, PATTERN)
+        found = formatted.collect()
+        digests = {r.conv_id: r for r in chat.read_back(formatted, RANKS, PATTERN).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(digests) == 42 and len(found) == len(rows)
+    for conv in (7, None, 101):
+        mine = sorted((r for r in found if r.conv_id == conv), key=lambda r: r.position)
+        at = [0, 0]
+        for place, r in enumerate(mine):
+            assert [r.position, r.token_start, r.char_start] == [place + 1, *at]
+            at = [at[0] + len(r.ids), at[1] + r.n_chars]
+        said = sorted((t, r, x) for c, t, r, x in rows if c == conv)
+        want = hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in said).encode()).hexdigest()
+        lost = "".join(x for _, r, x in said if r == "assistant")
+        assert digests[conv].turns_sha256 == want and digests[conv].n_turns == len(said)
+        assert digests[conv].loss_sha256 == hashlib.sha256(lost.encode()).hexdigest()
+        assert digests[conv].loss_chars == len(lost) and digests[conv].formatted_chars == at[1]

@@ -5,9 +5,12 @@ mask follows from prefix sums over the segment lengths. Reserved ids cannot come
 In the rendered string a control string that occurs in a text gets a backslash after its first
 character (one more, if there are some already), so the string too can be read back.
 
-The result holds one row per turn, in order, with its place in the conversation: a
-conversation of any length is never gathered. Turns are encoded before the shuffle, whatever
-their conversation is.
+The result holds one row per turn with its place in the conversation. Rows are dealt by range of
+(conversation, turn, role, text), so a conversation of any length is spread over as many tasks as
+its size asks for; each task encodes its rows and adds up places, and what the ranges before hold
+of its first conversation is one row per range. Reading back decodes every turn where it lies;
+only the digests of a conversation need its turns in order in one task, which they stream through
+as plain bytes.
 
 Defined cases: null text and null role are empty; turns are ordered by turn (null first), then
 role, then text, so repeated and tied rows have a fixed order; a null conv_id is a
@@ -18,13 +21,19 @@ table gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from textloom.llm.common import add_columns
+from textloom.session import materialise
 
 CONTROLS = (
     "<s>", "</s>", "[INST]", "[/INST]", "[SYS]", "[/SYS]", "[ANS]", "[TURN]", "[ROLE]", "[/TURN]",
@@ -183,51 +192,75 @@ def parse_text(text: str) -> list[tuple[str, str]]:
     return turns
 
 
+_KEY = ["conv_id", "turn", "role", "text"]
+
+
 def format_conversations(conversations: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """One row per turn: conv_id, position (from 1), turn, role, ids, loss_mask, token_start, char_start, n_chars.
 
     The ids of a conversation are the ids of its rows by position; the first row opens with `<s>`.
-    Rows of a conversation stand together and in order in one partition.
     """
-    import functools
-
-    make = functools.partial(_turn_encoder, ranks_path, pattern)
-    encoded = add_columns(
-        conversations,
-        [F.col("role"), F.col("text")],
-        [F.col(c) for c in ("conv_id", "turn", "role", "text")],
-        "ids array<int>, loss_mask array<boolean>, n_chars long",
-        make,
+    rows = conversations.select(*_KEY)
+    fields = [f for f in rows.schema.fields if f.name != "text"]
+    schema = T.StructType(
+        fields
+        + T.StructType.fromDDL(
+            "ids array<int>, loss_mask array<boolean>, n_chars long, n_tokens long, "
+            "part int, place long, tokens_before long, chars_before long"
+        ).fields
+    )
+    target = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        assembler, part = _assembler(ranks_path, pattern), TaskContext.get().partitionId()
+        open_, place, tokens, chars = object(), 0, 0, 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                out = []
+                for conv, role, text in zip(*(some.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
+                    if conv != open_:
+                        open_, place, tokens, chars = conv, 0, 0, 0
+                    ids, mask, size = assembler.turn(role, text)
+                    out.append((ids, mask, size, len(ids), part, place, tokens, chars))
+                    place, tokens, chars = place + 1, tokens + len(ids), chars + size
+                new = [pa.array(c, type=f.type) for c, f in zip(zip(*out), list(target)[3:])]
+                yield pa.RecordBatch.from_arrays([*[some.column(c) for c in ("conv_id", "turn", "role")], *new], schema=target)
+
+    valid = [F.make_valid_utf8(c).alias(c) for c in ("role", "text")]
+    dealt = rows.select("conv_id", "turn", *valid).repartitionByRange(*_KEY).sortWithinPartitions(*_KEY)
+    encoded = materialise(dealt.mapInArrow(run, schema), "chat-turns")
+    conv = F.struct("conv_id")
+    ends = encoded.groupBy("part").agg(F.min(conv).alias("low"), F.max(conv).alias("high"))
+    ends = materialise(ends.withColumnRenamed("part", "of"), "chat-ranges")
+    # at most two rows per range: its first and its last conversation
+    met = encoded.join(F.broadcast(ends), F.col("part") == F.col("of")).where((conv == F.col("low")) | (conv == F.col("high")))
+    totals = met.groupBy("part", "conv_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("tokens"), F.sum("n_chars").alias("chars")
     )
-    order = [F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first()]
-    window = Window.partitionBy("conv_id").orderBy(*order)
-    # prefix sums over rows, not ranges: tied rows have places of their own
-    before = window.rowsBetween(Window.unboundedPreceding, -1)
-    placed = encoded.select(
+    earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = [F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in ("n", "tokens", "chars")]
+    offsets = materialise(totals.select(F.col("part").alias("at"), F.col("conv_id").alias("of"), *sums), "chat-offsets")
+    same = (F.col("part") == F.col("at")) & F.col("conv_id").eqNullSafe(F.col("of"))
+    placed = encoded.join(F.broadcast(offsets), same, "left")
+
+    def sum_of(within: str, before: str) -> Column:
+        return F.col(within) + F.coalesce(before, F.lit(0))
+
+    position = sum_of("place", "n") + 1
+    first = position == 1
+    begin, off = F.array(F.lit(50_257 + CONTROLS.index("<s>"))), F.array(F.lit(False))
+    return placed.select(
         "conv_id",
-        F.row_number().over(window).alias("position"),
+        position.alias("position"),
         "turn",
         "role",
-        "ids",
-        "loss_mask",
-        (F.coalesce(F.sum(F.size("ids")).over(before) + 1, F.lit(0))).alias("token_start"),
-        (F.coalesce(F.sum("n_chars").over(before) + len("<s>"), F.lit(0))).alias("char_start"),
-        "n_chars",
+        F.when(first, F.concat(begin, "ids")).otherwise(F.col("ids")).alias("ids"),
+        F.when(first, F.concat(off, "loss_mask")).otherwise(F.col("loss_mask")).alias("loss_mask"),
+        F.when(first, 0).otherwise(sum_of("tokens_before", "tokens") + 1).alias("token_start"),
+        F.when(first, 0).otherwise(sum_of("chars_before", "chars") + len("<s>")).alias("char_start"),
+        F.when(first, F.col("n_chars") + len("<s>")).otherwise(F.col("n_chars")).alias("n_chars"),
     )
-    first = F.col("position") == 1
-    begin = F.lit(50_257 + CONTROLS.index("<s>"))
-    return placed.withColumns(
-        {
-            "ids": F.when(first, F.concat(F.array(begin), "ids")).otherwise(F.col("ids")),
-            "loss_mask": F.when(first, F.concat(F.array(F.lit(False)), "loss_mask")).otherwise(F.col("loss_mask")),
-            "n_chars": F.when(first, F.col("n_chars") + len("<s>")).otherwise(F.col("n_chars")),
-        }
-    )
-
-
-def _turn_encoder(ranks_path: str, pattern: str):
-    assembler = _assembler(ranks_path, pattern)
-    return lambda roles, texts: [assembler.turn(r, t) for r, t in zip(roles, texts)]
 
 
 _KNOWN: dict = {}
@@ -240,65 +273,74 @@ def _assembler(ranks_path: str, pattern: str) -> Assembler:
     return _KNOWN[ranks_path, pattern]
 
 
-DIGEST = (
-    "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
-    "formatted_chars long, n_tokens long, loss_tokens long"
-)
-
-
-def read_back(formatted: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Digests of each conversation, decoded from ids and mask alone, streamed turn by turn."""
-    import hashlib
+def decoded(formatted: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """Per row of formatted conversations what its ids and mask say: turns as bytes, text under the mask, counts.
 
-    import pyarrow as pa
-    from pyspark.sql import types as T
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    schema = T.StructType.fromDDL(DIGEST)
+    `lost` is null where it is the last turn's text whole, which `said` holds from `lost_from` on.
+    """
+    schema = T.StructType(
+        [formatted.schema["conv_id"], formatted.schema["position"]]
+        + T.StructType.fromDDL(
+            "n_turns int, said binary, lost_from int, lost binary, lost_chars long, chars long, tokens long, masked long"
+        ).fields
+    )
     target = to_arrow_schema(schema)
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         assembler = _assembler(ranks_path, pattern)
-        open_ = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                out = []
+                for row in range(some.num_rows):
+                    ids = some.column("ids")[row].values.to_numpy()
+                    mask = some.column("loss_mask")[row].values.to_numpy(zero_copy_only=False)
+                    turns, lost, size = assembler.read(ids, mask)
+                    said = "".join(f"{role}\n{text}\n" for role, text in turns).encode()
+                    under = lost.encode()
+                    start = len(said) - 1 - len(under)
+                    whole = start >= 0 and said[start:-1] == under
+                    out.append((
+                        len(turns), said, start if whole else None, None if whole else under,
+                        len(lost), size, len(ids), int(mask.sum()),
+                    ))
+                new = [pa.array(c, type=f.type) for c, f in zip(zip(*out), list(target)[2:])]
+                yield pa.RecordBatch.from_arrays([some.column("conv_id"), some.column("position"), *new], schema=target)
 
-        def close(state):
-            return [
-                state["id"], state["turns"], state["said"].hexdigest(), state["loss"],
-                state["lost"].hexdigest(), state["chars"], state["tokens"], state["masked"],
-            ]
+    return formatted.select("conv_id", "position", "ids", "loss_mask").mapInArrow(run, schema)
 
+
+def read_back(formatted: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """Digests of each conversation, decoded from ids and mask alone."""
+    schema = T.StructType([formatted.schema["conv_id"], *T.StructType.fromDDL("turns_sha256 string, loss_sha256 string").fields])
+    target = to_arrow_schema(schema)
+    rows = materialise(decoded(formatted, ranks_path, pattern), "chat-decoded")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        said = lost = conv = None
         for batch in batches:
             done = []
             for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                names = part.column("conv_id").to_pylist(), part.column("position").to_pylist()
-                for row, (conv, position) in enumerate(zip(*names)):
-                    ids = part.column("ids")[row].values.to_numpy()
-                    mask = part.column("loss_mask")[row].values.to_numpy(zero_copy_only=False)
+                columns = (batch.column(c).slice(at, 256).to_pylist() for c in ("conv_id", "position", "said", "lost_from", "lost"))
+                for name, position, text, start, under in zip(*columns):
                     if position == 1:
-                        if open_:
-                            done.append(close(open_))
-                        open_ = {
-                            "id": conv, "turns": 0, "said": hashlib.sha256(), "loss": 0,
-                            "lost": hashlib.sha256(), "chars": 0, "tokens": 0, "masked": 0,
-                        }
-                    turns, lost, size = assembler.read(ids, mask)
-                    for role, said in turns:
-                        open_["turns"] += 1
-                        open_["said"].update(f"{role}\n{said}\n".encode())
-                    open_["loss"] += len(lost)
-                    open_["lost"].update(lost.encode())
-                    open_["chars"] += size
-                    open_["tokens"] += len(ids)
-                    open_["masked"] += int(mask.sum())
+                        if said:
+                            done.append((conv, said.hexdigest(), lost.hexdigest()))
+                        conv, said, lost = name, hashlib.sha256(), hashlib.sha256()
+                    said.update(text)
+                    lost.update(text[start:-1] if under is None else under)
             if done:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=f.type) for c, f in zip(zip(*done), target)], schema=target
-                )
-        if open_:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([c], type=f.type) for c, f in zip(close(open_), target)], schema=target
-            )
-
-    ordered = formatted.select("conv_id", "position", "ids", "loss_mask")
-    return ordered.sortWithinPartitions("conv_id", "position").mapInArrow(run, schema)
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*done), target)], schema=target)
+        if said:
+            last = (conv, said.hexdigest(), lost.hexdigest())
+            yield pa.RecordBatch.from_arrays([pa.array([c], type=f.type) for c, f in zip(last, target)], schema=target)
+
+    ordered = rows.select("conv_id", "position", "said", "lost_from", "lost").repartition("conv_id")
+    digests = ordered.sortWithinPartitions("conv_id", "position").mapInArrow(run, schema)
+    counts = rows.groupBy(F.col("conv_id").alias("of")).agg(
+        F.sum("n_turns").alias("n_turns"), F.sum("lost_chars").alias("loss_chars"), F.sum("chars").alias("formatted_chars"),
+        F.sum("tokens").alias("n_tokens"), F.sum("masked").alias("loss_tokens"),
+    )
+    return digests.join(counts, F.col("conv_id").eqNullSafe(F.col("of"))).select(
+        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_tokens", "loss_tokens"
+    )
