@@ -34,4 +34,4 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = entry.queries()["nested_filter"](spark, FOLDER)._jdf.queryExecution().toString()
     assert "EqualTo(event_type,purchase)" in plan
     scan = entry.queries()["last_message"](spark, FOLDER)._jdf.queryExecution().toString()
-    assert "ReadSchema: struct<conv_id:bigint,turn:bigint,text:string>" in scan
+    assert "ReadSchema: struct<conv_id:bigint,turn:bigint,role:string,text:string>" in scan

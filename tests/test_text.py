@@ -117,3 +117,21 @@ def test_notebook_outputs(one):
     book["cells"].pop()
     text = one(X.notebook_with_outputs, [json.dumps(book), "not json"])
     assert text[0].startswith("a\nb\n1\n2\n3\nxy\n<Figure>\nE\nline\nE: v\nc\n") and text[1] is None
+
+
+def test_prompts_word_for_word(one):
+    """The texts as they are sent, written out: a changed template would pass every test that uses it."""
+    asked = one(X.topic_question, ["graph engines"])[0]
+    assert asked == (
+        'Write technical blog that demonstrates knowledge and best practice for "graph engines" and its technical '
+        "advantage and describes code snippest from the piece of information in the text bellow: "
+    )
+    messages = one(lambda c: X.chain_prompt(c, F.lit("Passage: p")), ["graphs"])[0]
+    assert [m.role for m in messages] == ["system", "user"]
+    assert messages[0].content == (
+        "You are a technical blog writer. You will write a blog post about a specific technology."
+    )
+    assert messages[1].content == (
+        "Write technical blog that demonstrates knowledge and best practice for graphs and its technical advantage and "
+        "describes code snippest from the piece of information in the text bellow: Passage: p "
+    )

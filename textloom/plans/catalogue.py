@@ -8,6 +8,7 @@ files and PDFs, pages for posts, embeddings for vector tables.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +23,7 @@ from textloom.plans import jobs, layers
 from textloom.session import materialise, shared_dir, spread
 from textloom.sinks import buckets, tables
 from textloom.sources import files, repos
-from textloom.streaming.jobs import append_stream, transform_stream
+from textloom.streaming.jobs import append_stream, stamped, transform_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -927,3 +928,57 @@ def table_profile_merged(spark, folder):
         "column_name", *big("row_count", "null_count", "least", "most"),
         near.alias("distinct_near"), inside.alias("median_near"),
     )
+
+
+@query
+def ad_hoc_sql(spark, folder):
+    """SQL text over registered tables."""
+    name = f"docs_{uuid.uuid4().hex}"
+    table(spark, folder, "documents").createOrReplaceTempView(name)
+    return spark.sql(
+        f"select source, lang, count(*) as docs, max(n_chars) as longest from {name} where n_chars > 100 group by source, lang"
+    )
+
+
+@query
+def table_drop(spark, folder):
+    """A catalog table over written files is dropped; the catalog forgets it and the files stay."""
+    path, name = shared_dir(spark, "dropped"), f"labels_{uuid.uuid4().hex}"
+    tables.overwrite_snapshot(table(spark, folder, "labels"), path)
+    spark.sql(f"create table {name} using parquet location '{path}'")
+    before = files.table_or_path(spark, name).count()
+    tables.drop_table(spark, name)
+    listed = F.lit(spark.catalog.tableExists(name)).alias("listed")
+    return files.table_or_path(spark, path).select("doc_id", *big("quality", "toxic"), listed, F.lit(before).cast("long").alias("before"))
+
+
+@query
+def ingestion_stamp(spark, folder):
+    """Each micro-batch has one time of ingestion, between the start and the end of its stream."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    source, out = shared_dir(spark, "stamped-in"), shared_dir(spark, "stamped")
+    started = spark.range(1).select(F.current_timestamp().alias("t")).first().t
+    for part in (pages.where("url like 'https%'"), pages.where("url not like 'https%'")):
+        part.write.mode("append").parquet(source)
+        stream = files.stream_parquet(spark, source, pages.schema)
+        transform_stream(stream, stamped, out, f"{out}-checkpoint")
+    kept = spark.read.parquet(out)
+    times = kept.groupBy("batch_id").agg(F.count_distinct("ingestion_time").alias("times"))
+    since = F.col("ingestion_time").between(F.lit(started), F.current_timestamp())
+    return kept.join(F.broadcast(times), "batch_id").select("page_id", *big("batch_id", "times"), since.alias("in_time"))
+
+
+@query
+def file_elements(spark, folder):
+    """Elements that an extractor reads out of the bytes of streamed files."""
+    root, out = _text_files(spark, folder, "extracted"), shared_dir(spark, "bronze-extracted")
+    append_stream(files.stream_binary(spark, f"{root}/source=*", "*.txt"), out, f"{out}-checkpoint")
+
+    def lines():
+        return lambda blobs: [blob.decode().split("\n")[:-1] for blob in blobs]
+
+    found = layers.file_elements(spark.read.parquet(out), lines)
+    size = F.aggregate("elements", F.lit(0).cast("long"), lambda total, e: total + F.length(e))
+    return found.groupBy(F.regexp_extract("path", "source=([^/]+)", 1).alias("source")).agg(
+        F.sum(F.size("elements")).cast("long").alias("elements"), F.sum(size).alias("chars")
+    )

@@ -44,6 +44,14 @@ def distilled(bronze: DataFrame, embedder: MakeModel | None = None) -> DataFrame
     return keyed.join(texts.drop("content"), "_content", "left").drop("_content")
 
 
+def file_elements(bronze: DataFrame, extractor: MakeModel, error_col: str | None = None) -> DataFrame:
+    """Files with the `elements` that `extractor` reads out of their bytes, a few files at a time.
+
+    With `error_col` a file that cannot be read has null elements and says why there.
+    """
+    return map_model(bronze, "content", "elements", "array<string>", extractor, 8, error_col)
+
+
 def silver_pdf(
     bronze: DataFrame,
     extractor: MakeModel,
@@ -51,8 +59,7 @@ def silver_pdf(
     chunk_embedder: MakeModel | None = None,
 ) -> DataFrame:
     """Numbered chunks with vectors, from the elements that `extractor` reads out of file bytes."""
-    elements = map_model(bronze, "content", "elements", "array<string>", extractor, batch_size=8)
-    joined = elements.select(
+    joined = file_elements(bronze, extractor).select(
         "path", chunking.joined_elements(F.col("elements")).alias("text")
     )
     return silver_chunks(joined, embedder, chunk_embedder)
