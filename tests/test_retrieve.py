@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from textloom.functions import embed
 from textloom.operators import context, evaluate, meeting, retrieve, scoring
 
 
@@ -169,6 +170,67 @@ def test_lsh_recall_without_fallback_and_proofs(spark):
     assert all(best[i] == set(exact[i]) for i in proven)
 
 
+def as_sparse(df):
+    """The vectors of `df` as sparse ones, from their entries that are not 0."""
+    entries = F.transform("vector", lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+    kept = F.filter(entries, lambda e: e.x != 0)
+    vector = F.struct(F.size("vector").alias("size"), kept["i"].alias("buckets"), kept["x"].alias("weights"))
+    return df.withColumn("vector", F.when(F.col("vector").isNotNull(), vector))
+
+
+@pytest.mark.parametrize("strategy, metric", [("broadcast", "cosine"), ("cells", "l2"), ("routed", "dot"), ("lsh", "cosine")])
+def test_sparse_vectors_find_what_dense_ones_do(spark, strategy, metric):
+    rng = np.random.default_rng(11)
+    rows = rng.integers(-2, 3, (300, 24)) * (rng.random((300, 24)) < 0.25)
+    docs = [(f"d{i:03}", [float(x) for x in row]) for i, row in enumerate(rows)]
+    q, d = frames(spark, [(f"q{i:02}", v) for i, (_, v) in enumerate(docs[:40])], docs)
+    options = {"k": 5, "dim": 24, "metric": metric, "strategy": strategy}
+    wanted = gathered(retrieve.knn_join(q, d, **options))
+    assert wanted
+    assert gathered(retrieve.knn_join(as_sparse(q), as_sparse(d), **options)) == wanted
+    if strategy == "broadcast":  # the sides may differ
+        assert gathered(retrieve.knn_join(q, as_sparse(d), **options)) == wanted
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "cells", "routed", "lsh"])
+def test_broken_sparse_vectors_take_no_part(spark, strategy):
+    kind = "struct<size: int, buckets: array<int>, weights: array<float>>"
+    good = (4, [1, 3], [0.6, 0.8])
+    docs = [
+        ("good", good), ("twice", (4, [1, 1, 3], [0.2, 0.4, 0.8])), ("null", None), ("longer", (5, [1], [1.0])),
+        ("beyond", (4, [4], [1.0])), ("below", (4, [-1], [1.0])), ("no bucket", (4, [1, None], [1.0, 1.0])),
+        ("no weight", (4, [1, 3], [1.0, None])), ("uneven", (4, [1, 3], [1.0])), ("empty", (4, [], [])),
+        ("no arrays", (4, None, None)),
+    ]
+    q = spark.createDataFrame([("q", good), ("none", None)], f"query_id string, vector {kind}")
+    d = spark.createDataFrame(docs, f"pk string, vector {kind}").repartition(3)
+    found = gathered(retrieve.knn_join(q, d, 7, 4, strategy=strategy))
+    assert found == {"q": [("good", 1.0), ("twice", 1.0)]}
+    nothing = retrieve.knn_join(q.where("false"), d.where("false"), 7, 4, strategy=strategy)
+    assert nothing.count() == 0
+
+
+def test_sparse_embedder_gives_the_same_vectors(spark):
+    texts = ["One two two", "", None, " \t", "a b c d e f g h " * 50, "é É ä", "x" * 2000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string").repartition(2)
+    dense = {r.id: r.v for r in embed.embed_text(df, "text", "v", dim=16).collect()}
+    sparse = {r.id: r.v for r in embed.embed_sparse(df, "text", "v", 16).collect()}
+    for i, vector in dense.items():
+        if vector is None:
+            assert sparse[i] is None
+            continue
+        assert sparse[i].size == 16 and sparse[i].buckets == sorted(set(sparse[i].buckets))
+        filled = [0.0] * 16
+        for bucket, weight in zip(sparse[i].buckets, sparse[i].weights):
+            assert weight != 0
+            filled[bucket] = weight
+        assert filled == vector
+    # words that cancel out leave no entry
+    one = embed.sparse_hashing_embedder(1)(["a b c d e f g h", "a"]).to_pylist()
+    two = embed.hashing_embedder(1)(["a b c d e f g h", "a"])
+    assert [dict(zip(v["buckets"], v["weights"])).get(0, 0.0) for v in one] == two[:, 0].tolist()
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(2)
     q, d = rng.normal(size=(50, 5)), rng.normal(size=(60, 5))

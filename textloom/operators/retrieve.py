@@ -21,6 +21,11 @@ vectors alone in double precision, are rounded to 6 digits and ties broken by do
 results do not depend on how rows are spread or batched. Null vectors, vectors of another
 length or with nulls inside, and for cosine those of length 0 take no part. Keys of documents
 must be unique; of queries that share an id the smallest vector is searched.
+
+Either side may hold sparse vectors (size, buckets, weights), see `schemas.SPARSE_VECTOR`: they are
+stored, shuffled and sent as they are and filled up only in the block that is scored. The results
+are those of the same vectors written in full. One with a bucket that is null or not below its
+size, or with another number of weights than buckets, takes no part.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,9 +86,9 @@ def knn_join(
         raise ValueError(f"metric is one of {METRICS}")
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy is one of {STRATEGIES}")
-    queries = queries.select("query_id", "vector").where(F.size("vector") == dim)
+    queries = queries.select("query_id", "vector").where(_is_vector(queries, dim))
     queries = queries.groupBy("query_id").agg(F.min("vector").alias("vector"))
-    docs = docs.select("pk", "vector").where(F.size("vector") == dim)
+    docs = docs.select("pk", "vector").where(_is_vector(docs, dim))
     depth = k + 1 if skip_same_key else k
     if strategy == "lsh":
         queries = materialise(queries, "queries")
@@ -100,6 +105,14 @@ def knn_join(
     return best_of(found, k)
 
 
+def _is_vector(df: DataFrame, dim: int) -> Column:
+    """True for dense and for sparse vectors of length `dim`."""
+    if not isinstance(df.schema["vector"].dataType, T.StructType):
+        return F.size("vector") == dim
+    inside = F.forall("vector.buckets", lambda b: b.isNotNull() & b.between(0, dim - 1))
+    return (F.col("vector.size") == dim) & (F.size("vector.buckets") == F.size("vector.weights")) & inside
+
+
 def _exact(
     queries: DataFrame, docs: DataFrame, k: int, dim: int, metric: str, strategy: str, cells: int | None
 ) -> DataFrame:

@@ -9,8 +9,15 @@ _SCORES = 4 << 20  # scores held at once in a task
 
 
 def matrix_of(vectors: pa.Array, dim: int) -> np.ndarray:
+    """Vectors as rows of a matrix; sparse ones are filled up, weights of the same bucket added."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
+    if pa.types.is_struct(vectors.type):
+        _, buckets, weights = vectors.flatten()
+        row = np.repeat(np.arange(len(vectors)), buckets.value_lengths().to_numpy(zero_copy_only=False))
+        cell = row * dim + buckets.flatten().to_numpy(zero_copy_only=False)
+        weight = weights.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        return np.bincount(cell, weight, len(vectors) * dim).reshape(-1, dim)
     return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 

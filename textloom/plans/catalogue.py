@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from textloom import schemas
 from textloom.functions import text as X
-from textloom.functions.embed import embed_text
+from textloom.functions.embed import embed_sparse, embed_text
 from textloom.operators import chunking, context, distil, evaluate, retrieve, training, versions
 from textloom.plans import jobs, layers
 from textloom.session import materialise, shared_dir, spread
@@ -193,17 +193,17 @@ def merged_chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def repo_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    """(pk, text, vector) of whole documents."""
+    """(pk, text, vector) of whole documents, with sparse vectors."""
     docs = spread(table(spark, folder, "documents"), "doc_id")
     keyed = docs.select(F.concat("source", F.lit("/"), "doc_id").alias("pk"), "text")
-    return materialise(embed_text(keyed, "text", "vector", dim=TEXT_DIM), "repo-vectors")
+    return materialise(embed_sparse(keyed, "text", "vector", TEXT_DIM), "repo-vectors")
 
 
 def chunk_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    """(pk, text, vector) of merged chunks."""
+    """(pk, text, vector) of merged chunks, with sparse vectors."""
     gold = versions.with_chunk_id(merged_chunks(spark, folder))
     keyed = gold.select(F.col("pdf_chunk_id").alias("pk"), F.col("text_chunk").alias("text"))
-    return materialise(embed_text(keyed, "text", "vector", dim=TEXT_DIM), "chunk-vectors")
+    return materialise(embed_sparse(keyed, "text", "vector", TEXT_DIM), "chunk-vectors")
 
 
 def vector_queries(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from textloom import schemas
 from textloom.functions import text as X
-from textloom.functions.embed import embed_text
+from textloom.functions.embed import embed_sparse, embed_text
 from textloom.operators import context, retrieve, training, versions
 from textloom.plans import layers
 from textloom.session import materialise
@@ -180,6 +180,13 @@ def search_sources(
     return found
 
 
+def _query_vectors(texts: DataFrame, in_col: str, embedder, dim: int) -> DataFrame:
+    """Adds `vector`: that of the model, or a sparse one of the built-in embedder."""
+    if embedder is None:
+        return embed_sparse(texts, in_col, "vector", dim)
+    return embed_text(texts, in_col, "vector", embedder, dim)
+
+
 def training_rows(
     posts: DataFrame,
     repo: DataFrame,
@@ -200,14 +207,8 @@ def training_rows(
     asked = training.with_question(
         versions.pick_version(answered, ["post_id"], order, keep="last", ties=False)
     )
-    vectors = embed_text(
-        asked.select(F.col("post_id").alias("query_id"), "topic_question"),
-        "topic_question",
-        "vector",
-        embedder,
-        dim,
-    )
-    vectors = materialise(vectors, "query-vectors")
+    topics = asked.select(F.col("post_id").alias("query_id"), "topic_question")
+    vectors = materialise(_query_vectors(topics, "topic_question", embedder, dim), "query-vectors")
     found = search_sources(vectors, {REPO: repo, PDF: pdf}, k, dim)
     contexts = context.two_source_context(vectors, found, REPO, PDF, threshold)
     return training.within_budget(
@@ -283,7 +284,7 @@ def chain_prompts(
     Search both sources, fuse by reciprocal rank, format, fill the template.
     `map_model` on `messages` would be the answer step.
     """
-    vectors = materialise(embed_text(requests, "request", "vector", embedder, dim), "query-vectors")
+    vectors = materialise(_query_vectors(requests, "request", embedder, dim), "query-vectors")
     found = search_sources(vectors, {REPO: repo, PDF: pdf}, k, dim)
     fused = context.fuse(found, {REPO: context.FUSION_WEIGHT, PDF: context.FUSION_WEIGHT})
     blocks = context.passages(requests, fused)
