@@ -157,6 +157,20 @@ def test_replayed_batch_leaves_one_copy(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 4
 
 
+def test_stream_of_a_table_that_is_a_file_or_a_folder(spark, tmp_path):
+    for shape in ("folder", "file"):
+        root = tmp_path / shape
+        made = spark.range(4).toDF("n").coalesce(1)
+        made.write.parquet(str(root / "t.parquet" if shape == "folder" else tmp_path / "made"))
+        made.write.parquet(str(root / "other.parquet"))
+        if shape == "file":
+            (part,) = (tmp_path / "made").glob("part-*.parquet")
+            (root / "t.parquet").write_bytes(part.read_bytes())
+        out = str(tmp_path / f"out-{shape}")
+        append_stream(files.stream_table(spark, str(root), "t", "n bigint"), out, f"{out}-checkpoint")
+        assert sorted(r.n for r in spark.read.schema("n bigint").parquet(out).collect()) == [0, 1, 2, 3]
+
+
 @pytest.fixture
 def vectors(spark):
     def build(rows):

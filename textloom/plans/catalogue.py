@@ -754,7 +754,7 @@ def stream_bronze_append(spark, folder):
     out, checkpoint = shared_dir(spark, "bronze-events"), shared_dir(spark, "checkpoint")
     schema = table(spark, folder, "events").schema
     for _ in range(2):
-        append_stream(files.stream_parquet(spark, folder, schema, "events.parquet"), out, checkpoint)
+        append_stream(files.stream_table(spark, folder, "events", schema), out, checkpoint)
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
     return spark.read.schema(schema).parquet(out).select(
         "event_id", micros.alias("ts_micros"), "user_id", "event_type", "value", "props"
@@ -768,7 +768,7 @@ def stream_silver_replay(spark, folder):
     schema = table(spark, folder, "pages").schema
     for _ in range(2):
         transform_stream(
-            files.stream_parquet(spark, folder, schema, "pages.parquet"),
+            files.stream_table(spark, folder, "pages", schema),
             lambda batch: batch.select("page_id", X.html_to_text(F.col("html")).alias("text")),
             out,
             shared_dir(spark, "checkpoint"),

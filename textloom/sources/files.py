@@ -87,6 +87,16 @@ def stream_parquet(
     return reader.parquet(folder)
 
 
+def stream_table(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:
+    """The table `name`.parquet of a folder as an append-only stream; it is a file, or a folder of files."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        return stream_parquet(spark, path, schema)
+    # a stream reads folders, so a single file is picked out of its own
+    return stream_parquet(spark, folder, schema, f"{name}.parquet")
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """Path below the folder, name and size of every file, hidden ones too; no content is read."""
     from textloom.sources.repos import list_tree
