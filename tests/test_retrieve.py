@@ -310,3 +310,43 @@ def test_profile_from_merged_sketches(spark):
     assert abs(got["n"].distinct_count - 15_000) < 750 and abs(got["s"].distinct_count - 300) < 15
     assert all(abs(q - s * 20_000) < 400 for q, s in zip(got["n"].quantiles, (0.25, 0.5, 0.75)))
     assert got["none"].null_count == 20_000 and got["none"].quantiles is None and got["s"].quantiles is None
+
+
+def test_queries_travel_to_blocks_of_cells_once(spark, monkeypatch):
+    monkeypatch.setattr(retrieve, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(meeting, "PART_ROWS", 64)
+    monkeypatch.setattr(meeting, "GROUP_BYTES", 8 * 32 * 150)
+    monkeypatch.setattr(meeting, "CHUNK_ROWS", 1)
+    written = {}
+    real = meeting.materialise
+
+    def kept(df, name):
+        out = real(df, name)
+        written[name] = written.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(meeting, "materialise", kept)
+    rng = np.random.default_rng(21)
+    rows = [(f"k{i:04}", v) for i, v in enumerate(rng.normal(size=(600, 32)).tolist())]  # no clusters, no bound holds
+    q, d = frames(spark, rows[:300], rows)
+    for strategy in ("routed", "lsh"):
+        found = gathered(retrieve.knn_join(q, d, 4, 32, strategy=strategy))
+        want = brute(rows[:300], rows, 4, "cosine")
+        assert {n: [pk for pk, _ in r] for n, r in found.items()} == {n: [pk for pk, _ in r] for n, r in want.items()}
+    # 600 documents lie in at most 12 blocks, in each of the tables of random projections too
+    assert written["visits"] <= 2 * 300 * 12
+    assert written["lsh-visits"] <= meeting.TABLES * 300 * 8
+
+
+def test_many_short_sparse_queries_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(retrieve, "BROADCAST_BYTES", 40 * (16 + 8 * 3))
+    monkeypatch.setattr(retrieve, "QUERY_ROWS", 7)
+    monkeypatch.setattr(meeting, "routed", None)
+    rng = np.random.default_rng(22)
+    rows = np.zeros((40, 1024))
+    for row in rows:
+        row[rng.choice(1024, 3, replace=False)] = rng.integers(1, 9, 3)
+    docs = [(f"d{i:02}", row.tolist()) for i, row in enumerate(rows)]
+    q, d = frames(spark, docs, docs)
+    found = gathered(retrieve.knn_join(as_sparse(q), as_sparse(d), 2, 1024))
+    assert {n: r[0] for n, r in found.items()} == {n: (n, 1.0) for n, _ in docs}
