@@ -350,3 +350,11 @@ def test_many_short_sparse_queries_are_broadcast(spark, monkeypatch):
     q, d = frames(spark, docs, docs)
     found = gathered(retrieve.knn_join(as_sparse(q), as_sparse(d), 2, 1024))
     assert {n: r[0] for n, r in found.items()} == {n: (n, 1.0) for n, _ in docs}
+
+
+def test_copies_of_a_document_take_one_place_in_a_bucket(spark):
+    rows = [(i, v) for i, v in enumerate(clustered(31, 200, 8, 0.2))]
+    q, d = frames(spark, rows[:20], rows + rows[:150], "bigint")
+    found = gathered(retrieve.knn_join(q, d, 7, 8, strategy="lsh", fallback=False))
+    once = gathered(retrieve.knn_join(q, frames(spark, [], rows, "bigint")[1], 7, 8, strategy="lsh", fallback=False))
+    assert found == once and all(len(r) == 7 for r in once.values())

@@ -80,7 +80,9 @@ def matrix_search(k: int, dim: int, metric: str) -> Search:
     """
 
     def search(asked: pa.Table, held: pa.Table) -> pa.Table:
-        if "home" in held.column_names:
+        if "cells" in asked.column_names:
+            held = _without_copies(held)
+        elif "home" in held.column_names:
             held = held.sort_by("home")
         q = Rows(asked["vector"], dim, metric, QUERY_ROWS)
         d = Rows(held["vector"], dim, metric, BLOCK_ROWS)
@@ -115,6 +117,16 @@ def matrix_search(k: int, dim: int, metric: str) -> Search:
     return search
 
 
+def _without_copies(held: pa.Table) -> pa.Table:
+    """Documents by home, one of those with the same key there: the results of buckets count a key once."""
+    held = held.sort_by([("home", "ascending"), ("pk", "ascending")]).combine_chunks()
+    if held.num_rows < 2:
+        return held
+    equal = [pc.equal(c.slice(1), c.slice(0, len(c) - 1)) for c in (held["home"].combine_chunks(), held["pk"].combine_chunks())]
+    new = pc.invert(pc.fill_null(pc.and_(*equal), False))
+    return held.filter(pa.concat_arrays([pa.array([True]), new]))
+
+
 def _add_wanted(best: Best, q: np.ndarray, wanted: np.ndarray, d: Rows, home: np.ndarray, place: np.ndarray, metric: str) -> None:
     """Scores of visitors and the documents, sorted by home, in the homes that each wants."""
     order = np.argsort(wanted, axis=None, kind="stable")
