@@ -135,3 +135,17 @@ def test_prompts_word_for_word(one):
         "Write technical blog that demonstrates knowledge and best practice for graphs and its technical advantage and "
         "describes code snippest from the piece of information in the text bellow: Passage: p "
     )
+
+
+def test_slices_of_a_model_are_bounded_in_bytes(spark, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from textloom.functions import embed
+
+    monkeypatch.setattr(embed, "SLICE_BYTES", 10)
+    files = pa.array([b"1234", b"12345", None, b"1", b"x" * 30, b"", b"12"], pa.binary())
+    known = np.flatnonzero(files.is_valid().to_numpy(zero_copy_only=False))
+    assert [s.tolist() for s in embed._slices(files, known, 8)] == [[0, 1, 3], [4], [5, 6]]
+    assert [s.tolist() for s in embed._slices(files, known, 2)] == [[0, 1], [3], [4], [5, 6]]
+    assert [s.tolist() for s in embed._slices(pa.array([[1], [2]]), np.arange(2), 8)] == [[0, 1]]
