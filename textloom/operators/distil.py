@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,8 +20,11 @@ from textloom.functions import text as X
 from textloom.functions.embed import Model, map_model
 from textloom.session import materialise
 
-_GAP = re.compile(r"[ \t\n\x0b\f\r]+")
-_SENTENCE_GAP = re.compile(r"(?<=[.?!])[ \t\n\x0b\f\r]+|\x1f")
+_SENTENCE_GAP = re.compile(rb"(?<=[.?!])[ \t\n\x0b\f\r]+|\x1f")
+#: Words whose weights are sent to every task at most, and the bytes that one of them may have.
+COMMON_WORDS, COMMON_BYTES = 500_000, 64
+#: Levels of document counts, per factor of two, of which the upper ones are common.
+_LEVELS = 8
 
 
 def distil_with_model(
@@ -47,39 +51,75 @@ def word_places(df: DataFrame, key: str, text_col: str) -> DataFrame:
     schema = T.StructType([lowered.schema[key], T.StructField("_words", words)])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("word", pa.string()), ("places", pa.list_(pa.int32()))]))
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                rows = [_places(text) for text in part.column("_text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(rows, kind)], [key, "_words"])
+                rows = _word_lists(part.column("_text").cast(pa.binary()).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(key), rows], [key, "_words"])
 
     return lowered.mapInArrow(gather, schema).select(key, F.inline("_words"))
 
 
-def _places(text: str | None) -> list[dict]:
-    """Word -> sentence numbers of a lower-case text, cut as `X.sentences` and `X.words` do."""
-    found: dict[str, list[int]] = {}
-    for i, sentence in enumerate(_SENTENCE_GAP.split(text or "")):
-        for word in _GAP.split(sentence):
-            if word:
-                found.setdefault(word, []).append(i)
-    return [{"word": word, "places": places} for word, places in found.items()]
+def _word_lists(texts: list[bytes | None]) -> pa.ListArray:
+    """Per lower-case text a list of (word, sentence numbers), cut as `X.sentences` and `X.words` do."""
+    words, lengths, sentences = [], [], []
+    for text in texts:
+        cut = _SENTENCE_GAP.split(text or b"")
+        sentences.append(len(cut))
+        for sentence in cut:
+            found = sentence.split()  # of bytes: at ASCII white space alone
+            words += found
+            lengths.append(len(found))
+    coded = pa.array(words, pa.binary()).dictionary_encode()
+    names, code = coded.dictionary.cast(pa.string()), coded.indices.to_numpy().astype(np.int64)
+    number = np.array(sentences, np.int64)
+    first = np.repeat(np.cumsum(number) - number, number)
+    sentence = np.repeat(np.arange(len(first)) - first, lengths).astype(np.int32)
+    row = np.repeat(np.repeat(np.arange(len(number)), number), lengths)
+    # occurrences by row and word, in the order of the text
+    order = np.argsort(row * len(names) + code, kind="stable")
+    row, code = row[order], code[order]
+    starts = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(code, prepend=-1) != 0))
+    places = pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)).astype(np.int32)), pa.array(sentence[order]))
+    pairs = pa.StructArray.from_arrays([names.take(pa.array(code[starts])), places], ["word", "places"])
+    ends = np.cumsum(np.bincount(row[starts], minlength=len(number)))
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pairs)
 
 
 def word_weights(places: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """(key, word, places, weight): TF-IDF of each word of each row, from the written result of `word_places`.
 
-    A word has one row per document, its occurrences are already gathered. The
-    side with the document counts has one row per word: when common words make
-    a partition large, AQE splits the other side and copies that one row.
+    The words of the most documents, at most COMMON_WORDS, are sent to all tasks, so rows with one
+    of them, nearly all, get their weights where they lie, next to the other words of their text.
+    Only those with a rare word meet its count by key, in a table that is written once.
     """
-    documents = places.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    total = rows.agg(F.count("*").alias("n")).scalar()
-    idf = F.log((total + 1) / (F.col("df") + 1)) + 1
-    return places.join(documents, "word").select(
-        key, "word", "places", F.round(F.size("places") * idf, 6).alias("weight")
-    )
+    counted = places.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    counted = materialise(counted, "word-counts")
+    total = rows.agg(F.count("*").alias("n")).first()["n"]
+    idf = (F.log((F.lit(total) + 1) / (F.col("df") + 1)) + 1).alias("idf")
+    weight = F.round(F.size("places") * F.col("idf"), 6).alias("weight")
+    is_common = _is_common(counted)
+    common = F.broadcast(counted.where(is_common).select("word", idf))
+    weighed = places.join(common, "word").select(key, "word", "places", weight)
+    rare = counted.where(~is_common).select("word", idf)
+    if not rare.take(1):
+        return weighed
+    others = places.join(common, "word", "left_anti").join(rare, "word")
+    return weighed.unionByName(materialise(others.select(key, "word", "places", weight), "rare-weights"))
+
+
+def _is_common(counted: DataFrame) -> Column:
+    """True for the short words of the most documents, at most COMMON_WORDS."""
+    short, level = F.octet_length("word") <= COMMON_BYTES, F.floor(F.log2("df") * _LEVELS)
+    # a row per level, at most 64 * _LEVELS
+    levels = counted.where(short).groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()
+    least, sent = None, 0
+    for row in sorted(levels, key=lambda r: -r.level):
+        sent += row.n
+        if sent > COMMON_WORDS:
+            break
+        least = row.level
+    return F.lit(False) if least is None else short & (level >= least)
 
 
 def _best(df: DataFrame, key: str, order: list, count: int, value: str) -> DataFrame:
@@ -119,9 +159,9 @@ def distil(
     sentence numbers; the sentences are cut again from the text itself.
     """
     rows = df.select(F.col(key).alias("_key"), F.col(text_col).alias("_text"))
-    # read by two branches each, so written once
+    # read by several branches, so written once
     places = materialise(word_places(rows, "_key", "_text"), "word-places")
-    weights = materialise(word_weights(places, rows, "_key"), "word-weights")
+    weights = word_weights(places, rows, "_key")
     picked = (
         keywords(weights, "_key")
         .join(best_sentences(weights, "_key"), "_key")

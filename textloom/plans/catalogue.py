@@ -441,7 +441,7 @@ def distil_files(spark, folder):
 @query
 def distil_keywords(spark, folder):
     docs = spread(table(spark, folder, "documents"), "doc_id").select("doc_id", "text")
-    places = distil.word_places(docs, "doc_id", "text")
+    places = materialise(distil.word_places(docs, "doc_id", "text"), "word-places")
     return distil.keywords(distil.word_weights(places, docs, "doc_id"), "doc_id")
 
 
