@@ -6,7 +6,7 @@ import glob
 import os
 from collections import Counter
 
-from textloom.plans import catalogue
+from textloom.plans import catalogue, jobs
 
 
 def test_text_files_of_a_large_source_are_bounded(spark, tmp_path, monkeypatch):
@@ -54,3 +54,15 @@ def test_restarted_stream_reads_many_files_in_a_batch(spark, tmp_path, monkeypat
     found = catalogue.stream_silver_restart(spark, str(tmp_path)).collect()
     assert sorted((r.page_id, r.text.strip()) for r in found) == [(i, f"page {i}") for i in range(200)]
     assert len(set(source)) == 1 and len(glob.glob(f"{source[0]}/*.parquet")) >= 4
+
+
+def test_only_texts_with_a_vector_are_shuffled_to_meet_it(spark, tmp_path):
+    vectors = [(i, [float(i)] * 64, i % 10) for i in (3, 7, 8, 8)] + [(None, [1.0] * 64, 1)]
+    spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    docs = [(i, f"text {i}") for i in range(8)] + [(3, None), (None, "no key")]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = catalogue.two_sources(spark, str(tmp_path))
+    rows = {name: sorted((r.pk or 0, r.text) for r in part.collect()) for name, part in found.items()}
+    assert rows == {jobs.REPO: [(0, ""), (3, ""), (3, "text 3")], jobs.PDF: [(7, "text 7"), (8, ""), (8, "")]}
+    for part in found.values():
+        assert "LeftSemi" in part._jdf.queryExecution().optimizedPlan().toString()

@@ -19,6 +19,7 @@ from textloom import schemas
 from textloom.functions import text as X
 from textloom.functions.embed import embed_sparse, embed_text
 from textloom.operators import chunking, context, distil, evaluate, retrieve, training, versions
+from textloom.operators.filters import among
 from textloom.plans import jobs, layers
 from textloom.session import materialise, shared_dir, spread
 from textloom.sinks import buckets, tables
@@ -220,8 +221,10 @@ def vector_docs(spark: SparkSession, folder: str) -> DataFrame:
 
 def two_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """All vectors, with the text of the document of the same number if there is one, split by label."""
+    docs = vector_docs(spark, folder)
     texts = table(spark, folder, "documents").select(F.col("doc_id").alias("pk"), "text")
-    docs = vector_docs(spark, folder).join(texts, "pk", "left")
+    # only texts that have a vector are shuffled to meet it
+    docs = docs.join(among(texts, docs, "pk"), "pk", "left")
     docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
     return {jobs.REPO: docs.where(F.col("label") < 5), jobs.PDF: docs.where(F.col("label") >= 5)}
 
