@@ -6,6 +6,8 @@ import glob
 import os
 from collections import Counter
 
+from textloom import session
+from textloom.operators import context
 from textloom.plans import catalogue, jobs
 
 
@@ -66,3 +68,37 @@ def test_only_texts_with_a_vector_are_shuffled_to_meet_it(spark, tmp_path):
     assert rows == {jobs.REPO: [(0, ""), (3, ""), (3, "text 3")], jobs.PDF: [(7, "text 7"), (8, ""), (8, "")]}
     for part in found.values():
         assert "LeftSemi" in part._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_texts_of_training_rows_are_moved_once(spark, tmp_path):
+    docs = [(i, f"knowledge and best practice for subject {i}\n" * 30, "en", f"src{i % 3}", 900) for i in range(40)]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    html = "<html><title>subject {0}</title><h1>on {0}</h1><p>answer {0}</p></html>"
+    pages = [(i, f"https://h{i % 2}.net/p{i}", html.format(i)) for i in range(12)]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    mark = session.scratch_mark()
+    rows = catalogue.training_records(spark, str(tmp_path)).collect()
+    assert len(rows) == 12 and all(f"for subject {r.post_id}\n" in r["query"] for r in rows)
+    written = {os.path.basename(p)[:-33]: spark.read.parquet(p).columns for p in session._SCRATCH[mark:]}
+    # of the tables written on the way only the posts hold texts
+    assert {name for name, columns in written.items() if {"text", "context"} & set(columns)} == {"posts"}
+    assert written["repo-vectors"] == written["chunk-vectors"] == ["pk", "vector"]
+
+
+def test_few_results_are_sent_to_the_texts(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([("a", "text a"), ("b", "text b"), ("c", None), (None, "no key"), ("b", "twice")], "pk string, text string")
+    docs.write.parquet(f"{tmp_path}/docs")
+    rows = [(1, "b", 1), (1, "c", 2), (2, "b", 1), (3, None, 1), (3, "z", 2)]
+    found = spark.createDataFrame(rows, "query_id bigint, pk string, rank int")
+    docs, limit = spark.read.parquet(f"{tmp_path}/docs"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = context.with_text(found, docs)
+        plan = met._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        sent = sorted((r.query_id, r.pk, r["rank"], r.text or "") for r in met.collect())
+        monkeypatch.setattr(context, "SENT_RESULTS", 2, raising=False)
+        many = sorted((r.query_id, r.pk, r["rank"], r.text or "") for r in context.with_text(found, docs).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sent == many == [(1, "b", 1, "text b"), (1, "b", 1, "twice"), (1, "c", 2, ""), (2, "b", 1, "text b"), (2, "b", 1, "twice")]
