@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -358,3 +359,91 @@ def test_copies_of_a_document_take_one_place_in_a_bucket(spark):
     found = gathered(retrieve.knn_join(q, d, 7, 8, strategy="lsh", fallback=False))
     once = gathered(retrieve.knn_join(q, frames(spark, [], rows, "bigint")[1], 7, 8, strategy="lsh", fallback=False))
     assert found == once and all(len(r) == 7 for r in once.values())
+
+
+def sparse_vectors(rng, number, dim, most):
+    """Sparse vectors with a common part, buckets out of order and twice, zero vectors, and weights that are no number."""
+    common = rng.choice(dim, 6, replace=False)
+    out = []
+    for i in range(number):
+        own = rng.integers(0, dim, rng.integers(0, most))
+        buckets = [] if i % 29 == 3 else [*own, *common[: rng.integers(3, 7)], *own[:1]]
+        weights = rng.integers(-2, 4, len(buckets)).astype(float)
+        if i % 31 == 5 and buckets:
+            weights[0] = np.nan
+        out.append({"size": dim, "buckets": [int(b) for b in buckets], "weights": weights.tolist()})
+    return out
+
+
+def filled(vectors, dim):
+    rows = np.zeros((len(vectors), dim))
+    for i, v in enumerate(vectors):
+        np.add.at(rows[i], v["buckets"], np.float32(v["weights"]).astype(float))
+    return rows.tolist()
+
+
+def sparse_array(vectors):
+    kind = pa.struct([("size", pa.int32()), ("buckets", pa.list_(pa.int32())), ("weights", pa.list_(pa.float32()))])
+    return pa.array(vectors, kind)
+
+
+def usable(rows):
+    return [(i, row) for i, row in rows if np.isfinite(row).all()]
+
+
+@pytest.mark.parametrize("near", [False, True])
+@pytest.mark.parametrize("strides, k", [(4, 3), (4, 6), (128, 3)])
+def test_sparse_search_is_exact_in_any_slabs_and_groups(monkeypatch, near, strides, k):
+    monkeypatch.setattr(scoring, "STRIDES", strides)
+    monkeypatch.setattr(scoring, "GROUP_ROWS", 8)
+    monkeypatch.setattr(scoring, "RARE_ROWS", 2)
+    monkeypatch.setattr(scoring, "COMMON_SHARE", 0.3)
+    monkeypatch.setattr(scoring, "_ENTRIES", 50)
+    rng, dim = np.random.default_rng(11), 40
+    queries, docs = sparse_vectors(rng, 70, dim, 8), sparse_vectors(rng, 260, dim, 14)
+    docs += docs[:90]  # equal scores, in other slabs
+    keys = rng.permutation(len(docs))
+    expected = brute(usable(enumerate(filled(queries, dim))), usable(zip(keys.tolist(), filled(docs, dim))), k, "cosine")
+    finder = scoring.SparseSearch(sparse_array(queries), dim, k, 20)
+    for at in range(0, len(docs), 33):
+        some = scoring.Entries(sparse_array(docs[at : at + 33]), dim)
+        finder.add(some, keys[at + some.keep], near)
+    found = {}
+    for query, key, score in zip(*finder.found()):
+        found.setdefault(int(query), []).append((-score, int(key)))
+    assert {q: [(key, -s) for s, key in sorted(rows)] for q, rows in found.items()} == {q: rows for q, rows in expected.items() if rows}
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "routed"])
+def test_sparse_strategies_agree_with_brute_force(spark, strategy):
+    rng, dim = np.random.default_rng(12), 64
+    queries, docs = sparse_vectors(rng, 40, dim, 8), sparse_vectors(rng, 200, dim, 14)
+    docs += docs[:70]
+    kind = "vector struct<size:int,buckets:array<int>,weights:array<float>>"
+    q = spark.createDataFrame([(f"q{i}", tuple(v.values())) for i, v in enumerate(queries)], f"query_id string, {kind}")
+    d = spark.createDataFrame([(f"d{i}", tuple(v.values())) for i, v in enumerate(docs)], f"pk string, {kind}")
+    found = gathered(retrieve.knn_join(q, d.repartition(3), 5, dim, strategy=strategy))
+    named = lambda rows, letter: usable((f"{letter}{i}", row) for i, row in enumerate(rows))
+    expected = brute(named(filled(queries, dim), "q"), named(filled(docs, dim), "d"), 5, "cosine")
+    assert found == {name: rows for name, rows in expected.items() if rows}
+
+
+def test_sparse_vectors_are_not_filled_up_to_be_scored(monkeypatch):
+    """The work goes with the entries of a query: no matrix of all queries or documents by all buckets is made."""
+    rng, dim = np.random.default_rng(13), 1024
+    asked, held = sparse_array(sparse_vectors(rng, 30, dim, 8)), sparse_array(sparse_vectors(rng, 90, dim, 14))
+    asked = pa.table({"query_id": range(30), "vector": asked, "floor": pa.nulls(30, pa.float64())})
+    held = pa.table({"pk": range(90), "vector": held, "home": pa.array([0] * 90)})
+    wanted = meeting.matrix_search(3, dim, "cosine")(asked, held).num_rows
+
+    def fill(*_):
+        raise AssertionError("filled up")
+
+    for module in (scoring, meeting):
+        monkeypatch.setattr(module, "matrix_of", fill)
+    assert meeting.matrix_search(3, dim, "cosine")(asked, held).num_rows == wanted > 60
+
+
+def test_slabs_of_wide_sparse_vectors_stay_small():
+    assert scoring.slab_rows(1024) == scoring.SLAB_ROWS
+    assert scoring.slab_rows(1 << 17) * (4 << 17) <= 2 * scoring.WIDE_BYTES

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.operators.sampling import smallest_hashes
-from textloom.operators.scoring import Best, Rows, ceilings, distances, matrix_of, usable_rows, worth
+from textloom.operators.scoring import Best, Entries, Rows, SparseSearch, ceilings, distances, matrix_of, slab_rows, usable_rows, worth
 from textloom.session import materialise
 
 #: Documents of a cell's part and queries of a chunk that meet in one group.
@@ -84,6 +84,8 @@ def matrix_search(k: int, dim: int, metric: str) -> Search:
             held = _without_copies(held)
         elif "home" in held.column_names:
             held = held.sort_by("home")
+        if metric == "cosine" and "cells" not in asked.column_names and all(pa.types.is_struct(t["vector"].type) for t in (asked, held)):
+            return _sparse_search(asked, held, k, dim)
         q = Rows(asked["vector"], dim, metric, QUERY_ROWS)
         d = Rows(held["vector"], dim, metric, BLOCK_ROWS)
         ids = asked["query_id"].combine_chunks().take(pa.array(q.keep))
@@ -117,6 +119,22 @@ def matrix_search(k: int, dim: int, metric: str) -> Search:
     return search
 
 
+def _sparse_search(asked: pa.Table, held: pa.Table, k: int, dim: int) -> pa.Table:
+    """What `matrix_search` finds, for sparse vectors on both sides by cosine."""
+    pks, ids = held["pk"].combine_chunks(), asked["query_id"].combine_chunks()
+    order = pc.sort_indices(pks).to_numpy()
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    floors = asked["floor"].to_numpy().astype(float)
+    finder = SparseSearch(asked["vector"], dim, k, QUERY_ROWS, np.where(np.isnan(floors), -np.inf, floors))
+    step = slab_rows(dim)
+    for at in range(0, held.num_rows, step):
+        docs = Entries(held["vector"].slice(at, step), dim)
+        finder.add(docs, place[at + docs.keep], near=True)
+    query, key, score = finder.found()
+    return pa.table({"query_id": ids.take(pa.array(query)), "pk": pks.take(pa.array(order[key])), "score": pa.array(score)})
+
+
 def _without_copies(held: pa.Table) -> pa.Table:
     """Documents by home, one of those with the same key there: the results of buckets count a key once."""
     held = held.sort_by([("home", "ascending"), ("pk", "ascending")]).combine_chunks()

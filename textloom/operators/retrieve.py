@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,11 +44,14 @@ from textloom.operators import meeting
 from textloom.operators.sampling import smallest_hashes
 from textloom.operators.scoring import (
     Best,
+    Entries,
     Rows,
+    SparseSearch,
     distances,
     margin_of,
     matrix_of,
     rough_scores,
+    slab_rows,
     usable_rows,
     worth,
 )
@@ -61,6 +65,8 @@ BLOCK_ROWS, QUERY_ROWS = 2048, 4096
 CELLS_PER_ROOT, MOST_CELLS = 0.25, 4096
 #: Documents that give every query of `cells` its first bound.
 FIRST_ROWS = 2048
+#: Results that leave a task at once.
+RESULT_ROWS = 1 << 16
 #: Parts in which the results of a query are merged first.
 MERGE_PARTS = 16
 STRATEGIES = ("auto", "broadcast", "cells", "routed", "lsh")
@@ -121,6 +127,8 @@ def _exact(
     if strategy == "routed" or not _few(queries, dim):
         return meeting.routed(queries, docs, k, dim, metric, cells)
     if strategy != "cells":
+        if metric == "cosine" and all(isinstance(side.schema["vector"].dataType, T.StructType) for side in (queries, docs)):
+            return _search_sparse(queries, docs, k, dim)
         return _search(queries, docs, k, dim, metric, None)
     total = docs.count()
     return _search(queries, _in_cells(docs, dim, metric, cells, total), k, dim, metric, _first_rows(docs, dim, metric, total))
@@ -223,6 +231,56 @@ def _search(
     return docs.select("pk", "vector").mapInArrow(search, _result_type(chunk, docs))
 
 
+def _slabs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """The rows of the batches, `size` at a time."""
+    held, rows = [], 0
+    for batch in batches:
+        while batch.num_rows:
+            part = batch.slice(0, size - rows)
+            held.append(part)
+            rows += part.num_rows
+            batch = batch.slice(part.num_rows)
+            if rows == size:
+                yield pa.Table.from_batches(held)
+                held, rows = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _search_sparse(chunk: DataFrame, docs: DataFrame, k: int, dim: int) -> DataFrame:
+    """As `_search`, for sparse vectors on both sides by cosine: only entries that a query has are multiplied."""
+    shared = docs.sparkSession.sparkContext.broadcast(chunk.toArrow())
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, finder, keys, order = shared.value, None, None, None
+        for slab in _slabs(batches, slab_rows(dim)):
+            finder = finder or SparseSearch(table["vector"], dim, k, QUERY_ROWS)
+            entries = Entries(slab["vector"], dim)
+            new = slab["pk"].combine_chunks().take(pa.array(entries.keep))
+            before = 0 if keys is None else len(keys)
+            keys = new if keys is None else pa.concat_arrays([keys, new])
+            # documents are told apart by their place among the sorted keys seen so far
+            now = pc.sort_indices(keys, null_placement="at_start").to_numpy()
+            place = np.empty(len(now), np.int64)
+            place[now] = np.arange(len(now))
+            if order is not None:
+                finder.renumber(place[order])
+            order = now
+            finder.add(entries, place[before:])
+        if finder is None:
+            return
+        query, key, score = finder.found()
+        ids = table["query_id"].combine_chunks()
+        for at in range(0, len(query), RESULT_ROWS):
+            some = slice(at, at + RESULT_ROWS)
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(pa.array(query[some])), keys.take(pa.array(order[key[some]])), pa.array(score[some])],
+                ["query_id", "pk", "score"],
+            )
+
+    return docs.select("pk", "vector").mapInArrow(search, _result_type(chunk, docs))
+
+
 def _in_cells(docs: DataFrame, dim: int, metric: str, cells: int | None, total: int) -> DataFrame:
     """Documents written next to those with the same nearest pivot; a crowded cell lies in several tasks.
 

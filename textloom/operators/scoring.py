@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
 _SCORES = 4 << 20  # scores held at once in a task
+#: Sparse queries that are scored together, and documents that they meet at once; bytes of either filled up, if wide.
+GROUP_ROWS, SLAB_ROWS, WIDE_BYTES = 256, 8192, 32 << 20
+#: A bucket that more than this share of a group's queries use is multiplied for all of them.
+COMMON_SHARE = 1 / 16
+#: Rarer entries of a query that are taken at once.
+RARE_ROWS = 64
+#: Parts of a slab of which the best score is looked at first.
+STRIDES = 128
+#: Pairs that are merged at once, and entries of pairs that are multiplied at once.
+WAITING, _ENTRIES = 1 << 19, 1 << 20
 
 
 def matrix_of(vectors: pa.Array, dim: int) -> np.ndarray:
@@ -129,10 +141,14 @@ class Best:
             rough = left @ block.astype(np.float32).T if fast else rough_scores(left, block, metric)
             row, col = self._candidates(rough, margin, which)
             if len(row):
-                self.waiting.append((row, pair_scores(q, block, row, col, metric), names[col]))
-                self.waits += len(row)
-                if self.waits >= later:
-                    self.flush()
+                self.offer(row, pair_scores(q, block, row, col, metric), names[col], later)
+
+    def offer(self, row: np.ndarray, score: np.ndarray, key: np.ndarray, later: int = 0) -> None:
+        """Take scored pairs; they are merged once more than `later` wait, or by `flush`."""
+        self.waiting.append((row, score, key))
+        self.waits += len(row)
+        if self.waits >= later:
+            self.flush()
 
     def flush(self) -> None:
         if self.waiting:
@@ -208,3 +224,220 @@ def worth(q: np.ndarray, d: np.ndarray, floor: np.ndarray, metric: str) -> np.nd
     gap = np.maximum(distances(q, centre)[:, 0] - radius - 1e-6 * (1 + radius), 0)
     longest2 = float((d * d).sum(axis=1).max())
     return np.flatnonzero(ceilings((q * q).sum(axis=1), gap, longest2, metric) >= floor)
+
+
+# -- sparse vectors, cosine ------------------------------------------------------
+
+
+def slab_rows(dim: int) -> int:
+    """Sparse documents that `SparseSearch` takes at once."""
+    return max(STRIDES, min(SLAB_ROWS, WIDE_BYTES // (4 * dim)))
+
+
+class Entries:
+    """Usable sparse vectors of an Arrow array, of length 1: (row, bucket, weight) of their entries, in this order."""
+
+    def __init__(self, vectors: pa.Array | pa.ChunkedArray, dim: int):
+        if isinstance(vectors, pa.ChunkedArray):
+            vectors = vectors.combine_chunks()
+        _, buckets, weights = vectors.flatten()
+        row = np.repeat(np.arange(len(vectors)), buckets.value_lengths().to_numpy(zero_copy_only=False))
+        cell = row * dim + buckets.flatten().to_numpy(zero_copy_only=False)
+        weight = weights.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        if (np.diff(cell) <= 0).any():
+            # out of order, or weights of the same bucket, which are added
+            cell, at = np.unique(cell, return_inverse=True)
+            weight = np.bincount(at, weight, len(cell))
+            row = cell // dim
+        lengths = np.sqrt(np.bincount(row, weight * weight, len(vectors)))
+        usable = np.isfinite(lengths) & (lengths > 0)
+        self.dim = dim
+        #: Places of the usable vectors.
+        self.keep = np.flatnonzero(usable)
+        good = usable[row]
+        self._set((np.cumsum(usable) - 1)[row[good]], (cell - row * dim)[good], weight[good] / lengths[row[good]])
+
+    def _set(self, row: np.ndarray, bucket: np.ndarray, weight: np.ndarray) -> None:
+        self.row, self.bucket, self.weight = row, bucket, weight
+        self.counts = np.bincount(row, minlength=len(self.keep))
+        self.starts = np.concatenate(([0], np.cumsum(self.counts)))
+
+    def __len__(self) -> int:
+        return len(self.keep)
+
+    def order_by_count(self) -> None:
+        """Put vectors with similar numbers of entries next to each other."""
+        order = np.argsort(self.counts, kind="stable")
+        at = self.at(order)
+        row = np.repeat(np.arange(len(order)), self.counts[order])
+        self.keep = self.keep[order]
+        self._set(row, self.bucket[at], self.weight[at])
+
+    def at(self, rows: np.ndarray) -> np.ndarray:
+        """Places of the entries of some rows, one row after the other."""
+        counts = self.counts[rows]
+        before = np.cumsum(counts) - counts
+        return np.repeat(self.starts[rows] - before, counts) + np.arange(counts.sum())
+
+    def columns(self, width: int) -> np.ndarray:
+        """The vectors as columns of a matrix of that width, in single precision."""
+        matrix = np.zeros((self.dim, width), np.float32)
+        matrix[self.bucket, self.row] = self.weight
+        return matrix
+
+    def slice(self, rows: slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, bucket, weight) of the entries of neighbouring rows, which count from 0."""
+        part = slice(self.starts[rows.start], self.starts[rows.stop])
+        return self.row[part] - rows.start, self.bucket[part], self.weight[part]
+
+    def away(self, centre: np.ndarray) -> np.ndarray:
+        """Distances from a point."""
+        product = np.bincount(self.row, self.weight * centre[self.bucket], len(self))
+        return np.sqrt(np.maximum(1 + centre @ centre - 2 * product, 0))
+
+
+class _Group:
+    """Queries that are scored together.
+
+    The buckets that many of them use are a matrix, which is multiplied at once; what else a query
+    has, which is little where texts share their common words only, is taken entry by entry.
+    """
+
+    def __init__(self, entries: Entries, rows: slice):
+        self.rows, self.size = rows, rows.stop - rows.start
+        row, bucket, weight = entries.slice(rows)
+        self.common = np.flatnonzero(np.bincount(bucket, minlength=entries.dim) > COMMON_SHARE * self.size)
+        place = np.full(entries.dim, -1)
+        place[self.common] = np.arange(len(self.common))
+        often = place[bucket] >= 0
+        self.matrix = np.zeros((self.size, len(self.common)), np.float32)
+        self.matrix[row[often], place[bucket[often]]] = weight[often]
+        self.bucket, self.weight = bucket[~often], weight[~often].astype(np.float32)
+        self.starts = np.searchsorted(row[~often], np.arange(self.size + 1))
+
+    def scores(self, which: np.ndarray | None, columns: np.ndarray, out: np.ndarray) -> None:
+        """Scores of the queries `which` (all, if None), up to rounding errors."""
+        left = self.matrix if which is None else self.matrix[which]
+        if len(self.common):
+            np.dot(left, columns if len(self.common) == len(columns) else columns[self.common], out=out)
+        else:
+            out[:] = 0
+        width = columns.shape[1]
+        some, total = np.empty((RARE_ROWS, width), np.float32), np.empty(width, np.float32)
+        for line, i in zip(out, range(self.size) if which is None else which):
+            for start in range(self.starts[i], self.starts[i + 1], RARE_ROWS):
+                part = slice(start, min(start + RARE_ROWS, self.starts[i + 1]))
+                rows = some[: part.stop - start]
+                np.take(columns, self.bucket[part], axis=0, out=rows, mode="clip")
+                np.dot(self.weight[part], rows, out=total)
+                np.add(line, total, out=line)
+
+
+class SparseSearch:
+    """The k best documents of each of many sparse queries by cosine, over slabs of sparse documents.
+
+    Only entries that a query has are multiplied, so the work goes with these and not with the width
+    of the vectors. Rough scores in single precision choose the pairs that may be among the k best;
+    those are scored again from their entries in double precision.
+    """
+
+    def __init__(self, vectors: pa.Array | pa.ChunkedArray, dim: int, k: int, query_rows: int, floors: np.ndarray | None = None):
+        self.k, self.entries = k, Entries(vectors, dim)
+        self.entries.order_by_count()
+        #: Places of the usable queries, in the order in which they are searched.
+        self.keep = self.entries.keep
+        self.margin = dim * 2.0**-23 + 1e-6
+        self.parts: list[tuple[Best, int, list[_Group]]] = []
+        self.group_rows = max(1, min(GROUP_ROWS, WIDE_BYTES // (8 * dim)))
+        for start in range(0, len(self.keep), query_rows):
+            stop = min(start + query_rows, len(self.keep))
+            groups = [_Group(self.entries, slice(at, min(at + self.group_rows, stop))) for at in range(start, stop, self.group_rows)]
+            best = Best(stop - start, k, None if floors is None else floors[self.keep[start:stop]])
+            self.parts.append((best, start, groups))
+
+    def add(self, docs: Entries, keys: np.ndarray, near: bool = False) -> None:
+        """Score the documents of a slab, at most `slab_rows`, whose keys are numbers in the order of the true ones.
+
+        With `near`, for documents that lie close together, queries whose bound says so are left out.
+        """
+        if not len(docs):
+            return
+        width = -(-len(docs) // STRIDES) * STRIDES
+        columns, scores = docs.columns(width), np.empty((self.group_rows, width), np.float32)
+        far = self._distances(docs) if near else None
+        for best, start, groups in self.parts:
+            for group in groups:
+                mine = slice(group.rows.start - start, group.rows.stop - start)
+                which = None
+                if far is not None:
+                    reach = ceilings(np.ones(group.size), far[group.rows], 1.0, "cosine")
+                    which = np.flatnonzero(reach >= best.floor[mine])
+                    if not len(which):
+                        continue
+                rough = scores[: group.size if which is None else len(which)]
+                group.scores(which, columns, rough)
+                rough[:, len(docs) :] = -np.inf
+                floor = best.floor[mine] if which is None else best.floor[mine][which]
+                row, col = self._candidates(rough, floor, len(docs))
+                row = row if which is None else which[row]
+                for part, exact in self._exact(group.rows, row, docs, col):
+                    best.offer(mine.start + row[part], exact, keys[col[part]], WAITING)
+            best.flush()
+
+    def _distances(self, docs: Entries, rows: int = 2048) -> np.ndarray:
+        """At least how far each query is from all documents: from the nearest of some balls around them."""
+        nearest = np.full(len(self.keep), np.inf)
+        for start in range(0, len(docs), rows):
+            stop = min(start + rows, len(docs))
+            row, bucket, weight = docs.slice(slice(start, stop))
+            centre = np.bincount(bucket, weight, docs.dim) / (stop - start)
+            product = np.bincount(row, weight * centre[bucket], stop - start)
+            radius = float(np.sqrt(np.maximum(1 + centre @ centre - 2 * product, 0)).max())
+            nearest = np.minimum(nearest, np.maximum(self.entries.away(centre) - radius - 1e-6 * (1 + radius), 0))
+        return nearest
+
+    def _candidates(self, rough: np.ndarray, floor: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs that may be among the k best: at least the floor and the k-th best of all parts of the slab."""
+        parts = rough.reshape(len(rough), -1, STRIDES)
+        tops, limit = parts.max(axis=1), floor - self.margin
+        if STRIDES > self.k:
+            crowded = np.flatnonzero((tops >= limit[:, None]).sum(axis=1) > self.k)
+            own = np.partition(tops[crowded], STRIDES - self.k, axis=1)[:, STRIDES - self.k] - 2 * self.margin
+            limit[crowded] = np.maximum(limit[crowded], own)
+        row, stride = np.nonzero(tops >= limit[:, None])
+        hit, place = np.nonzero(parts[row, :, stride] >= limit[row, None])
+        row, col = row[hit], place * STRIDES + stride[hit]
+        there = col < total
+        return row[there], col[there]
+
+    def _exact(self, rows: slice, row: np.ndarray, docs: Entries, col: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+        """Scores of single pairs, some at a time, the same whatever other pairs are asked for."""
+        if not len(row):
+            return
+        mine, bucket, weight = self.entries.slice(rows)
+        q = np.zeros((rows.stop - rows.start, docs.dim))
+        q[mine, bucket] = weight
+        step = max(1, _ENTRIES // int(docs.counts.max()))
+        for start in range(0, len(row), step):
+            part = slice(start, min(start + step, len(row)))
+            at = docs.at(col[part])
+            pair = np.repeat(np.arange(part.stop - start), docs.counts[col[part]])
+            product = q[row[part][pair], docs.bucket[at]] * docs.weight[at]
+            yield part, np.round(np.bincount(pair, product, part.stop - start), 6) + 0.0
+
+    def renumber(self, number: np.ndarray) -> None:
+        """Give the documents found new numbers, in the order of the true keys again."""
+        for best, _, _ in self.parts:
+            if best.key is not None:
+                best.key = number[best.key]
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the query, key, score) of all results."""
+        done = [(best, start) for best, start, _ in self.parts if best.key is not None]
+        if not done:
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        return (
+            np.concatenate([self.keep[start + best.query] for best, start in done]),
+            np.concatenate([best.key for best, _ in done]),
+            np.concatenate([best.score for best, _ in done]),
+        )
