@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import embed
 from textloom.operators import context, evaluate, meeting, retrieve, scoring
+from textloom.plans import jobs
 
 
 def frames(spark, queries, docs, key="string"):
@@ -447,3 +448,12 @@ def test_sparse_vectors_are_not_filled_up_to_be_scored(monkeypatch):
 def test_slabs_of_wide_sparse_vectors_stay_small():
     assert scoring.slab_rows(1024) == scoring.SLAB_ROWS
     assert scoring.slab_rows(1 << 17) * (4 << 17) <= 2 * scoring.WIDE_BYTES
+
+
+def test_documents_without_a_key_are_not_found(spark):
+    kind = "vector struct<size:int,buckets:array<int>,weights:array<float>>"
+    q = spark.createDataFrame([("q", (8, [1, 2], [1.0, 1.0]))], f"query_id string, {kind}")
+    docs = [(None, "no key", (8, [1, 2], [1.0, 1.0])), ("a", "one", (8, [1], [1.0])), ("b", "other", (8, [5], [1.0])), (None, "nor this", (8, [5], [1.0]))]
+    d = spark.createDataFrame(docs, f"pk string, text string, {kind}")
+    found = jobs.search_sources(q, {"s": d}, 2, 8).orderBy("rank").collect()
+    assert [(r["rank"], r.pk, r.text, r.score) for r in found] == [(1, "a", "one", 0.707107), (2, "b", "other", 0.0)]
